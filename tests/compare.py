@@ -1,0 +1,78 @@
+"""Runs registered queries and their SQL twins on the same tables and compares the rows."""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    db = duckdb.connect()
+    for table in TABLES:
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    return db
+
+
+def _key(row: tuple) -> tuple:
+    return tuple((value is None, str(type(value)), str(value)) for value in row)
+
+
+def _normal(rows, names: list[str], order: list[str]) -> list[tuple]:
+    places = [names.index(name) for name in order]
+    return sorted((tuple(row[i] for i in places) for row in rows), key=_key)
+
+
+def difference(spark, db, query, sql: str, folder: str) -> str | None:
+    """None if both sides give the same columns and rows, else what differs first."""
+    df = query(spark, folder)
+    result = db.execute(sql)
+    names = [column[0] for column in result.description]
+    if sorted(names) != sorted(df.columns):
+        return f"columns {sorted(df.columns)} != {sorted(names)}"
+    order = sorted(names)
+    ours = _normal(df.collect(), df.columns, order)
+    theirs = _normal(result.fetchall(), names, order)
+    if len(ours) != len(theirs):
+        return f"{len(ours)} rows != {len(theirs)}"
+    for left, right in zip(ours, theirs):
+        if left != right:
+            return f"{str(left)[:300]} != {str(right)[:300]}"
+    return None
+
+
+if __name__ == "__main__":
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+    import __spark_entry__ as entry
+    from agoralake.session import build_session
+
+    folder = sys.argv[1]
+    only = sys.argv[2:]
+    spark = build_session(
+        "compare",
+        **{
+            "spark.master": "local[8]",
+            "spark.driver.memory": "12g",
+            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.session.timeZone": "America/New_York",
+        },
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    db = connect(folder)
+    twins = entry.oracle_sql()
+    for name, query in entry.queries().items():
+        if only and name not in only:
+            continue
+        start = time.time()
+        try:
+            found = difference(spark, db, query, twins[name], folder)
+        except Exception as error:
+            found = f"{type(error).__name__}: {str(error)[:1500]}"
+        print(f"{name:28s} {time.time() - start:6.1f}s  {found or 'same'}", flush=True)
