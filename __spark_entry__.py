@@ -30,9 +30,9 @@ from agoralake.plans.catalog import (
     setup,
 )
 from agoralake.plans.quality import layer_report
-from agoralake.schemas import BRONZE_PARTITIONS, POST
+from agoralake.schemas import POST
 from agoralake.session import scratch_folder
-from agoralake.sinks import add_run_partitions, write_documents, write_gold, write_silver
+from agoralake.sinks import write_documents, write_gold, write_silver
 from agoralake.sources import (
     good_documents,
     path_community,
@@ -99,7 +99,7 @@ def bronze_envelope(spark: SparkSession, folder: str) -> DataFrame:
         "record_count",
         F.element_at("posts", 1)["id"].alias("first_id"),
         F.element_at("posts", -1)["id"].alias("last_id"),
-        *[run_partition(p, stamp).alias(p) for p in BRONZE_PARTITIONS[1:]],
+        *[run_partition(p, stamp).alias(p) for p in ("run_date", "run_hour", "run_id")],
     )
 
 
@@ -251,7 +251,11 @@ def sql_to_dataframe(spark: SparkSession, folder: str) -> DataFrame:
         FROM {ENGAGEMENT_VIEW} WHERE date >= :start AND subreddit <> :other GROUP BY subreddit
     """
     arguments = {"start": datetime.fromisoformat(START).date(), "other": "' OR 1=1 --"}
-    return query_to_dataframe(spark, text, "default", arguments)
+    try:
+        return query_to_dataframe(spark, text, "default", arguments)
+    finally:  # the plan is bound to the views; the session need not keep them
+        for view in (ENGAGEMENT_VIEW, TOP_POSTS_VIEW, TOP_COMMENTED_VIEW):
+            spark.catalog.dropTempView(view)
 
 
 # --- catalogue, health, runs ----------------------------------------------------------------

@@ -64,10 +64,10 @@ def create_database(
     spark: SparkSession, database: str = DATABASE, location: str | None = None
 ) -> bool:
     """Create the database if it is absent; true once it exists."""
-    if not spark.catalog.databaseExists(database):
+    if not spark.catalog.databaseExists(_name(database)):
         place = f" LOCATION {_text(location)}" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(database)}{place}")
-    return spark.catalog.databaseExists(database)
+    return spark.catalog.databaseExists(_name(database))
 
 
 def create_external_table(
@@ -221,8 +221,8 @@ def refresh_tables(spark: SparkSession, lake: Lake, run_date: date | None = None
         if name == "gold_subreddit_stats":
             rows = rows.hint("rebalance", *LAYER_PARTITIONS)
         write_partitions(rows, lake.table(name), LAYER_PARTITIONS)
-        if spark.catalog.tableExists(f"{lake.database}.{name}"):
+        if spark.catalog.tableExists(_name(lake.database, name)):
             discover_partitions(spark, lake.database, name)
     for name in GOLD_DATASETS:
-        if spark.catalog.tableExists(f"{lake.database}.{name}"):
+        if spark.catalog.tableExists(_name(lake.database, name)):
             discover_partitions(spark, lake.database, name)

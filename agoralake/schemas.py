@@ -135,9 +135,10 @@ LAYER_TABLES = {
     "gold_subreddit_stats": SUBREDDIT_STATS_TABLE,
 }
 
-# Hive-style partition columns of the stored layers, all derived from the run time.
-BRONZE_PARTITIONS = ("community", "run_date", "run_hour", "run_id")
-RUN_PARTITIONS = ("subreddit", "run_date", "run_id")
+# Hive-style partition columns of the stored layers. The run comes first: one run is one prefix,
+# so loading it lists nothing else, however many runs and communities the lake holds.
+BRONZE_PARTITIONS = ("run_date", "run_hour", "run_id", "community")
+RUN_PARTITIONS = ("run_date", "run_id", "subreddit")
 
 PARTITION_TYPES = {
     "community": T.StringType(),

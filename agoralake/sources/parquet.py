@@ -20,24 +20,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(conf).exists(place)
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
+def read_layer(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    run: str = "",
+    fmt: str = "parquet",
+    **options: str,
+) -> DataFrame:
+    """A partitioned layer, or of it the one run whose prefix is given; a run without files is empty."""
+    place = f"{path}/{run}" if run else path
+    if run and not path_exists(spark, place):
+        return spark.createDataFrame([], schema)
+    reader = spark.read.format(fmt).schema(schema).options(**options)
+    return reader.option("basePath", path).load(place)
+
+
+def read_silver(spark: SparkSession, path: str, run: str = "") -> DataFrame:
     """The silver layer with its partition columns, so filters on them prune files."""
-    return spark.read.schema(with_partitions(SILVER, RUN_PARTITIONS)).parquet(path)
+    return read_layer(spark, path, with_partitions(SILVER, RUN_PARTITIONS), run)
 
 
-def read_gold(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+def read_gold(spark: SparkSession, path: str, dataset: str, run: str = "") -> DataFrame:
     """One gold dataset with its partition columns."""
-    return spark.read.schema(with_partitions(GOLD[dataset], RUN_PARTITIONS)).parquet(path)
+    return read_layer(spark, path, with_partitions(GOLD[dataset], RUN_PARTITIONS), run)
 
 
 def path_community(path: Column | None = None) -> Column:
-    """The community a file belongs to: the path segment after the source's segment.
+    """The community a file belongs to, by its path; NULL if the path names none.
 
-    Reads both the plain layout and ours (`subreddit=`/`community=`); NULL if the segment is absent.
+    It is the segment after the source's segment, or our layout's `subreddit=` or `community=`.
     """
     path = F.col("_metadata.file_path") if path is None else path
-    pattern = f"/{SOURCE}/(?:subreddit=|community=)?([^/]+)/"
-    segment = F.nullif(F.regexp_extract(path, pattern, 1), F.lit(""))
+    named = F.regexp_extract(path, f"/{SOURCE}/(?:.*/)?(?:subreddit|community)=([^/]+)/", 1)
+    plain = F.regexp_extract(path, f"/{SOURCE}/([^/=]+)/", 1)
+    segment = F.coalesce(F.nullif(named, F.lit("")), F.nullif(plain, F.lit("")))
     # File paths come URL-encoded; a plus sign in them is a plus sign.
     return F.try_url_decode(F.replace(segment, F.lit("+"), F.lit("%2B")))
 

@@ -13,13 +13,13 @@ def query_to_dataframe(
     database: str = DATABASE,
     args: dict[str, Any] | None = None,
 ) -> DataFrame:
-    """A query whose unqualified names are looked up in `database`.
+    """A query whose unqualified names are looked up in `database`, after temporary views.
 
     Values go in as named arguments (`:name`), never as text. The result stays a lazy DataFrame.
     """
     current = spark.catalog.currentDatabase()
-    spark.catalog.setCurrentDatabase(database)
+    spark.catalog.setCurrentDatabase(f"`{database}`")
     try:
         return spark.sql(query, args=args)
     finally:
-        spark.catalog.setCurrentDatabase(current)
+        spark.catalog.setCurrentDatabase(f"`{current}`")

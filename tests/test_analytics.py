@@ -1,0 +1,127 @@
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+
+from agoralake.operators import analytics as A
+from agoralake.operators import gold as G
+from agoralake.operators.silver import clean_posts
+from agoralake.sources import query_to_dataframe
+from rows import NOON, post, unnested
+
+DAY = 86400.0
+
+
+@pytest.fixture(scope="module")
+def gold(spark):
+    posts = clean_posts(
+        unnested(
+            spark,
+            *[
+                post(
+                    f"{c}{i:02d}",
+                    subreddit=c,
+                    score=i,
+                    num_comments=40 - i,
+                    created_utc=NOON + DAY * (i % 3),
+                    title="t" * (i + 1),
+                    selftext="same",
+                )
+                for c in ("x", "y")
+                for i in range(30)
+            ],
+            post("n", subreddit=None, score=3),
+        )
+    )
+    daily, top, commented = G.daily_stats(posts), G.top_posts(posts), G.top_commented(posts)
+    return A.engagement_metrics(daily), top, commented
+
+
+def test_engagement_order(gold):
+    rows = A.engagement_by_date(gold[0]).collect()
+    assert [(r.date.day, r.subreddit) for r in rows] == [
+        (3, "x"),
+        (3, "y"),
+        (2, "x"),
+        (2, "y"),
+        (1, "x"),
+        (1, "y"),
+        (1, None),
+    ]
+    assert rows[0].asDict() == {
+        "date": date(2024, 1, 3),
+        "subreddit": "x",
+        "post_count": 10,
+        "avg_score": 15.5,
+        "total_score": 155,
+        "avg_comments": 24.5,
+        "total_comments": 245,
+        "avg_upvote_ratio": 0.5,
+    }
+
+
+def test_engagement_filters_are_subsets(gold):
+    everything = set(A.engagement_by_date(gold[0]).collect())
+    one = set(A.engagement_by_date(gold[0], "x", "2024-01-02", "2024-01-02").collect())
+    assert len(one) == 1 and one < everything
+
+
+def test_best_posts(gold):
+    rows = A.best_posts(gold[1], limit=3).collect()
+    assert [r.id for r in rows] == ["x29", "y29", "x28"]
+    assert tuple(rows[0].asDict()) == A.POST_COLUMNS
+    assert A.best_posts(gold[1]).count() == 10
+    assert A.best_posts(gold[1], limit=0).count() == 0
+
+
+def test_filters_select_among_the_kept_posts(gold):
+    # 20 of 30 posts are kept (scores 10..29); a date range does not bring others back.
+    rows = A.best_posts(gold[1], "x", "2024-01-01", "2024-01-01", limit=100).collect()
+    assert [r.score for r in rows] == [27, 24, 21, 18, 15, 12]
+
+
+def test_active_discussions(gold):
+    rows = A.active_discussions(gold[2], "y", limit=2).collect()
+    assert [(r.id, r.num_comments) for r in rows] == [("y00", 40), ("y01", 39)]
+
+
+def test_length_vs_engagement_counts_double_posts_twice(gold):
+    row = A.length_vs_engagement(gold[1], gold[2], "x").first()
+    # scores 10..29 by score and 0..19 by comments: 10..19 count twice
+    both = [*range(10, 30), *range(20)]
+    assert row.avg_score == sum(both) / 40
+    assert row.avg_title_length == row.avg_score + 1
+    assert row.title_score_correlation == pytest.approx(1.0)
+    assert row.title_comments_correlation == pytest.approx(-1.0)
+    assert row.content_score_correlation is None
+    assert row.content_comments_correlation is None
+
+
+def test_length_vs_engagement_order(gold):
+    rows = A.length_vs_engagement(gold[1], gold[2]).collect()
+    assert [r.subreddit for r in rows] == ["x", "y", None]
+
+
+def test_community_report_and_preview(gold):
+    report = A.community_report(*gold, "x")
+    assert {name: df.count() for name, df in report.items()} == {
+        "engagement": 3,
+        "top_posts": 5,
+        "discussions": 5,
+        "analysis": 1,
+    }
+    shown = A.preview(report)
+    assert shown["top_posts"].columns == list(A.PREVIEW_COLUMNS)
+    assert [r.score for r in shown["top_posts"].collect()] == [29, 28, 27, 26, 25]
+
+
+def test_query_to_dataframe(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS t_sql")
+    spark.sql("CREATE OR REPLACE VIEW t_sql.numbers AS SELECT id FROM range(10)")
+    current = spark.catalog.currentDatabase()
+    df = query_to_dataframe(
+        spark, "SELECT id FROM numbers WHERE id > :low", "t_sql", {"low": 7}
+    )
+    assert spark.catalog.currentDatabase() == current
+    assert sorted(r.id for r in df.collect()) == [8, 9]
