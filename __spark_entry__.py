@@ -32,7 +32,7 @@ from agoralake.plans.catalog import (
 from agoralake.plans.quality import layer_report
 from agoralake.schemas import POST
 from agoralake.session import scratch_folder
-from agoralake.sinks import write_documents, write_gold, write_silver
+from agoralake.sinks import write_documents, write_silver
 from agoralake.sources import (
     good_documents,
     path_community,
@@ -164,8 +164,7 @@ def gold_parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     lake = _lake(spark)
     write_silver(_silver(spark, folder), lake.silver, rebalance=True)
     silver = read_silver(spark, lake.silver)
-    for dataset in GOLD_DATASETS:
-        write_gold(runs.BUILDERS[dataset](silver), lake.gold(dataset))
+    runs.load(spark, lake, silver)
     daily = read_gold(spark, lake.gold("daily_stats"), "daily_stats")
     stacked = daily.select(
         F.lit("daily_stats").alias("dataset"), "subreddit", "run_date", "score_sum"

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,3 +35,39 @@ def top_k_per_group(
         )
         ranked = ranked.drop("_rank", "_salt")
     return ranked
+
+
+def top_k_bounds(
+    df: DataFrame, group: Sequence[str], metrics: Sequence[str], k: int, spread: str = "id"
+) -> DataFrame:
+    """Per group and metric a value its `k`-th largest row cannot be below; NULL where unknown.
+
+    Rows are hashed into 4k buckets per group. The bucket maxima belong to different rows, so at
+    least `k` rows reach the `k`-th largest of them. This is a hash aggregation over a few narrow
+    columns: it combines before the shuffle and never sorts the input. The list it collects has 4k
+    numbers at most.
+    """
+    bucket = F.pmod(F.xxhash64(F.lit("top_k_bounds"), spread), F.lit(4 * k))
+    maxima = df.groupBy(*group, bucket.alias("_bucket")).agg(*[F.max(m).alias(m) for m in metrics])
+
+    def bound(metric: str) -> Column:
+        ranked = F.sort_array(F.collect_list(metric), asc=False)
+        return F.try_element_at(ranked, F.lit(k)).alias(f"{metric}_bound")
+
+    return maxima.groupBy(*group).agg(*[bound(m) for m in metrics])
+
+
+def above_bounds(
+    df: DataFrame, bounds: DataFrame, group: Sequence[str], metrics: Sequence[str]
+) -> DataFrame:
+    """The rows that can be among the `k` largest of their group by any of the metrics.
+
+    Keeps ties with a bound and all rows of groups without one.
+    """
+    same_group = reduce(and_, [F.col(f"r.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group])
+    reached = [
+        F.col(f"b.{m}_bound").isNull() | (F.col(f"r.{m}") >= F.col(f"b.{m}_bound"))
+        for m in metrics
+    ]
+    joined = df.alias("r").join(bounds.alias("b"), same_group, "left")
+    return joined.where(reduce(or_, reached)).select("r.*")

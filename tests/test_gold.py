@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from agoralake.operators import gold as G
 from agoralake.operators.silver import clean_posts
-from agoralake.operators.topk import top_k_per_group
+from agoralake.operators.topk import above_bounds, top_k_bounds, top_k_per_group
 from rows import NOON, post, unnested
 
 DAY = 86400.0
@@ -98,6 +98,29 @@ def test_top_k_with_one_hot_group_equals_brute_force(spark, salts, k):
     assert sorted(map(tuple, got.collect())) == sorted(r for kept in want.values() for r in kept)
 
 
+@pytest.mark.parametrize("k", [1, 5, 20])
+def test_shortlist_loses_no_top_row(spark, k):
+    chance = random.Random(k)
+    rows = []
+    for i in range(6000):
+        group = None if i % 50 == 0 else "hot" if chance.random() < 0.7 else f"g{i % 60}"
+        score = None if chance.random() < 0.1 or group == "g7" else chance.randrange(10**6)
+        rows.append((group, score, chance.randrange(5), str(i % 5500)))
+    df = spark.createDataFrame(rows, "g string, score bigint, few bigint, id string")
+    kept = above_bounds(
+        df, top_k_bounds(df, ["g"], ["score", "few"], k), ["g"], ["score", "few"]
+    )
+    assert kept.columns == df.columns
+    for metric in ("score", "few"):
+        order = [F.desc_nulls_last(metric), F.asc("id"), F.asc("score"), F.asc("few")]
+        want = top_k_per_group(df, ["g"], order, k).collect()
+        assert sorted(map(str, top_k_per_group(kept, ["g"], order, k).collect())) == sorted(
+            map(str, want)
+        )
+    by_score = above_bounds(df, top_k_bounds(df, ["g"], ["score"], k), ["g"], ["score"])
+    assert by_score.where("g = 'hot'").count() < 4 * k + 20
+
+
 def test_no_left_out_post_outranks_a_kept_one(spark):
     chance = random.Random(3)
     posts = silver(spark, *[post(str(i), score=chance.randrange(9)) for i in range(200)])

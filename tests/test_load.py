@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 
 from agoralake.config import GOLD_DATASETS
+from agoralake.plans import load as load_module
 from agoralake.plans.load import run, run_daily, run_foreign, run_summary
 from agoralake.sources import query_to_dataframe, read_documents, read_gold, read_silver
 from rows import NOON, RUN, envelope, listing, post
@@ -32,6 +33,16 @@ def test_run(spark, lake):
     assert got == {"x": (25, 25, 3, 20, 20, True), "y": (2, 2, 1, 2, 2, True)}
 
 
+@pytest.mark.parametrize("limit", [0, 100])
+def test_unbounded_run(spark, lake, monkeypatch, limit):
+    """Whole listings go through the shortlist, or past it with too many communities."""
+    monkeypatch.setattr(load_module, "BROADCAST_ROWS", limit)
+    got = summary(run(spark, raw(spark, x=300, y=2), lake, RUN, None))
+    assert got == {"x": (300, 300, 26, 20, 20, True), "y": (2, 2, 1, 2, 2, True)}
+    top = read_gold(spark, lake.gold("top_posts"), "top_posts").where("subreddit = 'x'")
+    assert sorted(r.score for r in top.collect()) == list(range(280, 300))
+
+
 def test_communities_match_as_given_and_absent_ones_show(spark, lake):
     got = summary(run(spark, raw(spark, x=3, X=2, y=2), lake, RUN, communities=["x", "nobody"]))
     assert got == {"x": (3, 3, 1, 3, 3, True), "nobody": (0, 0, 0, 0, 0, False)}

@@ -63,9 +63,7 @@ def test_gold_of_a_run_split_over_batches_equals_the_batch_load(spark, lake, tmp
     streamed = gold_rows(spark, lake)
     assert len(streamed["top_posts"]) == 23
     whole = Lake(str(tmp_path / "whole"))
-    for dataset in GOLD_DATASETS:
-        kept = load_module.BUILDERS[dataset](read_silver(spark, lake.silver))
-        load_module.write_gold(kept, whole.gold(dataset))
+    load(spark, whole, read_silver(spark, lake.silver), large=False)
     assert streamed == gold_rows(spark, whole)
 
 
@@ -83,7 +81,7 @@ def test_a_replayed_batch_changes_nothing(spark, lake):
 
 @pytest.mark.parametrize("limit", [0, 100])
 def test_partition_lists_too_long_to_broadcast(spark, lake, monkeypatch, limit):
-    monkeypatch.setattr(load_module, "BROADCAST_PARTITIONS", limit)
+    monkeypatch.setattr(load_module, "BROADCAST_ROWS", limit)
     arrive(spark, lake, RUN, posts("x", 4) + posts("y", 2))
     stream_silver(spark, lake).awaitTermination()
     load(spark, lake)
