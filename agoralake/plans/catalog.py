@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agoralake.config import (
@@ -204,14 +203,11 @@ def setup(spark: SparkSession, lake: Lake) -> DataFrame:
 
 def refresh_tables(spark: SparkSession, lake: Lake, run_date: date | None = None) -> None:
     """Fill the layer tables from bronze, silver and gold; `run_date` limits it to one day's runs."""
-
-    def of_day(df: DataFrame) -> DataFrame:
-        return df if run_date is None else df.where(F.col("run_date") == F.lit(run_date))
-
-    documents = good_documents(of_day(read_documents(spark, lake.bronze)))
+    day = f"run_date={run_date}" if run_date else ""
+    documents = good_documents(read_documents(spark, lake.bronze, day))
     raw = add_run_partitions(unnest_posts(documents), LAYER_PARTITIONS)
-    silver = of_day(read_silver(spark, lake.silver))
-    daily = of_day(read_gold(spark, lake.gold("daily_stats"), "daily_stats"))
+    silver = read_silver(spark, lake.silver, day)
+    daily = read_gold(spark, lake.gold("daily_stats"), "daily_stats", day)
     contents = {
         "bronze_posts": bronze_posts(raw, *LAYER_PARTITIONS),
         "silver_posts": silver_posts(silver, *LAYER_PARTITIONS),

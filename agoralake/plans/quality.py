@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,10 @@ _FILE = "layer string, record_count bigint, file_count bigint, newest_record tim
 EMPTY = _FILE + "newest_file timestamp"
 
 
+def _read_gold(dataset: str, spark: SparkSession, path: str, run: str) -> DataFrame:
+    return read_gold(spark, path, dataset, run)
+
+
 def _files(df: DataFrame, layer: str, records: Column, newest: Column) -> DataFrame:
     """Records, files and newest times of a dataset: summed per file first, then over files."""
     per_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
@@ -34,15 +39,16 @@ def _files(df: DataFrame, layer: str, records: Column, newest: Column) -> DataFr
 def layer_report(
     spark: SparkSession,
     lake: Lake,
-    run_date: str | None = None,
+    run_date: date | None = None,
     report_ts: datetime | str | None = None,
 ) -> DataFrame:
     """Existence, rows, files, freshness and status of bronze, silver and gold.
 
     A layer is there if all its datasets are. The overall status, the same in every row, is
     `success` if all layers have records, `warning` if all are there but one is empty, `failure`
-    otherwise. `run_date` reads that day's partitions only, for a daily check of a large lake.
+    otherwise. `run_date` lists and reads that day's partitions only: a daily check of a large lake.
     """
+    day = f"run_date={run_date}" if run_date else ""
     one = F.lit(1).cast("bigint")
     posts = F.coalesce(F.size("posts").cast("bigint"), F.lit(0))
     made, run_ts = iso_to_timestamp(F.col("extracted_at")), F.col("run_ts")
@@ -50,19 +56,17 @@ def layer_report(
         ("bronze", lake.bronze, read_documents, posts, made),
         ("silver", lake.silver, read_silver, one, F.col("extracted_at")),
         *[
-            ("gold", lake.gold(d), lambda s, path, d=d: read_gold(s, path, d), one, run_ts)
+            ("gold", lake.gold(d), partial(_read_gold, d), one, run_ts)
             for d in GOLD_DATASETS
         ],
     ]
     parts, absent = [], set()
     for layer, path, read, records, newest in datasets:
         parts.append(spark.createDataFrame([(layer, 0, 0, None, None)], EMPTY))
-        if path_exists(spark, path):
-            df = read(spark, path)
-            df = df if run_date is None else df.where(F.col("run_date") == F.lit(run_date))
-            parts.append(_files(df, layer, records, newest))
-        else:
+        if not path_exists(spark, path):
             absent.add(layer)
+        elif not day or path_exists(spark, f"{path}/{day}"):
+            parts.append(_files(read(spark, path, day), layer, records, newest))
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part)

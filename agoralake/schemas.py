@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# One raw listing record, before the per-community bound.
+# One raw listing record, before the per-community bound. Score and text may be missing.
 LISTING = T.StructType(
     [
         T.StructField("id", T.StringType()),

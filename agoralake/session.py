@@ -9,12 +9,17 @@ from pyspark.sql import SparkSession
 
 
 def build_session(app: str = "agoralake", **conf: str) -> SparkSession:
-    """AQE coalesces and splits shuffle partitions, so their number is only an upper bound."""
+    """Settings for large inputs; any of them can be overridden by keyword.
+
+    AQE joins and splits shuffle partitions to about 128 MB. A task that writes few partitions keeps
+    a file open for each instead of sorting its rows by partition.
+    """
     builder = SparkSession.builder.appName(app)
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+        "spark.sql.maxConcurrentOutputFileWriters": "16",
         "spark.ui.enabled": "false",
         **conf,
     }

@@ -7,6 +7,7 @@ from agoralake.sources.bronze import (
     read_documents,
     read_foreign_documents,
 )
+from agoralake.sources.listing import read_listing
 from agoralake.sources.parquet import (
     path_community,
     path_exists,
@@ -27,5 +28,6 @@ __all__ = [
     "read_foreign_documents",
     "read_foreign_silver",
     "read_gold",
+    "read_listing",
     "read_silver",
 ]

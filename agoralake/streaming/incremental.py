@@ -14,17 +14,26 @@ from agoralake.operators.silver import clean_posts, unnest_posts
 from agoralake.plans.load import load_touched
 from agoralake.schemas import RUN_PARTITIONS, SILVER, with_partitions
 from agoralake.sinks import add_run_partitions
-from agoralake.sources.bronze import CORRUPT, DOCUMENT_SCHEMA, good_documents
+from agoralake.sources.bronze import (
+    CORRUPT,
+    DOCUMENT_SCHEMA,
+    good_documents,
+    quarantined_documents,
+)
+
+
+def _new_documents(spark: SparkSession, lake: Lake, max_files: int | None) -> DataFrame:
+    reader = spark.readStream.schema(DOCUMENT_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.json(lake.bronze)
 
 
 def stream_silver(
     spark: SparkSession, lake: Lake, max_files: int | None = None
 ) -> StreamingQuery:
     """Clean every bronze document that arrived since the last call, then stop."""
-    reader = spark.readStream.schema(DOCUMENT_SCHEMA).option("columnNameOfCorruptRecord", CORRUPT)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    posts = unnest_posts(good_documents(reader.json(lake.bronze)))
+    posts = unnest_posts(good_documents(_new_documents(spark, lake, max_files)))
     return (
         add_run_partitions(clean_posts(posts))
         .writeStream.format("parquet")
@@ -36,6 +45,20 @@ def stream_silver(
     )
 
 
+def stream_quarantine(
+    spark: SparkSession, lake: Lake, max_files: int | None = None
+) -> StreamingQuery:
+    """Set aside every bronze document `stream_silver` has to skip, then stop."""
+    return (
+        quarantined_documents(_new_documents(spark, lake, max_files))
+        .writeStream.format("json")
+        .option("path", f"{lake.quarantine}/stream")
+        .option("checkpointLocation", lake.checkpoint("quarantine"))
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def stream_gold(spark: SparkSession, lake: Lake, max_files: int | None = None) -> StreamingQuery:
     """Rebuild gold for the partitions new silver files belong to, then stop.
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from agoralake.config import GOLD_DATASETS, Lake
@@ -14,6 +16,7 @@ from agoralake.plans.catalog import (
     setup,
 )
 from agoralake.plans.load import load, run
+from agoralake.plans.reports import Reports
 from agoralake.sources import read_gold
 from rows import RUN, listing, post
 
@@ -118,6 +121,19 @@ def test_views(spark, loaded):
         spark.catalog.dropTempView(name)
 
 
+def test_reports(spark, loaded):
+    setup(spark, loaded)
+    reports = Reports(spark, loaded.database)
+    assert [r.subreddit for r in reports.engagement_by_date().collect()] == ["x", "y"]
+    assert [r.id for r in reports.top_posts("x", limit=2).collect()] == ["x2", "x1"]
+    assert reports.active_discussions("y", "2024-01-02").count() == 0
+    assert reports.length_vs_engagement().count() == 2
+    assert reports.community("y")["top_posts"].count() == 3
+    assert reports.preview()["discussions"].collect() == []
+    text = reports.top_posts("x")._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: .*subreddit.* = x", text)
+
+
 def test_names_and_paths_are_quoted(spark, tmp_path):
     lake = Lake(str(tmp_path / "it's here"), "t_select")
     run(spark, listing(spark, post()), lake, RUN)

@@ -8,7 +8,13 @@ import pytest
 from agoralake.config import GOLD_DATASETS
 from agoralake.plans import load as load_module
 from agoralake.plans.load import run, run_daily, run_foreign, run_summary
-from agoralake.sources import query_to_dataframe, read_documents, read_gold, read_silver
+from agoralake.sources import (
+    query_to_dataframe,
+    read_documents,
+    read_gold,
+    read_listing,
+    read_silver,
+)
 from rows import NOON, RUN, envelope, listing, post
 
 LATER = datetime(2024, 1, 31, 3, 30)
@@ -134,6 +140,14 @@ def test_daily_round(spark, lake):
     assert [count(t) for t in tables] == [10, 10, 4, 10]
 
 
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_from_collected_files(spark, lake, tmp_path, fmt):
+    for day in (1, 2):
+        raw(spark, x=2).write.format(fmt).save(str(tmp_path / "raw" / str(day)))
+    got = run(spark, read_listing(spark, str(tmp_path / "raw"), fmt), lake, RUN, 3)
+    assert summary(got) == {"x": (3, 3, 1, 3, 3, True)}
+
+
 def test_unreadable_storage_raises(spark, lake, tmp_path):
     (tmp_path / "lake").write_text("a file where the lake should be")
     with pytest.raises(Exception):

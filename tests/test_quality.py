@@ -66,5 +66,7 @@ def test_healthy_lake(spark, lake):
     assert {r.newest_record for r in rows.values()} == {RUN}
     assert {r.report_ts for r in rows.values()} == {datetime(2024, 2, 1)}
     assert all((r.newest_file - start).total_seconds() > -2 for r in rows.values())
-    day = report(spark, lake, run_date="2024-01-30")
+    day = report(spark, lake, run_date=RUN.date().replace(day=30))
     assert {n: r.record_count for n, r in day.items()} == {"bronze": 1, "silver": 1, "gold": 3}
+    idle = report(spark, lake, run_date=RUN.date().replace(day=29))
+    assert {(r.exists, r.record_count, r.status) for r in idle.values()} == {(True, 0, "warning")}

@@ -8,7 +8,7 @@ from agoralake.plans.load import load, load_touched
 from agoralake.plans import load as load_module
 from agoralake.sinks import write_documents
 from agoralake.sources import read_gold, read_silver
-from agoralake.streaming import stream_gold, stream_silver
+from agoralake.streaming import stream_gold, stream_quarantine, stream_silver
 from rows import RUN, listing, post
 
 NEXT = RUN.replace(hour=4)
@@ -52,6 +52,10 @@ def test_broken_documents_do_not_stop_the_stream(spark, lake, tmp_path):
     (folder / "part.json").write_text('{"source": "forum", "subreddit": "y", "posts": [{"id": \n')
     stream_silver(spark, lake).awaitTermination()
     assert [r[:2] for r in silver_ids(spark, lake)] == [("x", "x00"), ("x", "x01")]
+    for _ in range(2):
+        stream_quarantine(spark, lake).awaitTermination()
+    (bad,) = spark.read.json(f"{lake.quarantine}/stream").collect()
+    assert bad.reason == "broken document" and "community=y" in bad.file_path
 
 
 def test_gold_of_a_run_split_over_batches_equals_the_batch_load(spark, lake, tmp_path):
