@@ -14,7 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agoralake.config import ENGAGEMENT_VIEW, GOLD_DATASETS, TOP_COMMENTED_VIEW, TOP_POSTS_VIEW, Lake
+from agoralake.config import (
+    ENGAGEMENT_VIEW,
+    GOLD_DATASETS,
+    POST_LIMIT,
+    TOP_COMMENTED_VIEW,
+    TOP_POSTS_VIEW,
+    Lake,
+)
 from agoralake.functions import run_partition
 from agoralake.operators import analytics as A
 from agoralake.operators import gold as G
@@ -90,7 +97,7 @@ def bronze_bounded_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bronze_envelope(spark: SparkSession, folder: str) -> DataFrame:
-    documents = build_documents(bronze_bounded_ingest(spark, folder), RUN)
+    documents = build_documents(bronze_bounded_ingest(spark, folder), RUN, POST_LIMIT)
     stamp = F.col("extracted_at").cast("timestamp_ntz")
     return documents.select(
         "source",
@@ -106,7 +113,7 @@ def bronze_envelope(spark: SparkSession, folder: str) -> DataFrame:
 def _stored_documents(spark: SparkSession, folder: str) -> DataFrame:
     lake = _lake(spark)
     posts = stamp_posts(listing_from_tables(spark, folder), RUN)
-    write_documents(build_documents(posts, RUN, post_limit=None), lake.bronze)
+    write_documents(build_documents(posts, RUN), lake.bronze)
     return read_documents(spark, lake.bronze)
 
 
@@ -304,7 +311,7 @@ def _streamed(spark: SparkSession, folder: str, with_gold: bool) -> Lake:
 
     for part, run_ts in ((early, RUN), (~early, SECOND_RUN)):
         posts = stamp_posts(listing.where(part), run_ts)
-        write_documents(build_documents(posts, run_ts, post_limit=None), lake.bronze)
+        write_documents(build_documents(posts, run_ts), lake.bronze)
         refresh()
     refresh()
     return lake

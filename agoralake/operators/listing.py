@@ -45,15 +45,15 @@ def stamp_posts(records: DataFrame, run_ts: datetime, source: str = SOURCE) -> D
 def build_documents(
     posts: DataFrame,
     run_ts: datetime,
-    post_limit: int | None = POST_LIMIT,
+    post_limit: int | None = None,
     max_posts: int = MAX_POSTS_PER_DOCUMENT,
 ) -> DataFrame:
-    """Fold posts into bronze documents: one per community, posts in listing order.
+    """Fold posts into bronze documents, posts in listing order.
 
-    The fold holds one document in memory, so documents are bounded. A listing of at most
-    `max_posts` gives one document per community. A larger or unbounded one is cut into documents
-    of `max_posts`, numbered within the rows of one map task: no community, however large, is ever
-    sorted or collected as a whole.
+    The fold holds one document in memory, so documents are bounded. A listing known to hold at most
+    `post_limit` posts per community, if that is no more than `max_posts`, gives one document per
+    community. Any other is cut into documents of `max_posts`, numbered within the rows of one map
+    task: no community, however large, is ever sorted or collected as a whole.
     """
     keys = ["source", "subreddit"]
     if post_limit is None or post_limit > max_posts:

@@ -11,15 +11,13 @@ from pyspark.sql import SparkSession
 def build_session(app: str = "agoralake", **conf: str) -> SparkSession:
     """Settings for large inputs; any of them can be overridden by keyword.
 
-    AQE joins and splits shuffle partitions to about 128 MB. A task that writes few partitions keeps
-    a file open for each instead of sorting its rows by partition.
+    AQE joins and splits shuffle partitions to about 128 MB, so their number is an upper bound only.
     """
     builder = SparkSession.builder.appName(app)
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
-        "spark.sql.maxConcurrentOutputFileWriters": "16",
         "spark.ui.enabled": "false",
         **conf,
     }
@@ -31,9 +29,11 @@ def build_session(app: str = "agoralake", **conf: str) -> SparkSession:
 def scratch_folder(spark: SparkSession) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    Only a session that names none (tests on one machine) falls back to the temp directory.
+    A session on one machine that names none gets a temp directory; a cluster has to name one.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/agoralake-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder all executors share")
     return tempfile.mkdtemp(prefix="agoralake-")

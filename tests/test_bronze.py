@@ -46,7 +46,7 @@ def test_stamp(spark):
 
 def test_one_document_per_community(spark):
     posts = stamp_posts(raw(spark, ("x", 12), ("y", 2)).repartition(5), RUN)
-    documents = build_documents(posts, RUN)
+    documents = build_documents(posts, RUN, 100)
     assert documents.columns == ENVELOPE.fieldNames()
     rows = {r.subreddit: r for r in documents.collect()}
     assert {s: r.record_count for s, r in rows.items()} == {"x": 12, "y": 2}
