@@ -84,7 +84,7 @@ def test_json_round_trip(spark, lake):
 def test_a_repeated_write_replaces_its_run_only(spark, lake):
     def write(count, run_ts):
         posts = stamp_posts(raw(spark, ("x", count)), run_ts)
-        write_documents(build_documents(posts, run_ts), lake.bronze)
+        write_documents(build_documents(posts, run_ts, 100), lake.bronze)
 
     write(5, RUN)
     write(3, RUN.replace(hour=3))
