@@ -30,9 +30,8 @@ def _normal(rows, names: list[str], order: list[str]) -> list[tuple]:
     return sorted((tuple(row[i] for i in places) for row in rows), key=_key)
 
 
-def difference(spark, db, query, sql: str, folder: str) -> str | None:
+def difference(df, db: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     """None if both sides give the same columns and rows, else what differs first."""
-    df = query(spark, folder)
     result = db.execute(sql)
     names = [column[0] for column in result.description]
     if sorted(names) != sorted(df.columns):
@@ -72,7 +71,7 @@ if __name__ == "__main__":
             continue
         start = time.time()
         try:
-            found = difference(spark, db, query, twins[name], folder)
+            found = difference(query(spark, folder), db, twins[name])
         except Exception as error:
             found = f"{type(error).__name__}: {str(error)[:1500]}"
         print(f"{name:28s} {time.time() - start:6.1f}s  {found or 'same'}", flush=True)

@@ -12,9 +12,9 @@ def spark():
     session = build_session(
         "tests",
         **{
-            "spark.master": "local[4]",
+            "spark.master": "local[8]",
             "spark.driver.memory": "8g",
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.sql.session.timeZone": "America/New_York",
         },
     )

@@ -6,7 +6,6 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from agoralake import Lake
 from agoralake.config import GOLD_DATASETS
 from agoralake.operators import analytics as A
@@ -43,14 +42,6 @@ def stored(spark, tmp_path_factory):
     return lake
 
 
-@pytest.mark.parametrize("name", entry.queries())
-def test_no_python_in_any_plan(spark, name):
-    if name in ("register_external_tables", "quality_report", "run_summary", "stream_gold_refresh"):
-        pytest.skip("stores a lake first; its parts are covered by the others")
-    text = plan(entry.queries()[name](spark, FOLDER))
-    assert not re.search(r"EvalPython|InPandas|InArrow|CartesianProduct|NestedLoop", text)
-
-
 def test_bronze_to_silver_does_not_shuffle(spark, stored):
     documents = read_documents(spark, stored.bronze)
     text = tree(clean_posts(unnest_posts(good_documents(documents))))
