@@ -118,7 +118,7 @@ def create_table_from_parquet(
         log.error("unknown kind of table: %s", table)
         return False
     partitions = [
-        T.StructField(f["name"], T._parse_datatype_string(f["type"]))
+        T.StructField(f["name"], T.DataType.fromDDL(f["type"]))
         for f in partition_fields or []
     ]
     create_database(spark, database)

@@ -7,17 +7,37 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+MB = 1024 * 1024
 
-def build_session(app: str = "agoralake", **conf: str) -> SparkSession:
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Shuffle and scan sizes for an input: shuffle partitions near 512 MB, at most 400,000 scan tasks.
+
+    AQE joins shuffle partitions that turn out small, so a generous number costs little.
+    """
+    scan_mb = min(max(input_bytes // 400_000 // MB, 128), 512)
+    shuffles = min(max(input_bytes // (512 * MB), 200), 100_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{scan_mb}MB",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffles),
+    }
+
+
+def build_session(
+    app: str = "agoralake", input_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """Settings for large inputs; any of them can be overridden by keyword.
 
-    AQE joins and splits shuffle partitions to about 128 MB, so their number is an upper bound only.
+    `input_bytes` is what the largest job reads. AQE brings shuffle partitions to about 128 MB. A
+    listing bound above the default threshold still cuts before the shuffle.
     """
     builder = SparkSession.builder.appName(app)
     settings = {
+        **(sizing(input_bytes) if input_bytes else {}),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+        "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
         "spark.ui.enabled": "false",
         **conf,
     }
