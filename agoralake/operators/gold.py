@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from agoralake.config import TOP_K
 from agoralake.operators.topk import top_k_per_group
-from agoralake.schemas import DAILY_STATS, SUBREDDIT_STATS_TABLE
+from agoralake.schemas import DAILY_PARTIALS, DAILY_STATS, SUBREDDIT_STATS_TABLE
 
 RUN_KEYS = ("run_ts", "subreddit")
+AVERAGED = ("score", "num_comments", "title_length", "selftext_length", "upvote_ratio")
 
 
 def daily_stats(silver: DataFrame) -> DataFrame:
@@ -41,6 +42,45 @@ def daily_stats(silver: DataFrame) -> DataFrame:
     )
 
 
+def daily_partials(silver: DataFrame) -> DataFrame:
+    """Daily statistics of a part of the posts, in a form that merges with other parts."""
+    sums = [F.sum(m).alias(f"{m}_sum") for m in AVERAGED]
+    counts = [F.count(m).alias(f"{m}_count") for m in AVERAGED]
+    return (
+        silver.where(F.col("date").isNotNull())
+        .groupBy(*RUN_KEYS, "date")
+        .agg(
+            F.count("id").alias("id_count"),
+            F.max("score").alias("score_max"),
+            F.max("num_comments").alias("num_comments_max"),
+            *sums,
+            *counts,
+        )
+        .select(*DAILY_PARTIALS.fieldNames())
+    )
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Daily statistics out of the partial ones of all parts."""
+    means = [
+        F.try_divide(F.sum(f"{m}_sum"), F.sum(f"{m}_count")).alias(f"{m}_mean") for m in AVERAGED
+    ]
+    sums = [
+        F.coalesce(F.sum(f"{m}_sum"), F.lit(0)).alias(f"{m}_sum") for m in ("score", "num_comments")
+    ]
+    return (
+        partials.groupBy(*RUN_KEYS, "date")
+        .agg(
+            F.sum("id_count").alias("id_count"),
+            F.max("score_max").alias("score_max"),
+            F.max("num_comments_max").alias("num_comments_max"),
+            *means,
+            *sums,
+        )
+        .select(*DAILY_STATS.fieldNames())
+    )
+
+
 def top_posts(silver: DataFrame, k: int = TOP_K) -> DataFrame:
     """The `k` best scored posts of every run and community, ties by id."""
     return _top(silver, "score", k)

@@ -82,6 +82,28 @@ DAILY_STATS = T.StructType(
     ]
 )
 
+# What a stream keeps per batch to build daily statistics from.
+DAILY_PARTIALS = T.StructType(
+    [
+        T.StructField("date", T.DateType()),
+        T.StructField("id_count", T.LongType()),
+        T.StructField("score_max", T.LongType()),
+        T.StructField("num_comments_max", T.LongType()),
+        T.StructField("score_sum", T.LongType()),
+        T.StructField("num_comments_sum", T.LongType()),
+        T.StructField("title_length_sum", T.LongType()),
+        T.StructField("selftext_length_sum", T.LongType()),
+        T.StructField("upvote_ratio_sum", T.DoubleType()),
+        T.StructField("score_count", T.LongType()),
+        T.StructField("num_comments_count", T.LongType()),
+        T.StructField("title_length_count", T.LongType()),
+        T.StructField("selftext_length_count", T.LongType()),
+        T.StructField("upvote_ratio_count", T.LongType()),
+        T.StructField("subreddit", T.StringType()),
+        T.StructField("run_ts", T.TimestampNTZType()),
+    ]
+)
+
 GOLD = {"daily_stats": DAILY_STATS, "top_posts": SILVER, "top_commented": SILVER}
 
 BRONZE_POSTS_TABLE = T.StructType(
@@ -139,6 +161,7 @@ LAYER_TABLES = {
 # so loading it lists nothing else, however many runs and communities the lake holds.
 BRONZE_PARTITIONS = ("run_date", "run_hour", "run_id", "community")
 RUN_PARTITIONS = ("run_date", "run_id", "subreddit")
+BATCH_PARTITIONS = (*RUN_PARTITIONS, "batch")
 
 PARTITION_TYPES = {
     "community": T.StringType(),
@@ -146,6 +169,7 @@ PARTITION_TYPES = {
     "run_date": T.DateType(),
     "run_hour": T.StringType(),
     "run_id": T.StringType(),
+    "batch": T.LongType(),
 }
 
 

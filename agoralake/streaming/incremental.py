@@ -6,20 +6,39 @@ batch loads belong in a lake of their own.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from agoralake.config import Lake
+from agoralake.operators import gold
 from agoralake.operators.silver import clean_posts, unnest_posts
-from agoralake.plans.load import load_touched
-from agoralake.schemas import RUN_PARTITIONS, SILVER, with_partitions
-from agoralake.sinks import add_run_partitions
+from agoralake.plans.load import of_partitions
+from agoralake.schemas import (
+    BATCH_PARTITIONS,
+    DAILY_PARTIALS,
+    RUN_PARTITIONS,
+    SILVER,
+    with_partitions,
+)
+from agoralake.sinks import add_run_partitions, write_gold, write_partitions
 from agoralake.sources.bronze import (
     CORRUPT,
     DOCUMENT_SCHEMA,
     good_documents,
     quarantined_documents,
 )
+from agoralake.sources.parquet import read_layer
+
+
+# Per gold dataset: what its partial results look like, how a batch gives them, how they merge.
+STATE = {
+    "daily_stats": (DAILY_PARTIALS, gold.daily_partials, gold.merge_partials),
+    "top_posts": (SILVER, gold.top_posts, gold.top_posts),
+    "top_commented": (SILVER, gold.top_commented, gold.top_commented),
+}
 
 
 def _new_documents(spark: SparkSession, lake: Lake, max_files: int | None) -> DataFrame:
@@ -60,24 +79,32 @@ def stream_quarantine(
 
 
 def stream_gold(spark: SparkSession, lake: Lake, max_files: int | None = None) -> StreamingQuery:
-    """Rebuild gold for the partitions new silver files belong to, then stop.
+    """Bring gold up to date with the silver files that arrived since the last call, then stop.
 
-    A batch only says which partitions changed; gold comes from all of their stored silver. So a
-    run whose files arrive in several batches still gets right means and top lists, and a replayed
-    batch overwrites its partitions with the same rows.
+    Each batch stores its own partial statistics and top lists, then gold is merged for the run
+    partitions it touched. A batch so costs what its files cost, not what their communities hold; a
+    run whose files arrive in several batches gets right means and lists; and a replayed batch
+    overwrites its own partials and the same gold.
     """
-    schema = with_partitions(SILVER, RUN_PARTITIONS)
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(with_partitions(SILVER, RUN_PARTITIONS))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        load_touched(batch.sparkSession, lake, batch)
-
     return (
         reader.parquet(lake.silver)
-        .writeStream.foreachBatch(refresh)
+        .writeStream.foreachBatch(partial(merge_batch, lake))
         .option("checkpointLocation", lake.checkpoint("gold"))
         .trigger(availableNow=True)
         .start()
     )
+
+
+def merge_batch(lake: Lake, batch: DataFrame, batch_id: int) -> None:
+    """Store one batch's partial results and merge those of the partitions it touched into gold."""
+    for dataset, (schema, cut, merge) in STATE.items():
+        part = add_run_partitions(cut(batch)).withColumn("batch", F.lit(batch_id).cast("bigint"))
+        part = part.hint("rebalance", *RUN_PARTITIONS)
+        write_partitions(part, lake.state(dataset), BATCH_PARTITIONS)
+        parts = read_layer(
+            batch.sparkSession, lake.state(dataset), with_partitions(schema, BATCH_PARTITIONS)
+        )
+        write_gold(merge(of_partitions(parts, batch)), lake.gold(dataset))

@@ -39,6 +39,27 @@ def test_daily_stats(spark):
     assert (second.date, second.id_count, second.score_sum) == (date(2024, 1, 2), 1, 7)
 
 
+def test_merged_partials_equal_the_whole(spark):
+    chance = random.Random(5)
+    posts = [
+        post(
+            str(i),
+            subreddit=chance.choice("xxxy"),
+            score=chance.choice([None, i]),
+            num_comments=None if i % 4 else i,
+            created_utc=NOON + DAY * (i % 5),
+            title=chance.choice([None, "t" * i]),
+            upvote_ratio=i / 64,
+        )
+        for i in range(60)
+    ]
+    parts = [G.daily_partials(silver(spark, *posts[i::3])) for i in range(3)]
+    merged = G.merge_partials(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    whole = G.daily_stats(silver(spark, *posts))
+    assert merged.dtypes == whole.dtypes
+    assert sorted(map(str, merged.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_day_without_numbers(spark):
     row = G.daily_stats(silver(spark, post(score=None, num_comments=None))).first()
     assert (row.score_sum, row.score_max, row.score_mean) == (0, None, None)

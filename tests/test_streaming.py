@@ -4,11 +4,12 @@ import pytest
 
 from agoralake.config import GOLD_DATASETS, Lake
 from agoralake.operators.listing import build_documents, stamp_posts
-from agoralake.plans.load import load, load_touched
+from agoralake.plans.load import load
 from agoralake.plans import load as load_module
 from agoralake.sinks import write_documents
 from agoralake.sources import read_gold, read_silver
 from agoralake.streaming import stream_gold, stream_quarantine, stream_silver
+from agoralake.streaming.incremental import merge_batch
 from rows import RUN, listing, post
 
 NEXT = RUN.replace(hour=4)
@@ -77,18 +78,35 @@ def test_a_replayed_batch_changes_nothing(spark, lake):
     stream_silver(spark, lake).awaitTermination()
     stream_gold(spark, lake).awaitTermination()
     before = gold_rows(spark, lake)
-    load_touched(spark, lake, read_silver(spark, lake.silver).where("run_id like '%_020000'"))
+    assert {d: len(rows) for d, rows in before.items()} == {
+        "daily_stats": 2,
+        "top_posts": 7,
+        "top_commented": 7,
+    }
+    merge_batch(lake, read_silver(spark, lake.silver), 0)
     assert gold_rows(spark, lake) == before
-    load_touched(spark, lake, read_silver(spark, lake.silver).limit(0))
+    merge_batch(lake, read_silver(spark, lake.silver).limit(0), 1)
     assert gold_rows(spark, lake) == before
 
 
+def test_a_batch_leaves_other_partitions_alone(spark, lake):
+    arrive(spark, lake, RUN, posts("x", 4))
+    stream_silver(spark, lake).awaitTermination()
+    stream_gold(spark, lake).awaitTermination()
+    files = set(read_gold(spark, lake.gold("top_posts"), "top_posts").inputFiles())
+    arrive(spark, lake, NEXT, posts("y", 2))
+    stream_silver(spark, lake).awaitTermination()
+    stream_gold(spark, lake).awaitTermination()
+    assert files < set(read_gold(spark, lake.gold("top_posts"), "top_posts").inputFiles())
+
+
 @pytest.mark.parametrize("limit", [0, 100])
 def test_partition_lists_too_long_to_broadcast(spark, lake, monkeypatch, limit):
     monkeypatch.setattr(load_module, "BROADCAST_ROWS", limit)
     arrive(spark, lake, RUN, posts("x", 4) + posts("y", 2))
     stream_silver(spark, lake).awaitTermination()
-    load(spark, lake)
-    before = gold_rows(spark, lake)
-    load_touched(spark, lake, read_silver(spark, lake.silver))
-    assert gold_rows(spark, lake) == before
+    silver = read_silver(spark, lake.silver)
+    only_x = load_module.of_partitions(silver, silver.where("subreddit = 'x'"))
+    assert only_x.columns == silver.columns
+    assert {r.subreddit for r in only_x.collect()} == {"x"}
+    assert load_module.of_partitions(silver, silver.limit(0)).count() == 0
