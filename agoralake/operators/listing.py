@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from agoralake.config import MAX_POSTS_PER_DOCUMENT, POST_LIMIT, SOURCE
 from agoralake.operators.topk import top_k_per_group
@@ -25,11 +26,17 @@ def take_listing(raw: DataFrame, post_limit: int | None = POST_LIMIT) -> DataFra
 def stamp_posts(records: DataFrame, run_ts: datetime, source: str = SOURCE) -> DataFrame:
     """The stored post fields plus source, community and place in the listing.
 
-    A record that carries its own extraction time keeps it. A missing author stays NULL here.
+    A record that carries its own extraction time keeps it. An author given as an object becomes its
+    name; a missing one stays NULL here.
     """
     stamp = F.lit(run_ts.isoformat())
     given = F.col("extracted_at") if "extracted_at" in records.columns else F.lit(None)
-    derived = {"extracted_at": F.coalesce(given.cast("string"), stamp)}
+    author = records.schema["author"].dataType
+    named = isinstance(author, T.StructType) and "name" in author.fieldNames()
+    derived = {
+        "extracted_at": F.coalesce(given.cast("string"), stamp),
+        "author": F.col("author.name" if named else "author"),
+    }
     fields = [
         derived.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in POST.fields
     ]

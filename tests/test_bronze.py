@@ -44,6 +44,12 @@ def test_stamp(spark):
     assert unnamed.source == "reddit"
 
 
+def test_author_objects_become_names(spark):
+    person = F.when(F.col("id") == "x000", F.struct(F.lit("ann").alias("name"), F.lit(7).alias("karma")))
+    posts = stamp_posts(raw(spark, ("x", 2)).withColumn("author", person), RUN)
+    assert {r.id: r.author for r in posts.collect()} == {"x000": "ann", "x001": None}
+
+
 def test_one_document_per_community(spark):
     posts = stamp_posts(raw(spark, ("x", 12), ("y", 2)).repartition(5), RUN)
     documents = build_documents(posts, RUN, 100)
