@@ -59,7 +59,7 @@ SPLIT_DAY = "2024-01-16"
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    """Means and correlations to six places: engines add doubles in different orders."""
+    """Means and correlations to six places, as the twins have them."""
     return df.select(
         *[
             F.round(f.name, 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else f.name
@@ -380,7 +380,7 @@ posts AS (
               WHEN e.event_id % 7 = 1 THEN '   '
               WHEN e.event_id % 7 = 2 THEN chr(12288) || d.text || chr(160) || chr(10)
               ELSE d.text END AS selftext,
-         CAST((e.event_id % 51 + 50) / 100.0 AS DOUBLE) AS upvote_ratio,
+         CAST((e.event_id % 33 + 32) / 64.0 AS DOUBLE) AS upvote_ratio,
          'https://example.org/' || e.event_type || '/' || e.event_id AS url,
          CASE WHEN e.event_id % 11 <> 0 THEN 'user_' || e.user_id END AS author,
          e.event_id % 5 = 0 AS is_original_content,

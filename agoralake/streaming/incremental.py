@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from agoralake.config import Lake
 from agoralake.operators import gold
 from agoralake.operators.silver import clean_posts, unnest_posts
-from agoralake.plans.load import of_partitions
+from agoralake.plans.load import in_partitions_of
 from agoralake.schemas import (
     BATCH_PARTITIONS,
     DAILY_PARTIALS,
@@ -100,6 +100,7 @@ def stream_gold(spark: SparkSession, lake: Lake, max_files: int | None = None) -
 
 def merge_batch(lake: Lake, batch: DataFrame, batch_id: int) -> None:
     """Store one batch's partial results and merge those of the partitions it touched into gold."""
+    touched = in_partitions_of(batch)
     for dataset, (schema, cut, merge) in STATE.items():
         part = add_run_partitions(cut(batch)).withColumn("batch", F.lit(batch_id).cast("bigint"))
         part = part.hint("rebalance", *RUN_PARTITIONS)
@@ -107,4 +108,4 @@ def merge_batch(lake: Lake, batch: DataFrame, batch_id: int) -> None:
         parts = read_layer(
             batch.sparkSession, lake.state(dataset), with_partitions(schema, BATCH_PARTITIONS)
         )
-        write_gold(merge(of_partitions(parts, batch)), lake.gold(dataset))
+        write_gold(merge(touched(parts)), lake.gold(dataset))

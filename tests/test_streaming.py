@@ -106,7 +106,7 @@ def test_partition_lists_too_long_to_broadcast(spark, lake, monkeypatch, limit):
     arrive(spark, lake, RUN, posts("x", 4) + posts("y", 2))
     stream_silver(spark, lake).awaitTermination()
     silver = read_silver(spark, lake.silver)
-    only_x = load_module.of_partitions(silver, silver.where("subreddit = 'x'"))
+    only_x = load_module.in_partitions_of(silver.where("subreddit = 'x'"))(silver)
     assert only_x.columns == silver.columns
     assert {r.subreddit for r in only_x.collect()} == {"x"}
-    assert load_module.of_partitions(silver, silver.limit(0)).count() == 0
+    assert load_module.in_partitions_of(silver.limit(0))(silver).count() == 0
