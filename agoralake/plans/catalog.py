@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable, Sequence
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -28,6 +29,7 @@ from agoralake.schemas import (
     RUN_PARTITIONS,
     SILVER,
 )
+from agoralake.session import together
 from agoralake.sinks import add_run_partitions, write_partitions
 from agoralake.sources import (
     good_documents,
@@ -201,6 +203,12 @@ def setup(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.createDataFrame(results, "table string, ok boolean, message string")
 
 
+def _fill(lake: Lake, name: str, rows: DataFrame) -> None:
+    if name == "gold_subreddit_stats":
+        rows = rows.hint("rebalance", *LAYER_PARTITIONS)
+    write_partitions(rows, lake.table(name), LAYER_PARTITIONS)
+
+
 def refresh_tables(spark: SparkSession, lake: Lake, run_date: date | None = None) -> None:
     """Fill the layer tables from bronze, silver and gold; `run_date` limits it to one day's runs."""
     day = f"run_date={run_date}" if run_date else ""
@@ -213,12 +221,7 @@ def refresh_tables(spark: SparkSession, lake: Lake, run_date: date | None = None
         "silver_posts": silver_posts(silver, *LAYER_PARTITIONS),
         "gold_subreddit_stats": subreddit_stats(daily, *LAYER_PARTITIONS),
     }
-    for name, rows in contents.items():
-        if name == "gold_subreddit_stats":
-            rows = rows.hint("rebalance", *LAYER_PARTITIONS)
-        write_partitions(rows, lake.table(name), LAYER_PARTITIONS)
-        if spark.catalog.tableExists(_name(lake.database, name)):
-            discover_partitions(spark, lake.database, name)
-    for name in GOLD_DATASETS:
+    together(spark, *[partial(_fill, lake, name, rows) for name, rows in contents.items()])
+    for name in (*contents, *GOLD_DATASETS):
         if spark.catalog.tableExists(_name(lake.database, name)):
             discover_partitions(spark, lake.database, name)

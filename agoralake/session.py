@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 MB = 1024 * 1024
@@ -46,6 +49,17 @@ def build_session(
     return builder.getOrCreate()
 
 
+def together(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Run independent Spark actions at the same time, so that one's last tasks idle no executors.
+
+    All of them end before the first failure is raised.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    for step in running:
+        step.result()
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 

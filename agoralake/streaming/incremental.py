@@ -23,6 +23,7 @@ from agoralake.schemas import (
     SILVER,
     with_partitions,
 )
+from agoralake.session import together
 from agoralake.sinks import add_run_partitions, write_gold, write_partitions
 from agoralake.sources.bronze import (
     CORRUPT,
@@ -101,11 +102,16 @@ def stream_gold(spark: SparkSession, lake: Lake, max_files: int | None = None) -
 def merge_batch(lake: Lake, batch: DataFrame, batch_id: int) -> None:
     """Store one batch's partial results and merge those of the partitions it touched into gold."""
     touched = in_partitions_of(batch)
-    for dataset, (schema, cut, merge) in STATE.items():
+    spark = batch.sparkSession
+
+    def refresh(dataset: str) -> None:
+        schema, cut, merge = STATE[dataset]
+        gather = dataset == "daily_stats"
         part = add_run_partitions(cut(batch)).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        part = part.hint("rebalance", *RUN_PARTITIONS)
+        if gather:
+            part = part.hint("rebalance", *RUN_PARTITIONS)
         write_partitions(part, lake.state(dataset), BATCH_PARTITIONS)
-        parts = read_layer(
-            batch.sparkSession, lake.state(dataset), with_partitions(schema, BATCH_PARTITIONS)
-        )
-        write_gold(merge(touched(parts)), lake.gold(dataset))
+        parts = read_layer(spark, lake.state(dataset), with_partitions(schema, BATCH_PARTITIONS))
+        write_gold(merge(touched(parts)), lake.gold(dataset), gather)
+
+    together(spark, *[partial(refresh, dataset) for dataset in STATE])

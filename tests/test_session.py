@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+from threading import Barrier
+from time import sleep
 from types import SimpleNamespace
 
 import pytest
 
-from agoralake.session import MB, scratch_folder, sizing
+from agoralake.session import MB, scratch_folder, sizing, together
 
 SCAN = "spark.sql.files.maxPartitionBytes"
 SHUFFLE = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -34,6 +36,24 @@ def test_scratch_folders_are_below_the_shared_one(master):
     assert all(f.startswith("s3a://shared/checkpoints/agoralake-") for f in (first, second))
 
 
+def test_steps_run_together_and_all_end_before_a_failure_is_raised(spark):
+    done = []
+    both = Barrier(2)
+
+    def good() -> None:
+        both.wait(20)
+        sleep(0.3)
+        done.append(spark.range(3).count())
+
+    def bad() -> None:
+        both.wait(20)
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        together(spark, bad, good)
+    assert done == [3]
+
+
 def test_a_cluster_has_to_name_its_shared_folder():
     with pytest.raises(ValueError):
         scratch_folder(Session("yarn", None))
