@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agoralake.config import MAX_POSTS_PER_DOCUMENT, POST_LIMIT, SOURCE
+from agoralake.config import MAX_POSTS_PER_DOCUMENT, MAX_TEXT_PER_DOCUMENT, POST_LIMIT, SOURCE
 from agoralake.operators.topk import top_k_per_group
 from agoralake.schemas import ENVELOPE, POST
 
@@ -54,21 +54,29 @@ def build_documents(
     run_ts: datetime,
     post_limit: int | None = None,
     max_posts: int = MAX_POSTS_PER_DOCUMENT,
+    max_text: int = MAX_TEXT_PER_DOCUMENT,
 ) -> DataFrame:
     """Fold posts into bronze documents, posts in listing order.
 
     The fold holds one document in memory, so documents are bounded. A listing known to hold at most
     `post_limit` posts per community, if that is no more than `max_posts`, gives one document per
-    community. Any other is cut into documents of `max_posts`, numbered within the rows of one map
-    task: no community, however large, is ever sorted or collected as a whole.
+    community. Any other is cut into documents of `max_posts` posts or `max_text` bytes, counted
+    within the rows of one map task: no community, however large, is ever sorted or collected as a
+    whole.
     """
     keys = ["source", "subreddit"]
     if post_limit is None or post_limit > max_posts:
         posts = posts.withColumn("_slice", F.spark_partition_id())
         window = Window.partitionBy(*keys, "_slice").orderBy(*LISTING_ORDER)
-        place = F.row_number().over(window) - 1
-        posts = posts.withColumn("_part", F.floor(place / F.lit(max_posts)))
-        keys += ["_slice", "_part"]
+        text = F.octet_length(F.concat_ws("", "title", "selftext")).cast("bigint")
+        before = window.rowsBetween(Window.unboundedPreceding, -1)
+        posts = posts.withColumns(
+            {
+                "_part": F.floor((F.row_number().over(window) - 1) / F.lit(max_posts)),
+                "_bulk": F.floor(F.coalesce(F.sum(text).over(before), F.lit(0)) / F.lit(max_text)),
+            }
+        )
+        keys += ["_slice", "_part", "_bulk"]
     ordered = F.sort_array(
         F.collect_list(F.struct(*LISTING_ORDER, F.struct(*POST.fieldNames()).alias("post")))
     )

@@ -68,6 +68,15 @@ def test_unbounded_documents_stay_small_and_whole(spark):
     assert ids == sorted([f"x{i:03d}" for i in range(95)] + ["y000", "y001"])
 
 
+def test_long_texts_make_more_documents(spark):
+    posts = [post(f"p{i:02d}", title="", selftext="ü" * 50 * (i % 4)) for i in range(40)]
+    stamped = stamp_posts(listing(spark, *posts).coalesce(1), RUN)
+    documents = build_documents(stamped, RUN, max_text=1000).collect()
+    sizes = [[len(p.selftext.encode()) for p in d.posts] for d in documents]
+    assert sum(map(len, sizes)) == 40 and len(documents) > 4
+    assert all(sum(size[:-1]) < 1000 for size in sizes)
+
+
 def test_json_round_trip(spark, lake):
     posts = stamp_posts(
         listing(

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
+
 from agoralake.config import GOLD_DATASETS
 from agoralake.operators import gold as G
 from agoralake.operators.silver import clean_posts
@@ -51,6 +53,20 @@ def test_one_missing_gold_dataset_is_a_failure(spark, lake):
     assert {r.status for r in rows.values()} == {"failure"}
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_broken_documents_count_as_files_without_records(spark, lake, tmp_path, ansi):
+    write_documents(envelopes(spark, envelope("x", [post()])), lake.bronze)
+    folder = tmp_path / "lake/bronze/reddit/run_date=2024-01-31/run_hour=02/run_id=b/community=y"
+    folder.mkdir(parents=True)
+    (folder / "part.json").write_text("{broken")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        bronze = report(spark, lake)["bronze"]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert (bronze.record_count, bronze.file_count) == (1, 2)
+
+
 def test_healthy_lake(spark, lake):
     start = datetime.now()
     posts = [post(f"{c}{i}", subreddit=c) for c in ("x", "y") for i in range(30)]
