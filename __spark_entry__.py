@@ -298,7 +298,7 @@ def run_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, folder: str, with_gold: bool) -> Lake:
-    """Two extractions of the listing by date, each followed by the streams, then a call too many."""
+    """Two extractions of the listing by date, the streams after each, and once more for nothing."""
     lake = _lake(spark)
     listing = listing_from_tables(spark, folder)
     split = (datetime.fromisoformat(SPLIT_DAY) - datetime(1970, 1, 1)).total_seconds()

@@ -96,7 +96,7 @@ def _top(silver: DataFrame, metric: str, k: int) -> DataFrame:
 
 
 def subreddit_stats(daily: DataFrame, *extra: str) -> DataFrame:
-    """Daily statistics as the catalogue's short table shows them, with any `extra` columns after."""
+    """Daily statistics as the catalogue's short table has them, with any `extra` columns after."""
     return daily.select(
         "subreddit",
         "date",

@@ -210,7 +210,7 @@ def _fill(lake: Lake, name: str, rows: DataFrame) -> None:
 
 
 def refresh_tables(spark: SparkSession, lake: Lake, run_date: date | None = None) -> None:
-    """Fill the layer tables from bronze, silver and gold; `run_date` limits it to one day's runs."""
+    """Fill the layer tables from bronze, silver and gold, of one day's runs or of all."""
     day = f"run_date={run_date}" if run_date else ""
     documents = good_documents(read_documents(spark, lake.bronze, day))
     raw = add_run_partitions(unnest_posts(documents), LAYER_PARTITIONS)

@@ -14,7 +14,7 @@ MB = 1024 * 1024
 
 
 def sizing(input_bytes: int) -> dict[str, str]:
-    """Shuffle and scan sizes for an input: shuffle partitions near 512 MB, at most 400,000 scan tasks.
+    """Shuffle and scan sizes for an input: partitions near 512 MB, at most 400,000 scan tasks.
 
     AQE joins shuffle partitions that turn out small, so a generous number costs little.
     """

@@ -12,10 +12,10 @@ def listing_from_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Every event with the text of document `event_id mod (number of documents)`.
 
     All documents and all events take part. Both sides grow with the data, and file sizes say little
-    about text in memory, so the join shuffles and merges instead of guessing at a broadcast. Titles are cut out before the join and padded, bodies are
-    partly missing, blank or padded with Unicode whitespace, authors partly missing, and the two
-    ISO forms of the extraction time mix. Ratios are 64ths: their sums are exact, so a mean does not
-    depend on the order in which tasks finish.
+    about text in memory, so the join shuffles and merges instead of guessing at a broadcast. Titles
+    are cut out before the join and padded, bodies are partly missing, blank or padded with Unicode
+    whitespace, authors partly missing, and the two ISO forms of the extraction time mix. Ratios are
+    64ths: their sums are exact, so a mean does not depend on the order in which tasks finish.
     """
     events = spark.read.parquet(f"{folder}/events.parquet")
     documents = spark.read.parquet(f"{folder}/documents.parquet").select(
@@ -32,7 +32,8 @@ def listing_from_tables(spark: SparkSession, folder: str) -> DataFrame:
         .when(event % 7 == 2, F.concat(F.lit("\u3000"), "text", F.lit("\u00a0\n")))
         .otherwise(F.col("text"))
     )
-    return events.join(documents.hint("merge"), event % doc_count == F.col("doc_id"), "left").select(
+    same = event % doc_count == F.col("doc_id")
+    return events.join(documents.hint("merge"), same, "left").select(
         event.cast("string").alias("id"),
         "title",
         F.floor(F.col("value") * 10).cast("bigint").alias("score"),

@@ -28,7 +28,7 @@ def read_layer(
     fmt: str = "parquet",
     **options: str,
 ) -> DataFrame:
-    """A partitioned layer, or of it the one run whose prefix is given; a run without files is empty."""
+    """A partitioned layer, or the one run of it below the given prefix; none there means empty."""
     place = f"{path}/{run}" if run else path
     if run and not path_exists(spark, place):
         return spark.createDataFrame([], schema)

@@ -33,7 +33,6 @@ from agoralake.sources.bronze import (
 )
 from agoralake.sources.parquet import read_layer
 
-
 # Per gold dataset: what its partial results look like, how a batch gives them, how they merge.
 STATE = {
     "daily_stats": (DAILY_PARTIALS, gold.daily_partials, gold.merge_partials),

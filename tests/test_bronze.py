@@ -45,7 +45,8 @@ def test_stamp(spark):
 
 
 def test_author_objects_become_names(spark):
-    person = F.when(F.col("id") == "x000", F.struct(F.lit("ann").alias("name"), F.lit(7).alias("karma")))
+    account = F.struct(F.lit("ann").alias("name"), F.lit(7).alias("karma"))
+    person = F.when(F.col("id") == "x000", account)
     posts = stamp_posts(raw(spark, ("x", 2)).withColumn("author", person), RUN)
     assert {r.id: r.author for r in posts.collect()} == {"x000": "ann", "x001": None}
 
@@ -69,7 +70,7 @@ def test_unbounded_documents_stay_small_and_whole(spark):
 
 
 def test_long_texts_make_more_documents(spark):
-    posts = [post(f"p{i:02d}", title="", selftext="ü" * 50 * (i % 4)) for i in range(40)]
+    posts = [post(f"p{i:02d}", title="", selftext="\u00fc" * 50 * (i % 4)) for i in range(40)]
     stamped = stamp_posts(listing(spark, *posts).coalesce(1), RUN)
     documents = build_documents(stamped, RUN, max_text=1000).collect()
     sizes = [[len(p.selftext.encode()) for p in d.posts] for d in documents]
@@ -81,7 +82,7 @@ def test_json_round_trip(spark, lake):
     posts = stamp_posts(
         listing(
             spark,
-            post("a", title='quote " back \\ line\n tab\t', selftext="\U0001f600　", author=None),
+            post("a", title='quote " back \\ line\n tab\t', selftext="\U0001f600\u3000", author=None),
             post("b", subreddit="c++ & co/1", score=None, created_utc=1.5e9),
         ),
         RUN,

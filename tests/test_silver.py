@@ -26,7 +26,7 @@ def test_bodies(spark):
     assert (blank.selftext, blank.selftext_length, blank.has_selftext) == ("", 0, False)
     missing = clean(spark, selftext=None)
     assert (missing.selftext, missing.selftext_length, missing.has_selftext) == ("", 0, False)
-    padded = clean(spark, selftext="　a b \n")
+    padded = clean(spark, selftext="\u3000a b\u00a0\n")
     assert (padded.selftext, padded.selftext_length, padded.has_selftext) == ("a b", 3, True)
 
 
