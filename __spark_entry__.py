@@ -6,14 +6,18 @@ Queries that store data do so in a fresh folder below the session's shared check
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
 from datetime import datetime
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from agoralake.config import (
     ENGAGEMENT_VIEW,
     GOLD_DATASETS,
