@@ -55,6 +55,15 @@ from agoralake.sources import (
 from agoralake.sources.event_posts import RUN_TS, listing_from_tables
 from agoralake.streaming import stream_gold, stream_silver
 
+# The training-data operators are an optional part: without their folder, the rest works alone.
+try:
+    import corpus_pipeline
+    from agoralake.llm import queries as llm
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "agoralake.llm", "agoralake.llm.queries"):
+        raise
+    llm = None
+
 RUN = datetime.fromisoformat(RUN_TS)
 SECOND_RUN = datetime(2024, 1, 31, 3)
 COMMUNITY = "click"
@@ -338,6 +347,12 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    if llm is None:
+        return lake_queries()
+    return lake_queries() | llm.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
+def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "bronze_bounded_ingest": bronze_bounded_ingest,
         "bronze_envelope": bronze_envelope,
@@ -505,6 +520,13 @@ def _counts_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    if llm is None:
+        return lake_sql()
+    whole = corpus_pipeline.ORACLE_SQL
+    return lake_sql() | llm.ORACLES | ({"pipeline": whole} if whole else {})
+
+
+def lake_sql() -> dict[str, str]:
     post = ", ".join(POST.fieldNames())
     community = f"subreddit = '{COMMUNITY}'"
     listed = f"""listed AS (

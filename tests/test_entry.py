@@ -10,8 +10,8 @@ import __spark_entry__ as entry
 from compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-TWINS = entry.oracle_sql()
+QUERIES = entry.lake_queries()
+TWINS = entry.lake_sql()
 
 
 @pytest.fixture(scope="module")
