@@ -6,6 +6,8 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,7 +101,7 @@ def components(edges: DataFrame, folder: str, name: str = "components") -> DataF
         )
         now = stored(small.where("a <> b").distinct(), folder, f"{name}-{turn}")
         row = now.agg(
-            F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))"), F.expr("sum(CAST(b AS DECIMAL(38)))")
+            F.count(F.lit(1)), F.expr("bit_xor(xxhash64(a, b))"), F.expr("bit_xor(xxhash64(b, a))")
         ).first()
         if tuple(row) == mark:
             break
@@ -109,6 +111,33 @@ def components(edges: DataFrame, folder: str, name: str = "components") -> DataF
     return nodes.union(roots)
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words, the same in every task."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def mixed_hash(values: np.ndarray) -> np.ndarray:
+    """Scrambles 64-bit numbers, so that sums and products of hashes stay evenly spread."""
+    with np.errstate(over="ignore"):
+        v = values ^ (values >> np.uint64(31))
+        v = v * np.uint64(0x9E3779B97F4A7C15)
+        v ^= v >> np.uint64(29)
+        v = v * np.uint64(0xBF58476D1CE4E5B9)
+        return v ^ (v >> np.uint64(32))
+
+
+def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The hash of every run of `width` neighbours; a shorter list has none."""
+    n = len(hashes) - width + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    out = mixed_hash(hashes[:n])
+    with np.errstate(over="ignore"):
+        for k in range(1, width):
+            out = mixed_hash(out * np.uint64(0xD6E8FEB86659FD93) + hashes[k : n + k])
+    return out
+
+
 def plain(name: str, taken: Sequence[str]) -> str:
     """`name`, or `name` with underscores where the input already has such a column."""
     while name in taken:

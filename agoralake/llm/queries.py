@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from agoralake.llm.grammar import THRESHOLD, score_toxicity, train_grammar
 from agoralake.llm.line_dedup import line_dedup
 from agoralake.llm.mixing import BLOCK, GRAIN, PARTS, mix_sources
+from agoralake.llm.ngram_join import ngram_components
 from agoralake.llm.packing import BUCKETS, BUDGET, MAX_LEN, pack
 from agoralake.llm.quality_bands import quality_bands
 from agoralake.llm.url_lists import filter_urls
@@ -76,6 +77,10 @@ def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", _sha256("text").alias("kept_sha256"))
 
 
+def op7_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_components(_table(spark, folder, "documents"), words=4, percent=85)
+
+
 def op8_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"))
 
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_url_lists": op4_url_lists,
     "op5_compression_bands": op5_compression_bands,
     "op6_line_dedup": op6_line_dedup,
+    "op7_ngram_join": op7_ngram_join,
     "op8_pack": op8_pack,
     "op10_toxicity": op10_toxicity,
 }
@@ -203,6 +209,34 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+OP7 = rf"""
+WITH RECURSIVE
+docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)]) END AS s
+  FROM docs),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
+counted AS (SELECT g, list(doc_id) AS ids FROM grams GROUP BY g HAVING count(*) > 1),
+pairs AS (
+  SELECT a, b, count(*) AS k
+  FROM (SELECT a, unnest(ids) AS b FROM (SELECT ids, unnest(ids) AS a FROM counted))
+  WHERE a < b GROUP BY a, b),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * k >= 85 * (x.n + y.n - k)),
+either AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT r.x, e.b FROM reach r JOIN either e ON e.a = r.y)
+SELECT doc_id, n AS n_shingles, component_id
+FROM sizes JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)
+"""
+
 
 def _pack_sql(buckets: int = BUCKETS) -> str:
     steps = []
@@ -257,5 +291,6 @@ ORACLES: dict[str, str] = {
     "op2_mix_sources": OP2,
     "op4_url_lists": OP4,
     "op6_line_dedup": OP6,
+    "op7_ngram_join": OP7,
     "op8_pack": _pack_sql(),
 }
