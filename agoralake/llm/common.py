@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -143,3 +145,81 @@ def plain(name: str, taken: Sequence[str]) -> str:
     while name in taken:
         name += "_"
     return name
+
+
+class Members:
+    """A Bloom filter of fixed size over keys of any number, which keeps rows before a join.
+
+    It lets some others through and never holds a member back, so an exact join has to follow. It is
+    2 ** 26 bits (8 MB) for every input, what tasks are sent is therefore bounded; with very many keys
+    it lets more through, and the join alone decides.
+    """
+
+    BITS, PROBES, SEGMENT = 1 << 26, 3, 1 << 16
+
+    def __init__(self, spark: SparkSession, filled: bytes):
+        self.filled = spark.sparkContext.broadcast(filled)
+
+    @classmethod
+    def _bits(cls, keys: np.ndarray) -> np.ndarray:
+        one = mixed_hash(keys.view(np.uint64))
+        two = mixed_hash(one) | np.uint64(1)
+        with np.errstate(over="ignore"):
+            steps = np.arange(cls.PROBES, dtype=np.uint64)
+            return (one[:, None] + two[:, None] * steps) & np.uint64(cls.BITS - 1)
+
+    @classmethod
+    def of(cls, keys: DataFrame) -> Members:
+        """The filter over a table of one column, of any type that xxhash64 takes."""
+        keys = keys.select(F.xxhash64(keys.columns[0]))
+
+        def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            filled = np.zeros(cls.BITS // 8, "u1")
+            for batch in batches:
+                bits = cls._bits(np.asarray(batch.column(0), np.int64)).ravel()
+                byte = np.left_shift(1, bits & np.uint64(7)).astype("u1")
+                np.bitwise_or.at(filled, bits >> np.uint64(3), byte)
+            yield from cls._parts(filled)
+
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            filled: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for k, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    got = np.frombuffer(zlib.decompress(part), "u1")
+                    filled[k] = filled[k] | got if k in filled else got
+            for k, part in filled.items():
+                yield cls._row(k, part)
+
+        kind = "segment int, part binary"
+        parts = keys.mapInArrow(fill, kind).repartition("segment").mapInArrow(meet, kind)
+        whole = bytearray(cls.BITS // 8)
+        for k, part in parts.collect():
+            whole[k * cls.SEGMENT : (k + 1) * cls.SEGMENT] = zlib.decompress(bytes(part))
+        return cls(keys.sparkSession, bytes(whole))
+
+    @classmethod
+    def _parts(cls, filled: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(filled), cls.SEGMENT):
+            if filled[k : k + cls.SEGMENT].any():
+                yield cls._row(k // cls.SEGMENT, filled[k : k + cls.SEGMENT])
+
+    @staticmethod
+    def _row(k: int, part: np.ndarray) -> pa.RecordBatch:
+        packed = zlib.compress(part.tobytes(), 1)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k], pa.int32()), pa.array([packed], pa.binary())], ["segment", "part"]
+        )
+
+    def keep(self, df: DataFrame, key: str, member: bool = True) -> DataFrame:
+        """The rows whose key may be a member, or those whose key is certainly none."""
+        held, bits = self.filled, self._bits
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            filled = np.frombuffer(held.value, "u1")
+            for batch in batches:
+                asked = bits(np.asarray(batch.column("__member"), np.int64))
+                byte = filled[asked >> np.uint64(3)] >> (asked & np.uint64(7)).astype("u1")
+                good = (byte & 1).all(axis=1)
+                yield batch.filter(pa.array(good if member else ~good)).drop_columns(["__member"])
+
+        return df.withColumn("__member", F.xxhash64(key)).mapInArrow(choose, df.schema)

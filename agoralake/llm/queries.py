@@ -13,6 +13,7 @@ from agoralake.llm.mixing import BLOCK, GRAIN, PARTS, mix_sources
 from agoralake.llm.ngram_join import ngram_components
 from agoralake.llm.packing import BUCKETS, BUDGET, MAX_LEN, pack
 from agoralake.llm.quality_bands import quality_bands
+from agoralake.llm.substring_dedup import substring_dedup
 from agoralake.llm.url_lists import filter_urls
 
 
@@ -24,6 +25,13 @@ def _sha256(column: str) -> F.Column:
     return F.sha2(F.coalesce(F.col(column), F.lit("")).cast("binary"), 256)
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return substring_dedup(docs).select(
+        "doc_id", "n_words", "n_removed", _sha256("text").alias("kept_sha256")
+    )
+
+
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "source")
     return mix_sources(docs)
@@ -98,6 +106,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op4_url_lists": op4_url_lists,
     "op5_compression_bands": op5_compression_bands,
@@ -111,6 +120,23 @@ _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+OP1 = rf"""
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM docs)),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY k) > 1),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM again),
+words AS (SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs)),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t, count(*) AS n
+  FROM words ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
 OP2 = f"""
 WITH RECURSIVE
 docs AS (
@@ -288,6 +314,7 @@ FROM placed
 
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": OP1,
     "op2_mix_sources": OP2,
     "op4_url_lists": OP4,
     "op6_line_dedup": OP6,
