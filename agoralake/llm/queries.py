@@ -15,6 +15,7 @@ from agoralake.llm.packing import BUCKETS, BUDGET, MAX_LEN, pack
 from agoralake.llm.quality_bands import quality_bands
 from agoralake.llm.substring_dedup import substring_dedup
 from agoralake.llm.url_lists import filter_urls
+from agoralake.llm.vector_links import near_vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -105,9 +106,14 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_vector_links(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op3_vector_links": op3_vector_links,
     "op4_url_lists": op4_url_lists,
     "op5_compression_bands": op5_compression_bands,
     "op6_line_dedup": op6_line_dedup,
@@ -171,6 +177,26 @@ SELECT doc_id, source, block, (block // p) * q + slot AS slot
 FROM placed JOIN plan ON placed.s = plan.s AND block % p = turn
 """
 
+OP3 = """
+WITH RECURSIVE
+good AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b
+  FROM good x JOIN good y
+    ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_cosine_similarity(x.v, y.v) >= 0.93),
+reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings
+  UNION SELECT r.x, links.b FROM reach r JOIN links ON links.a = r.y)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, component_id = vec_id AS kept
+FROM (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x)
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+"""
+
 OP4 = r"""
 WITH hosts AS (
   SELECT page_id, url, regexp_extract(url, '://([^/?#:]+)', 1) AS host,
@@ -314,6 +340,7 @@ FROM placed
 
 
 ORACLES: dict[str, str] = {
+    "op3_vector_links": OP3,
     "op1_substring_dedup": OP1,
     "op2_mix_sources": OP2,
     "op4_url_lists": OP4,
