@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agoralake.llm.grammar import THRESHOLD, score_toxicity, train_grammar
+from agoralake.llm.html_text import extract_text, train_field
 from agoralake.llm.line_dedup import line_dedup
 from agoralake.llm.mixing import BLOCK, GRAIN, PARTS, mix_sources
 from agoralake.llm.ngram_join import ngram_components
@@ -94,6 +95,11 @@ def op8_pack(spark: SparkSession, folder: str) -> DataFrame:
     return pack(_table(spark, folder, "documents"))
 
 
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    return extract_text(pages.select("page_id", "url", "html"), train_field(pages))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     grammar = train_grammar(docs, _table(spark, folder, "labels"))
@@ -119,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_ngram_join": op7_ngram_join,
     "op8_pack": op8_pack,
+    "op9_html_text": op9_html_text,
     "op10_toxicity": op10_toxicity,
 }
 
