@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+import brute
+from agoralake.llm.substring_dedup import parse, rounds_for, substring_dedup
+
+
+def _rows(df, *columns):
+    return sorted(tuple(r[c] for c in columns) for r in df.collect())
+
+
+@pytest.mark.parametrize("width", [35, 5, 60])
+def test_equals_brute_force(documents, prose, width):
+    got = substring_dedup(documents(prose), width=width)
+    assert _rows(got, "doc_id", "n_words", "n_removed", "text") == sorted(brute.substring(prose, width))
+
+
+def test_small_alphabet_has_runs_and_periods(documents):
+    rng = random.Random(3)
+    docs = [(k, " ".join(rng.choice("ab") for _ in range(rng.randint(1, 120)))) for k in range(40)]
+    docs += [(100 + k, "a b c " * (5 + k)) for k in range(10)] + [(200 + k, "z " * (10 * k)) for k in range(9)]
+    for width in (8, 35):
+        got = substring_dedup(documents(docs), width=width)
+        assert _rows(got, "doc_id", "n_words", "n_removed", "text") == sorted(brute.substring(docs, width))
+
+
+def test_equal_windows_have_equal_insides():
+    rng = np.random.default_rng(5)
+    same = rng.integers(0, 50, 35).astype(np.uint64)
+    inside = []
+    for _ in range(2):
+        around = [rng.integers(0, 50, 20).astype(np.uint64) for _ in range(2)]
+        words = np.concatenate([around[0], same, around[1]])
+        first = np.zeros(len(words), bool)
+        first[0] = True
+        low, high = np.array([20]), np.array([55])
+        symbol, _, low, high = parse(words, first, low, high, rounds_for(35))
+        inside.append(symbol[low[0] : high[0]].tolist())
+    assert inside[0] == inside[1]
+
+
+def test_nulls_repeats_clashes_and_nothing(documents):
+    long = " ".join(f"v{k}" for k in range(40))
+    rows = [(1, long, "x", None, 3), (1, long, "x", None, 3), (None, long + " more", None, "s", None), (2, None), (3, "")]
+    clash = documents(rows, "doc_id bigint, text string, n_words string, ref string, c0 bigint")
+    out = substring_dedup(clash)
+    assert out.columns == ["doc_id", "text", "n_words", "ref", "c0", "n_words_", "n_removed"]
+    found = sorted(map(str, ((r.doc_id, r.text, r.n_words, r.n_words_, r.n_removed) for r in out.collect())))
+    assert found == sorted(map(str, [
+        (1, "", "x", 40, 40), (1, "", "x", 40, 40), (None, "more", None, 41, 40), (2, "", None, 0, 0), (3, "", None, 0, 0)
+    ]))
+    assert substring_dedup(documents([])).count() == 0
