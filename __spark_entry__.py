@@ -7,9 +7,9 @@ Queries that store data do so in a fresh folder below the session's shared check
 from __future__ import annotations
 
 import sys
-import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +21,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from agoralake.config import (
     ENGAGEMENT_VIEW,
     GOLD_DATASETS,
-    POST_LIMIT,
+    SOURCE,
     TOP_COMMENTED_VIEW,
     TOP_POSTS_VIEW,
     Lake,
@@ -53,7 +53,7 @@ from agoralake.sources import (
     read_silver,
 )
 from agoralake.sources.event_posts import RUN_TS, listing_from_tables
-from agoralake.streaming import stream_gold, stream_silver
+from agoralake.streaming import stream_gold, stream_layers, stream_silver
 
 # The training-data operators are an optional part: without their folder, the rest works alone.
 try:
@@ -67,6 +67,10 @@ except ModuleNotFoundError as error:
 RUN = datetime.fromisoformat(RUN_TS)
 SECOND_RUN = datetime(2024, 1, 31, 3)
 COMMUNITY = "click"
+GONE = "view"
+# A listing bound above a document's posts.
+LARGE_LIMIT, DOCUMENT_POSTS = 2500, 1000
+CHECK_DATABASE = "agora_check"
 START, END = "2024-01-10", "2024-01-20"
 SPLIT_DAY = "2024-01-16"
 
@@ -92,7 +96,7 @@ def _silver(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lake(spark: SparkSession) -> Lake:
-    return Lake(scratch_folder(spark), f"agora_{uuid.uuid4().hex[:12]}")
+    return Lake(scratch_folder(spark), CHECK_DATABASE)
 
 
 def _loaded(spark: SparkSession, folder: str) -> Lake:
@@ -110,7 +114,7 @@ def bronze_bounded_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bronze_envelope(spark: SparkSession, folder: str) -> DataFrame:
-    documents = build_documents(bronze_bounded_ingest(spark, folder), RUN, POST_LIMIT)
+    documents = build_documents(bronze_bounded_ingest(spark, folder), RUN)
     stamp = F.col("extracted_at").cast("timestamp_ntz")
     return documents.select(
         "source",
@@ -123,6 +127,17 @@ def bronze_envelope(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def bronze_small_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Every post's place in a listing bound above the documents' own, told by its document."""
+    posts = stamp_posts(take_listing(listing_from_tables(spark, folder), LARGE_LIMIT), RUN)
+    documents = build_documents(posts, RUN, DOCUMENT_POSTS, together=True)
+    return documents.select(
+        "subreddit",
+        F.size("posts").cast("bigint").alias("record_count"),
+        F.posexplode("posts").alias("place", "post"),
+    ).select("subreddit", "record_count", F.col("place").cast("bigint"), F.col("post.id").alias("id"))
+
+
 def _stored_documents(spark: SparkSession, folder: str) -> DataFrame:
     lake = _lake(spark)
     posts = stamp_posts(listing_from_tables(spark, folder), RUN)
@@ -255,11 +270,24 @@ def demo_preview(spark: SparkSession, folder: str) -> DataFrame:
     tops = G.top_posts(silver), G.top_commented(silver)
     metrics = A.engagement_metrics(G.daily_stats(silver))
     shown = A.preview(A.community_report(metrics, *tops, COMMUNITY))
-    return (
-        shown["top_posts"]
-        .withColumn("report", F.lit("top_posts"))
-        .unionByName(shown["discussions"].withColumn("report", F.lit("discussions")))
-    )
+    named = {
+        "engagement": ("date", "post_count", "total_score", "avg_comments"),
+        "top_posts": ("title", "score", "num_comments", None),
+        "discussions": ("title", "score", "num_comments", None),
+        "analysis": ("subreddit", "avg_title_length", "avg_score", "title_score_correlation"),
+    }
+    parts = [
+        _rounded(shown[report]).select(
+            F.lit(report).alias("report"),
+            F.col(label).cast("string").alias("label"),
+            *[
+                (F.lit(None) if c is None else F.col(c)).cast("double").alias(f"value_{k}")
+                for k, c in enumerate(columns)
+            ],
+        )
+        for report, (label, *columns) in named.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def sql_to_dataframe(spark: SparkSession, folder: str) -> DataFrame:
@@ -281,25 +309,58 @@ def sql_to_dataframe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def register_external_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """What all tables and views give, as rows and sums of their numbers, and that they are set up."""
+    spark.sql(f"DROP DATABASE IF EXISTS {CHECK_DATABASE} CASCADE")
     lake = _loaded(spark, folder)
     create_database(spark, lake.database, lake.table("database"))
     if lake.database not in list_databases(spark):
         raise RuntimeError("the new database is not listed")
     status = setup(spark, lake)
     refresh_tables(spark, lake)
-    objects = ["bronze_posts", "silver_posts", "gold_subreddit_stats", *GOLD_DATASETS]
-    objects += [ENGAGEMENT_VIEW, TOP_POSTS_VIEW, TOP_COMMENTED_VIEW]
-    counts = " UNION ALL ".join(
-        f"SELECT '{name}' AS table, count(*) AS row_count FROM {name}" for name in objects
+    values = " UNION ALL ".join(
+        f"SELECT '{name}' AS table, count(*) AS row_count, "
+        f"CAST(sum({total}) AS BIGINT) AS total, count(DISTINCT {key}) AS keys FROM {name}"
+        for name, (_, total, key) in TABLE_SUMS.items()
     )
-    return query_to_dataframe(spark, counts, lake.database).join(
+    return query_to_dataframe(spark, values, lake.database).join(
         status.select("table", "ok"), "table", "left"
     )
 
 
+# Per table or view: the rows it shows in the SQL twins, a number to sum and a column to count.
+TABLE_SUMS = {
+    "bronze_posts": ("posts", "score", "title"),
+    "silver_posts": ("silver", "length(cleaned_text) + post_length", "author"),
+    "gold_subreddit_stats": ("daily", "post_count * 1000 + total_comments", "date"),
+    "daily_stats": ("daily", "score_sum", "date"),
+    "top_posts": ("tops", "selftext_length", "id"),
+    "top_commented": ("commented", "num_comments", "id"),
+    ENGAGEMENT_VIEW: ("daily", "total_score + post_count", "date"),
+    TOP_POSTS_VIEW: ("tops", "score", "id"),
+    TOP_COMMENTED_VIEW: ("commented", "num_comments", "url"),
+}
+
+
+def _health(spark: SparkSession, lake: Lake, name: str, day: date | None = None) -> DataFrame:
+    report = layer_report(spark, lake, day)
+    columns = ["layer", "exists", "record_count", "newest_record", "status"]
+    return report.select(
+        F.lit(name).alias("lake"), *columns, (F.col("file_count") > 0).alias("has_files")
+    )
+
+
 def quality_report(spark: SparkSession, folder: str) -> DataFrame:
-    report = layer_report(spark, _loaded(spark, folder))
-    return report.select("layer", "exists", "record_count", "status")
+    """Health of a whole lake, of a day without runs, and of a lake without gold."""
+    lake = _loaded(spark, folder)
+    part = _lake(spark)
+    documents = build_documents(stamp_posts(listing_from_tables(spark, folder), RUN), RUN)
+    write_documents(documents, part.bronze)
+    runs.transform(read_documents(spark, part.bronze), part, "part")
+    return (
+        _health(spark, lake, "whole")
+        .union(_health(spark, lake, "idle day", date(2024, 2, 1)))
+        .union(_health(spark, part, "no gold"))
+    )
 
 
 def run_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -307,6 +368,101 @@ def run_summary(spark: SparkSession, folder: str) -> DataFrame:
     return runs.run(spark, listing, _lake(spark), RUN, post_limit=None)
 
 
+def run_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """A run, repeated with one community gone and the posts of one day gone from the others."""
+    lake, listing = _lake(spark), listing_from_tables(spark, folder)
+    runs.run(spark, listing, lake, RUN, post_limit=None)
+    left = listing.where((F.col("subreddit") != GONE) & (F.col("listing_rank") % 3 != 0))
+    summary = runs.run(spark, left, lake, RUN, post_limit=None)
+    silver = read_silver(spark, lake.silver).groupBy("subreddit").agg(F.sum("score").alias("scores"))
+    return summary.join(silver, "subreddit", "full")
+
+
+def run_with_broken_document(spark: SparkSession, folder: str) -> DataFrame:
+    """A run whose bronze then gets a document that does not parse: only its community is not ok."""
+    lake, listing = _lake(spark), listing_from_tables(spark, folder)
+    runs.run(spark, listing, lake, RUN, post_limit=None)
+    place = f"{lake.bronze}/{runs.run_prefix(RUN, bronze=True)}"
+    broken = spark.createDataFrame([('{"source": "forum", "posts": [{"id": ',)], "value string")
+    broken.write.mode("append").text(f"{place}/community={COMMUNITY}")
+    bronze = read_documents(spark, lake.bronze, runs.run_prefix(RUN, bronze=True))
+    runs.transform(bronze, lake, runs.run_id(RUN))
+    return runs.run_summary(spark, lake, RUN)
+
+
+def run_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily round over three communities, one of which has no posts."""
+    spark.sql(f"DROP DATABASE IF EXISTS {CHECK_DATABASE} CASCADE")
+    lake, listing = _lake(spark), listing_from_tables(spark, folder)
+    done = runs.run_daily(spark, listing, lake, RUN, 50, [COMMUNITY, GONE, "nobody"])
+    counts = query_to_dataframe(
+        spark,
+        f"SELECT 'rows of {TOP_POSTS_VIEW}' AS what, count(*) AS n FROM {TOP_POSTS_VIEW}",
+        lake.database,
+    )
+    parts = [
+        done["extractions"].select(
+            F.concat(F.lit("loaded "), "subreddit").alias("what"),
+            F.when(F.col("ok"), F.col("silver_rows")).otherwise(-1).alias("n"),
+        ),
+        done["setup"].groupBy(F.lit("objects ready").alias("what")).agg(F.count_if("ok").alias("n")),
+        done["monitoring"].select(
+            F.concat_ws(" ", F.lit("records"), "layer", "status").alias("what"),
+            F.col("record_count").alias("n"),
+        ),
+        counts,
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def foreign_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Indented documents, one file a community, in folders named by it; scores come as text.
+
+    Every fifth post has a score that is no whole number, which costs the score and not the post.
+    """
+    lake, place = _lake(spark), f"{scratch_folder(spark)}/{SOURCE}"
+    posts = take_listing(stamp_posts(listing_from_tables(spark, folder), RUN), FOREIGN_POSTS)
+    score = F.when(F.col("id").cast("bigint") % 5 == 0, F.lit("12.5")).otherwise(
+        F.col("score").cast("string")
+    )
+    posts = posts.withColumn("score", score)
+    documents = posts.groupBy("source", "subreddit").agg(
+        F.lit(RUN_TS).alias("extracted_at"),
+        F.count(F.lit(1)).alias("record_count"),
+        F.collect_list(F.struct(*POST.fieldNames())).alias("posts"),
+    )
+    written = documents.select(
+        "subreddit",
+        F.to_json(
+            F.struct("source", "extracted_at", "record_count", "posts"), {"pretty": "true"}
+        ).alias("value"),
+    )
+    for community in ("click", "error", "purchase", "signup", "view"):
+        one = written.where(F.col("subreddit") == community).select("value").coalesce(1)
+        one.write.text(f"{place}/{community}", lineSep="\n")
+        _as_json(spark, f"{place}/{community}")
+    runs.run_foreign(spark, place, lake)
+    silver = read_silver(spark, lake.silver)
+    aside = spark.read.schema(POST).json(f"{lake.quarantine}/posts").select("id", F.lit(True).alias("aside"))
+    return silver.select("id", "subreddit", "score", "title", "date").join(aside, "id", "left").select(
+        "*", F.coalesce("aside", F.lit(False)).alias("set_aside")
+    ).drop("aside")
+
+
+# Posts of a community in a foreign document.
+FOREIGN_POSTS = 200
+
+
+def _as_json(spark: SparkSession, path: str) -> None:
+    """Text files end in .txt; documents of other writers end in .json."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(place):
+        old = status.getPath()
+        if old.getName().endswith(".txt"):
+            files.rename(old, spark._jvm.org.apache.hadoop.fs.Path(place, old.getName()[:-4] + ".json"))
+
+
 # --- streams --------------------------------------------------------------------------------
 
 
@@ -315,12 +471,12 @@ def _streamed(spark: SparkSession, folder: str, with_gold: bool) -> Lake:
     lake = _lake(spark)
     listing = listing_from_tables(spark, folder)
     split = (datetime.fromisoformat(SPLIT_DAY) - datetime(1970, 1, 1)).total_seconds()
-    early = F.col("created_utc") < split
+    early = F.coalesce(F.col("created_utc") < split, F.lit(False))
 
     def refresh() -> None:
         stream_silver(spark, lake).awaitTermination()
         if with_gold:
-            stream_gold(spark, lake).awaitTermination()
+            stream_gold(spark, lake, max_files=1).awaitTermination()
 
     for part, run_ts in ((early, RUN), (~early, SECOND_RUN)):
         posts = stamp_posts(listing.where(part), run_ts)
@@ -336,9 +492,52 @@ def stream_incremental_silver(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_gold_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold by batches of one silver file: daily statistics, and both top lists."""
     lake = _streamed(spark, folder, with_gold=True)
-    daily = read_gold(spark, lake.gold("daily_stats"), "daily_stats")
-    return _rounded(daily.drop("run_date", "run_id"))
+    daily = _rounded(read_gold(spark, lake.gold("daily_stats"), "daily_stats"))
+    parts = [
+        daily.select(
+            F.lit("daily_stats").alias("dataset"), "subreddit", "run_ts",
+            F.col("date").cast("string").alias("key"), F.col("id_count").alias("n"),
+            "score_mean", "upvote_ratio_mean",
+        )
+    ]
+    for dataset in GOLD_DATASETS[1:]:
+        rows = read_gold(spark, lake.gold(dataset), dataset)
+        parts.append(
+            rows.select(
+                F.lit(dataset).alias("dataset"), "subreddit", "run_ts", F.col("id").alias("key"),
+                F.col("num_comments").alias("n"), F.col("score").cast("double").alias("score_mean"),
+                F.col("upvote_ratio").alias("upvote_ratio_mean"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """What the streams make of a document that does not parse and of posts without a readable time."""
+    lake = _lake(spark)
+    listing = listing_from_tables(spark, folder)
+    stamp = F.when(F.col("listing_rank") % 10 == 1, F.lit("soon")).otherwise(F.col("extracted_at"))
+    posts = stamp_posts(listing.withColumn("extracted_at", stamp), RUN)
+    write_documents(build_documents(posts, RUN), lake.bronze)
+    place = f"{lake.bronze}/{runs.run_prefix(RUN, bronze=True)}"
+    broken = spark.createDataFrame([('{"source": "forum", "posts": [{"id": ',)], "value string")
+    broken.write.mode("append").text(f"{place}/community={COMMUNITY}")
+    for _ in range(2):
+        stream_layers(spark, lake)
+    silver = read_silver(spark, lake.silver).groupBy("subreddit").agg(
+        F.count(F.lit(1)).alias("posts"), F.count("extracted_at").alias("timed")
+    )
+    lost = spark.read.schema("file_path string").json(f"{lake.quarantine}/documents")
+    lost = lost.groupBy(path_community(F.col("file_path")).alias("subreddit")).agg(
+        F.count(F.lit(1)).alias("documents_aside")
+    )
+    aside = spark.read.schema("subreddit string").json(f"{lake.quarantine}/posts")
+    aside = aside.groupBy("subreddit").agg(F.count(F.lit(1)).alias("posts_aside"))
+    return silver.join(lost, "subreddit", "left").join(aside, "subreddit", "left").fillna(
+        0, ["documents_aside", "posts_aside"]
+    )
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -357,6 +556,8 @@ def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_bounded_ingest": bronze_bounded_ingest,
         "bronze_envelope": bronze_envelope,
         "bronze_json_roundtrip": bronze_json_roundtrip,
+        "bronze_small_documents": bronze_small_documents,
+        "foreign_documents": foreign_documents,
         "path_community": path_community_counts,
         "silver_posts_clean": _silver,
         "silver_parquet_roundtrip": silver_parquet_roundtrip,
@@ -381,6 +582,10 @@ def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "register_external_tables": register_external_tables,
         "quality_report": quality_report,
         "run_summary": run_summary,
+        "run_repeated": run_repeated,
+        "run_with_broken_document": run_with_broken_document,
+        "run_daily": run_daily,
+        "stream_quarantine": stream_quarantine,
         "stream_incremental_silver": stream_incremental_silver,
         "stream_gold_refresh": stream_gold_refresh,
     }
@@ -391,10 +596,13 @@ def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _POSTS = """
 posts AS (
   SELECT CAST(e.event_id AS VARCHAR) AS id,
-         '  ' || split_part(d.text, chr(10), 1) || chr(9) AS title,
-         CAST(floor(e.value * 10) AS BIGINT) AS score,
-         CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS num_comments,
-         floor(epoch(e.ts)) AS created_utc,
+         CASE WHEN e.event_id % 41 <> 3
+              THEN '  ' || split_part(d.text, chr(10), 1) || chr(9) END AS title,
+         CASE WHEN e.event_type = 'error' THEN 7
+              WHEN e.event_id % 43 <> 4 THEN CAST(floor(e.value * 10) AS BIGINT) END AS score,
+         CASE WHEN e.event_id % 47 <> 5
+              THEN CAST(json_extract_string(e.props, '$.k') AS BIGINT) END AS num_comments,
+         CASE WHEN e.event_id % 53 <> 6 THEN floor(epoch(e.ts)) END AS created_utc,
          CASE WHEN e.event_id % 7 = 0 THEN NULL
               WHEN e.event_id % 7 = 1 THEN '   '
               WHEN e.event_id % 7 = 2 THEN chr(12288) || d.text || chr(160) || chr(10)
@@ -501,20 +709,17 @@ FROM both_lists WHERE {condition} GROUP BY subreddit"""
 
 
 def _counts_sql() -> str:
-    tables = {
-        "bronze_posts": "posts",
-        "silver_posts": "silver",
-        "gold_subreddit_stats": "daily",
-        "daily_stats": "daily",
-        "top_posts": "tops",
-        "top_commented": "commented",
-        ENGAGEMENT_VIEW: "daily",
-        TOP_POSTS_VIEW: "tops",
-        TOP_COMMENTED_VIEW: "commented",
+    # The columns of the tables in terms of the twins' own.
+    names = {
+        "length(cleaned_text) + post_length": "2 * length(selftext)",
+        "post_count * 1000 + total_comments": "id_count * 1000 + num_comments_sum",
+        "total_score + post_count": "score_sum + id_count",
     }
     rows = " UNION ALL ".join(
-        f"SELECT '{name}' AS \"table\", count(*) AS row_count, true AS ok FROM {source}"
-        for name, source in tables.items()
+        f"SELECT '{name}' AS \"table\", count(*) AS row_count, "
+        f"CAST(sum({names.get(total, total)}) AS BIGINT) AS total, count(DISTINCT {key}) AS keys, "
+        f"true AS ok FROM {source}"
+        for name, (source, total, key) in TABLE_SUMS.items()
     )
     return f"{_ALL} {rows}"
 
@@ -538,6 +743,32 @@ def lake_sql() -> dict[str, str]:
                          THEN run_ts ELSE run_ts + INTERVAL 1 HOUR END AS run_ts)
   FROM silver
 )"""
+    def summary_sql(kept: str, ok: str, aside: str, more: str = "") -> str:
+        own = _SILVER.replace("FROM posts", f"FROM posts WHERE {kept}", 1)
+        return f"""WITH {_POSTS}, {own}, {_GOLD}
+SELECT subreddit, count(*) AS bronze_rows, count(*) AS silver_rows,
+       (SELECT count(*) FROM daily d WHERE d.subreddit = s.subreddit) AS daily_rows,
+       (SELECT count(*) FROM tops t WHERE t.subreddit = s.subreddit) AS top_rows,
+       (SELECT count(*) FROM commented c WHERE c.subreddit = s.subreddit) AS commented_rows,
+       {aside} AS quarantined, {ok} AS ok{more}
+FROM silver s GROUP BY subreddit"""
+
+    def values(report: str, label: str, *columns: str) -> str:
+        casts = [f"CAST({c} AS DOUBLE) AS value_{k}" for k, c in enumerate(columns)]
+        return f"SELECT '{report}' AS report, CAST({label} AS VARCHAR) AS label, {', '.join(casts)}"
+
+    analysis = _length_sql(community).replace(f"{_ALL}, ", "")
+    preview_sql = f"""{_ALL},
+{analysis.replace("SELECT subreddit, round", ", analysis AS (SELECT subreddit, round", 1)}),
+days AS (SELECT * FROM daily WHERE {community} ORDER BY date DESC LIMIT 5),
+best AS (SELECT * FROM tops WHERE {community} ORDER BY score DESC NULLS LAST, id LIMIT 5),
+talked AS (
+  SELECT * FROM commented WHERE {community} ORDER BY num_comments DESC NULLS LAST, id LIMIT 5)
+{values("engagement", "date", "id_count", "score_sum", "num_comments_mean")} FROM days
+UNION ALL {values("top_posts", "title", "score", "num_comments", "NULL")} FROM best
+UNION ALL {values("discussions", "title", "score", "num_comments", "NULL")} FROM talked
+UNION ALL {values("analysis", "subreddit", "avg_title_length", "avg_score",
+                  "title_score_correlation")} FROM analysis"""
     gold_rows = " UNION ALL ".join(
         f"""SELECT '{dataset}' AS dataset, subreddit, CAST(run_ts AS DATE) AS run_date,
        count(*) AS row_count, CAST(sum({column}) AS BIGINT) AS score_sum
@@ -589,30 +820,72 @@ SELECT subreddit, date, id_count AS post_count, score_mean AS avg_score,
         ),
         "length_vs_engagement": _length_sql("true"),
         "length_vs_engagement_one": _length_sql(community),
-        "demo_preview": f"""{_ALL}
-SELECT * FROM (SELECT title, score, num_comments, author, 'top_posts' AS report
-               FROM tops WHERE {community} ORDER BY score DESC NULLS LAST, id LIMIT 5)
-UNION ALL
-SELECT * FROM (SELECT title, score, num_comments, author, 'discussions' AS report
-               FROM commented WHERE {community}
-               ORDER BY num_comments DESC NULLS LAST, id LIMIT 5)""",
+        "demo_preview": preview_sql,
         "sql_to_dataframe": f"""{_ALL}
 SELECT subreddit, max(score_sum) AS best_day_score, CAST(sum(id_count) AS BIGINT) AS post_count
 FROM daily WHERE date >= DATE '{START}' GROUP BY subreddit""",
         "register_external_tables": _counts_sql(),
-        "quality_report": f"""{_ALL}
-SELECT 'bronze' AS layer, true AS "exists", count(*) AS record_count, 'success' AS status FROM posts
-UNION ALL SELECT 'silver', true, count(*), 'success' FROM silver
-UNION ALL SELECT 'gold', true, (SELECT count(*) FROM daily) + (SELECT count(*) FROM tops)
-                               + (SELECT count(*) FROM commented), 'success'""",
-        "run_summary": f"""{_ALL}
-SELECT subreddit, count(*) AS bronze_rows, count(*) AS silver_rows,
-       (SELECT count(*) FROM daily d WHERE d.subreddit = s.subreddit) AS daily_rows,
-       (SELECT count(*) FROM tops t WHERE t.subreddit = s.subreddit) AS top_rows,
-       (SELECT count(*) FROM commented c WHERE c.subreddit = s.subreddit) AS commented_rows,
-       true AS ok
-FROM silver s GROUP BY subreddit""",
+        "quality_report": f"""{_ALL},
+sizes AS (
+  SELECT 'bronze' AS layer, count(*) AS n, max(run_ts) AS newest FROM posts
+  UNION ALL SELECT 'silver', count(*), max(extracted_at) FROM silver
+  UNION ALL SELECT 'gold', (SELECT count(*) FROM daily) + (SELECT count(*) FROM tops)
+                           + (SELECT count(*) FROM commented), (SELECT max(run_ts) FROM daily))
+SELECT 'whole' AS lake, layer, true AS "exists", n AS record_count, newest AS newest_record,
+       'success' AS status, true AS has_files FROM sizes
+UNION ALL SELECT 'idle day', layer, true, 0, NULL, 'warning', false FROM sizes
+UNION ALL SELECT 'no gold', layer, layer <> 'gold', CASE WHEN layer = 'gold' THEN 0 ELSE n END,
+       CASE WHEN layer <> 'gold' THEN newest END, 'failure', layer <> 'gold' FROM sizes""",
+        "run_summary": summary_sql("true", "true", "0"),
+        "run_repeated": summary_sql(
+            f"subreddit <> '{GONE}' AND listing_rank % 3 <> 0", "true", "0",
+            ", CAST(sum(score) AS BIGINT) AS scores",
+        ),
+        "run_with_broken_document": summary_sql(
+            "true", f"subreddit <> '{COMMUNITY}'", f"CASE WHEN {community} THEN 1 ELSE 0 END"
+        ),
+        "run_daily": f"""{_P},
+taken AS (
+  SELECT * FROM posts WHERE subreddit IN ('{COMMUNITY}', '{GONE}')
+  QUALIFY row_number() OVER (PARTITION BY subreddit ORDER BY listing_rank, id) <= 50),
+days AS (
+  SELECT DISTINCT subreddit, CAST(TIMESTAMP '1970-01-01' + to_seconds(created_utc) AS DATE) AS d
+  FROM taken WHERE created_utc IS NOT NULL)
+SELECT 'loaded ' || subreddit AS what, count(*) AS n FROM taken GROUP BY subreddit
+UNION ALL SELECT 'loaded nobody', -1
+UNION ALL SELECT 'objects ready', 9
+UNION ALL SELECT 'records ' || layer || ' success', count(*)
+FROM taken, (VALUES ('bronze'), ('silver')) AS l(layer) GROUP BY layer
+UNION ALL SELECT 'records gold success', (SELECT count(*) FROM days) + 2 * 2 * 20
+UNION ALL SELECT 'rows of {TOP_POSTS_VIEW}', 2 * 20""",
+        "foreign_documents": f"""{_S}
+SELECT id, subreddit,
+       CASE WHEN CAST(id AS BIGINT) % 5 <> 0 THEN score END AS score, title, date,
+       CAST(id AS BIGINT) % 5 = 0 AS set_aside
+FROM silver
+QUALIFY row_number() OVER (PARTITION BY subreddit ORDER BY CAST(id AS BIGINT)) <= {FOREIGN_POSTS}""",
+        "bronze_small_documents": f"""{_P},
+listed AS (
+  SELECT subreddit, id,
+         row_number() OVER (PARTITION BY subreddit ORDER BY listing_rank, id) - 1 AS r
+  FROM posts QUALIFY r < {LARGE_LIMIT})
+SELECT subreddit, count(*) OVER (PARTITION BY subreddit, r // {DOCUMENT_POSTS}) AS record_count,
+       r % {DOCUMENT_POSTS} AS place, id FROM listed""",
+        "stream_quarantine": f"""{_P}
+SELECT subreddit, count(*) AS posts, count(*) FILTER (listing_rank % 10 <> 1) AS timed,
+       CASE WHEN {community} THEN 1 ELSE 0 END AS documents_aside,
+       count(*) FILTER (listing_rank % 10 = 1) AS posts_aside
+FROM posts GROUP BY subreddit""",
         "stream_incremental_silver": f"""{_S}, {two_runs}
 SELECT id, subreddit, run_ts, created_at, title, selftext_length FROM two_runs""",
-        "stream_gold_refresh": f"{_S}, {two_runs} {_STATS.format(source='two_runs')}",
+        "stream_gold_refresh": f"""{_S}, {two_runs},
+daily AS ({_STATS.format(source="two_runs")}),
+tops AS ({_TOP.format(metric="score").replace("FROM silver", "FROM two_runs")}),
+commented AS ({_TOP.format(metric="num_comments").replace("FROM silver", "FROM two_runs")})
+SELECT 'daily_stats' AS dataset, subreddit, run_ts, CAST(date AS VARCHAR) AS "key", id_count AS n,
+       score_mean, upvote_ratio_mean FROM daily
+UNION ALL SELECT 'top_posts', subreddit, run_ts, id, num_comments, CAST(score AS DOUBLE),
+       upvote_ratio FROM tops
+UNION ALL SELECT 'top_commented', subreddit, run_ts, id, num_comments, CAST(score AS DOUBLE),
+       upvote_ratio FROM commented""",
     }

@@ -19,10 +19,11 @@ TOP_K = 20
 QUERY_LIMIT = 10
 PREVIEW_LIMIT = 5
 
-# A document cut from a listing without a bound holds at most so many posts, and its texts no more
-# bytes than this and one post.
+# A document holds at most so many posts, and its texts no more bytes than this and one post.
 MAX_POSTS_PER_DOCUMENT = 1000
 MAX_TEXT_PER_DOCUMENT = 8 * 1024 * 1024
+# Listing bound from which top lists are cut from a shortlist of a run's posts.
+SHORTLIST_ABOVE = 1000
 # Fan-out of one hot group in the first step of a top-k.
 TOP_K_SALTS = 256
 

@@ -52,36 +52,36 @@ def stamp_posts(records: DataFrame, run_ts: datetime, source: str = SOURCE) -> D
 def build_documents(
     posts: DataFrame,
     run_ts: datetime,
-    post_limit: int | None = None,
     max_posts: int = MAX_POSTS_PER_DOCUMENT,
     max_text: int = MAX_TEXT_PER_DOCUMENT,
+    together: bool = False,
 ) -> DataFrame:
     """Fold posts into bronze documents, posts in listing order.
 
-    The fold holds one document in memory, so documents are bounded. A listing known to hold at most
-    `post_limit` posts per community, if that is no more than `max_posts`, gives one document per
-    community. Any other is cut into documents of `max_posts` posts or `max_text` bytes, counted
-    within the rows of one map task: no community, however large, is ever sorted or collected as a
-    whole.
+    The fold holds one document in memory, so every document is bounded: by `max_posts` posts, and by
+    `max_text` bytes of text, which one post may exceed. A community is first brought together, and
+    AQE splits one that is too large for a task; documents are then cut within a task's rows. So no
+    community, however large, is sorted or collected as a whole, and a community within the bounds is
+    one document. `record_count` is the document's own, a community's total is their sum. `together`
+    says that each community's posts are in one partition already, as a bounded listing leaves them.
     """
     keys = ["source", "subreddit"]
-    if post_limit is None or post_limit > max_posts:
-        posts = posts.withColumn("_slice", F.spark_partition_id())
-        window = Window.partitionBy(*keys, "_slice").orderBy(*LISTING_ORDER)
-        text = F.octet_length(F.concat_ws("", "title", "selftext")).cast("bigint")
-        before = window.rowsBetween(Window.unboundedPreceding, -1)
-        posts = posts.withColumns(
-            {
-                "_part": F.floor((F.row_number().over(window) - 1) / F.lit(max_posts)),
-                "_bulk": F.floor(F.coalesce(F.sum(text).over(before), F.lit(0)) / F.lit(max_text)),
-            }
-        )
-        keys += ["_slice", "_part", "_bulk"]
+    posts = posts if together else posts.hint("rebalance", *keys)
+    posts = posts.withColumn("_slice", F.spark_partition_id())
+    window = Window.partitionBy(*keys, "_slice").orderBy(*LISTING_ORDER)
+    text = F.octet_length(F.concat_ws("", "title", "selftext")).cast("bigint")
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    posts = posts.withColumns(
+        {
+            "_part": F.floor((F.row_number().over(window) - 1) / F.lit(max_posts)),
+            "_bulk": F.floor(F.coalesce(F.sum(text).over(before), F.lit(0)) / F.lit(max_text)),
+        }
+    )
     ordered = F.sort_array(
         F.collect_list(F.struct(*LISTING_ORDER, F.struct(*POST.fieldNames()).alias("post")))
     )
     return (
-        posts.groupBy(*keys)
+        posts.groupBy(*keys, "_slice", "_part", "_bulk")
         .agg(F.count(F.lit(1)).alias("record_count"), ordered.alias("_ordered"))
         .select(
             "source",

@@ -49,14 +49,15 @@ def clean_posts(posts: DataFrame) -> DataFrame:
     )
 
 
-def bad_time_posts(posts: DataFrame) -> DataFrame:
-    """Unnested posts whose extraction time is text that does not parse.
+def bad_posts(posts: DataFrame) -> DataFrame:
+    """Unnested posts with a value that was lost: a time that does not parse, or a misfit.
 
-    Silver keeps them with a NULL time; this is the list to repair them from.
+    Silver keeps them with NULL in its place; this is the list to repair them from.
     """
-    return posts.where(has_bad_time())
+    return posts.where(is_bad_post(posts))
 
 
-def has_bad_time() -> Column:
+def is_bad_post(posts: DataFrame) -> Column:
     text = F.col("extracted_at")
-    return text.isNotNull() & iso_to_timestamp(text).isNull()
+    untimed = text.isNotNull() & iso_to_timestamp(text).isNull()
+    return untimed | F.coalesce("misfit", F.lit(False)) if "misfit" in posts.columns else untimed

@@ -5,7 +5,6 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterable, Sequence
 from datetime import date
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -19,30 +18,35 @@ from agoralake.config import (
     Lake,
 )
 from agoralake.operators.analytics import engagement_metrics
-from agoralake.operators.gold import subreddit_stats
-from agoralake.operators.layers import bronze_posts, silver_posts
+from agoralake.operators.layers import bronze_posts
 from agoralake.operators.silver import unnest_posts
 from agoralake.schemas import (
+    BRONZE_POSTS_TABLE,
     DAILY_STATS,
-    LAYER_TABLES,
     PARTITION_TYPES,
     RUN_PARTITIONS,
     SILVER,
 )
-from agoralake.session import together
-from agoralake.sinks import add_run_partitions, write_partitions
+from agoralake.sinks import add_run_partitions, remove_path, write_partitions
 from agoralake.sources import (
     good_documents,
     path_exists,
     read_documents,
-    read_gold,
-    read_silver,
 )
 
 log = logging.getLogger(__name__)
 
-# The layer tables keep their column list and add the run's date and id as partitions.
+# The layer tables keep their column list and add the run's date and id.
 LAYER_PARTITIONS = ("run_date", "run_id")
+# The table over the stored silver layer, which the silver posts are a view of.
+SILVER_LAYER = "silver_layer"
+SILVER_POSTS_SQL = """
+  id, title, score, author, date AS created_date, num_comments, CAST(NULL AS STRING) AS permalink,
+  url, selftext, subreddit, selftext AS cleaned_text, selftext_length AS post_length,
+  CAST(extracted_at AS DATE) AS ingestion_date, run_date, run_id"""
+SUBREDDIT_STATS_SQL = """
+  subreddit, date, id_count AS post_count, score_mean AS avg_score,
+  num_comments_sum AS total_comments, selftext_length_mean AS avg_post_length, run_date, run_id"""
 
 
 def _name(*parts: str) -> str:
@@ -79,7 +83,9 @@ def create_external_table(
     location: str,
     partitions: Sequence[T.StructField] = (),
 ) -> None:
-    """An external Parquet table with fixed columns; partitions already there are found at once."""
+    """An external Parquet table with fixed columns; a new one finds what is stored already."""
+    if spark.catalog.tableExists(_name(database, table)):
+        return
     inside = {p.name for p in partitions}
     ddl = (
         f"CREATE TABLE IF NOT EXISTS {_name(database, table)} "
@@ -93,8 +99,58 @@ def create_external_table(
 
 
 def discover_partitions(spark: SparkSession, database: str, table: str) -> None:
-    """Add the partitions on storage the catalogue does not know yet."""
-    spark.sql(f"MSCK REPAIR TABLE {_name(database, table)}")
+    """Bring the catalogue's partitions in line with storage; lists the whole table."""
+    spark.sql(f"MSCK REPAIR TABLE {_name(database, table)} SYNC PARTITIONS")
+
+
+def _stored_partitions(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """The partition folders `depth` levels below `path`, as `name=value/..` with escaped values."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    level = [("", place)]
+    for _ in range(depth):
+        level = [
+            (f"{name}/{child.getPath().getName()}", child.getPath())
+            for name, folder in level
+            for child in files.listStatus(folder)
+            if child.isDirectory() and "=" in child.getPath().getName()
+        ]
+    return [name[1:] for name, _ in level]
+
+
+def sync_day(
+    spark: SparkSession,
+    database: str,
+    table: str,
+    location: str,
+    partitions: Sequence[str],
+    day: date,
+    chunk: int = 500,
+) -> None:
+    """Add one day's partitions by name and drop those that are gone; lists that day only."""
+    head = f"run_date={day}"
+    inner = _stored_partitions(spark, f"{location}/{head}", len(partitions) - 1)
+    there = {f"{head}/{name}" for name in inner}
+    full = _name(database, table)
+    shown = spark.sql(f"SHOW PARTITIONS {full} PARTITION (run_date = {_text(str(day))})")
+    known = {row.partition for row in shown.collect()}
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+
+    def spec(name: str) -> str:
+        pairs = [part.split("=", 1) for part in name.split("/")]
+        return ", ".join(f"{_name(p)} = {_text(unescape(value))}" for p, value in pairs)
+
+    for verb, comma, names in (
+        ("ADD IF NOT EXISTS", " ", there - known),
+        ("DROP IF EXISTS", ", ", known - there),
+    ):
+        ordered = sorted(names)
+        for k in range(0, len(ordered), chunk):
+            specs = comma.join(f"PARTITION ({spec(n)})" for n in ordered[k : k + chunk])
+            spark.sql(f"ALTER TABLE {full} {verb} {specs}")
+    spark.catalog.refreshTable(full)
 
 
 def _without_run(schema: T.StructType) -> T.StructType:
@@ -128,6 +184,13 @@ def create_table_from_parquet(
     return True
 
 
+def _project(spark: SparkSession, database: str, view: str, table: str, columns: str) -> None:
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {_name(database, view)} AS "
+        f"SELECT {columns} FROM {_name(database, table)}"
+    )
+
+
 def create_views(spark: SparkSession, database: str = DATABASE) -> None:
     """The three serving views over the gold tables."""
     for view, build in _views(spark, database).items():
@@ -151,10 +214,7 @@ def _views(spark: SparkSession, database: str) -> dict[str, Callable[[str], None
     columns = ", ".join(_without_run(SILVER).fieldNames())
 
     def creator(select: str, table: str) -> Callable[[str], None]:
-        return lambda view: spark.sql(
-            f"CREATE OR REPLACE VIEW {_name(database, view)} AS "
-            f"SELECT {select} FROM {_name(database, table)}"
-        )
+        return lambda view: _project(spark, database, view, table, select)
 
     return {
         ENGAGEMENT_VIEW: creator(renamed, "daily_stats"),
@@ -173,24 +233,37 @@ def register_temp_views(daily: DataFrame, top_posts: DataFrame, top_commented: D
 def setup(spark: SparkSession, lake: Lake) -> DataFrame:
     """Create the database, the tables of every layer and the views: one result row for each.
 
+    Silver posts and community statistics are views, of the stored layer and of the gold table.
     A failing object does not stop the others; a failing database does.
     """
     create_database(spark, lake.database, lake.table(""))
 
-    def layer_table(name: str) -> None:
-        partitions = [T.StructField(p, PARTITION_TYPES[p]) for p in LAYER_PARTITIONS]
+    def fields(names: Sequence[str]) -> list[T.StructField]:
+        return [T.StructField(p, PARTITION_TYPES[p]) for p in names]
+
+    def bronze_table(name: str) -> None:
+        create_external_table(
+            spark, lake.database, name, BRONZE_POSTS_TABLE, lake.table(name), fields(LAYER_PARTITIONS)
+        )
+
+    def silver_view(name: str) -> None:
         create_external_table(
-            spark, lake.database, name, LAYER_TABLES[name], lake.table(name), partitions
+            spark, lake.database, SILVER_LAYER, SILVER, lake.silver, fields(RUN_PARTITIONS)
         )
+        _project(spark, lake.database, name, SILVER_LAYER, SILVER_POSTS_SQL)
+
+    def stats_view(name: str) -> None:
+        _project(spark, lake.database, name, "daily_stats", SUBREDDIT_STATS_SQL)
 
     def gold_table(name: str) -> None:
-        fields = [
+        named = [
             {"name": p, "type": PARTITION_TYPES[p].simpleString()} for p in RUN_PARTITIONS
         ]
-        create_table_from_parquet(spark, name, lake.gold(name), lake.database, fields)
+        create_table_from_parquet(spark, name, lake.gold(name), lake.database, named)
 
-    steps = {name: layer_table for name in LAYER_TABLES}
+    steps = {"bronze_posts": bronze_table, "silver_posts": silver_view}
     steps |= {name: gold_table for name in GOLD_DATASETS}
+    steps |= {"gold_subreddit_stats": stats_view}
     steps |= _views(spark, lake.database)
     results = []
     for name, create in steps.items():
@@ -203,25 +276,24 @@ def setup(spark: SparkSession, lake: Lake) -> DataFrame:
     return spark.createDataFrame(results, "table string, ok boolean, message string")
 
 
-def _fill(lake: Lake, name: str, rows: DataFrame) -> None:
-    if name == "gold_subreddit_stats":
-        rows = rows.hint("rebalance", *LAYER_PARTITIONS)
-    write_partitions(rows, lake.table(name), LAYER_PARTITIONS)
-
-
 def refresh_tables(spark: SparkSession, lake: Lake, run_date: date | None = None) -> None:
-    """Fill the layer tables from bronze, silver and gold, of one day's runs or of all."""
+    """Bring the tables up to date with one day's runs, or with all of them.
+
+    Only bronze posts are stored again, as columns instead of documents. The other tables lie over
+    the layers themselves and learn about partitions: a day's by name, all by listing the table.
+    """
     day = f"run_date={run_date}" if run_date else ""
     documents = good_documents(read_documents(spark, lake.bronze, day))
     raw = add_run_partitions(unnest_posts(documents), LAYER_PARTITIONS)
-    silver = read_silver(spark, lake.silver, day)
-    daily = read_gold(spark, lake.gold("daily_stats"), "daily_stats", day)
-    contents = {
-        "bronze_posts": bronze_posts(raw, *LAYER_PARTITIONS),
-        "silver_posts": silver_posts(silver, *LAYER_PARTITIONS),
-        "gold_subreddit_stats": subreddit_stats(daily, *LAYER_PARTITIONS),
-    }
-    together(spark, *[partial(_fill, lake, name, rows) for name, rows in contents.items()])
-    for name in (*contents, *GOLD_DATASETS):
-        if spark.catalog.tableExists(_name(lake.database, name)):
+    place = lake.table("bronze_posts")
+    remove_path(spark, f"{place}/{day}" if day else place)
+    write_partitions(bronze_posts(raw, *LAYER_PARTITIONS), place, LAYER_PARTITIONS)
+    tables = {"bronze_posts": (place, LAYER_PARTITIONS), SILVER_LAYER: (lake.silver, RUN_PARTITIONS)}
+    tables |= {name: (lake.gold(name), RUN_PARTITIONS) for name in GOLD_DATASETS}
+    for name, (location, partitions) in tables.items():
+        if not spark.catalog.tableExists(_name(lake.database, name)):
+            continue
+        if run_date:
+            sync_day(spark, lake.database, name, location, partitions, run_date)
+        else:
             discover_partitions(spark, lake.database, name)

@@ -2,6 +2,9 @@
 
 from agoralake.sinks.layers import (
     add_run_partitions,
+    remove_partitions,
+    remove_path,
+    remove_run,
     write_documents,
     write_gold,
     write_partitions,
@@ -10,6 +13,9 @@ from agoralake.sinks.layers import (
 
 __all__ = [
     "add_run_partitions",
+    "remove_partitions",
+    "remove_path",
+    "remove_run",
     "write_documents",
     "write_gold",
     "write_partitions",

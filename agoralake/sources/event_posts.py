@@ -14,7 +14,8 @@ def listing_from_tables(spark: SparkSession, folder: str) -> DataFrame:
     All documents and all events take part. Both sides grow with the data, and file sizes say little
     about text in memory, so the join shuffles and merges instead of guessing at a broadcast. Titles
     are cut out before the join and padded, bodies are partly missing, blank or padded with Unicode
-    whitespace, authors partly missing, and the two ISO forms of the extraction time mix. Ratios are
+    whitespace, authors partly missing, and the two ISO forms of the extraction time mix. Some posts
+    have no title, score, comments or time, and one community's scores are all the same. Ratios are
     64ths: their sums are exact, so a mean does not depend on the order in which tasks finish.
     """
     events = spark.read.parquet(f"{folder}/events.parquet")
@@ -35,10 +36,15 @@ def listing_from_tables(spark: SparkSession, folder: str) -> DataFrame:
     same = event % doc_count == F.col("doc_id")
     return events.join(documents.hint("merge"), same, "left").select(
         event.cast("string").alias("id"),
-        "title",
-        F.floor(F.col("value") * 10).cast("bigint").alias("score"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("num_comments"),
-        seconds.cast("bigint").cast("double").alias("created_utc"),
+        F.when(event % 41 != 3, F.col("title")).alias("title"),
+        F.when(F.col("event_type") == "error", F.lit(7))
+        .when(event % 43 != 4, F.floor(F.col("value") * 10))
+        .cast("bigint")
+        .alias("score"),
+        F.when(event % 47 != 5, F.get_json_object("props", "$.k").cast("bigint")).alias(
+            "num_comments"
+        ),
+        F.when(event % 53 != 6, seconds.cast("bigint").cast("double")).alias("created_utc"),
         body.alias("selftext"),
         ((event % 33 + 32) / F.lit(64.0)).cast("double").alias("upvote_ratio"),
         F.concat(F.lit("https://example.org/"), "event_type", F.lit("/"), event).alias("url"),

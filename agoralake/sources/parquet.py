@@ -28,11 +28,21 @@ def read_layer(
     fmt: str = "parquet",
     **options: str,
 ) -> DataFrame:
-    """A partitioned layer, or the one run of it below the given prefix; none there means empty."""
+    """A partitioned layer, or the one run of it below the given prefix; none there means empty.
+
+    Of a layer that a stream writes, the sink's log says which files count. Spark reads that log at
+    the layer's root only, so there a run is a filter on the partitions.
+    """
     place = f"{path}/{run}" if run else path
     if run and not path_exists(spark, place):
         return spark.createDataFrame([], schema)
     reader = spark.read.format(fmt).schema(schema).options(**options)
+    if run and path_exists(spark, f"{path}/_spark_metadata"):
+        layer = reader.load(path)
+        for part in run.split("/"):
+            name, value = part.split("=", 1)
+            layer = layer.where(F.col(name) == F.lit(value).cast(layer.schema[name].dataType))
+        return layer
     return reader.option("basePath", path).load(place)
 
 

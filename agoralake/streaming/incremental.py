@@ -1,11 +1,13 @@
 """Bronze files to silver once each, and gold kept up to date behind it.
 
 A streamed lake has one writer per layer: the file sink's log decides which silver files count, so
-batch loads belong in a lake of their own.
+batch loads belong in a lake of their own. What cannot be read goes to the same quarantine as theirs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from agoralake.config import Lake
 from agoralake.operators import gold
-from agoralake.operators.silver import clean_posts, unnest_posts
-from agoralake.plans.load import in_partitions_of
+from agoralake.operators.silver import bad_posts, clean_posts, unnest_posts
+from agoralake.plans.load import in_partitions_of, shortlist
 from agoralake.schemas import (
     BATCH_PARTITIONS,
     DAILY_PARTIALS,
@@ -23,21 +25,30 @@ from agoralake.schemas import (
     SILVER,
     with_partitions,
 )
-from agoralake.session import together
-from agoralake.sinks import add_run_partitions, write_gold, write_partitions
+from agoralake.session import scratch_folder, together
+from agoralake.sinks import (
+    add_run_partitions,
+    remove_partitions,
+    remove_path,
+    write_gold,
+    write_partitions,
+)
 from agoralake.sources.bronze import (
     CORRUPT,
     DOCUMENT_SCHEMA,
     good_documents,
     quarantined_documents,
 )
-from agoralake.sources.parquet import read_layer
+from agoralake.sources.parquet import path_exists
 
-# Per gold dataset: what its partial results look like, how a batch gives them, how they merge.
+# Per gold dataset: what its state looks like, how a batch gives it, how parts of it combine, and
+# how the combined state becomes gold.
 STATE = {
-    "daily_stats": (DAILY_PARTIALS, gold.daily_partials, gold.merge_partials),
-    "top_posts": (SILVER, gold.top_posts, gold.top_posts),
-    "top_commented": (SILVER, gold.top_commented, gold.top_commented),
+    "daily_stats": (
+        DAILY_PARTIALS, gold.daily_partials, gold.combine_partials, gold.merge_partials
+    ),
+    "top_posts": (SILVER, gold.top_posts, gold.top_posts, None),
+    "top_commented": (SILVER, gold.top_commented, gold.top_commented, None),
 }
 
 
@@ -67,24 +78,44 @@ def stream_silver(
 def stream_quarantine(
     spark: SparkSession, lake: Lake, max_files: int | None = None
 ) -> StreamingQuery:
-    """Set aside every bronze document `stream_silver` has to skip, then stop."""
+    """Set aside what `stream_silver` skips or loses a value of, then stop.
+
+    Documents and posts go where a batch load puts them, under the number of the stream's batch; a
+    replayed batch overwrites its own.
+    """
+
+    def set_aside(documents: DataFrame, batch: int) -> None:
+        posts = unnest_posts(good_documents(documents))
+        for kind, rows in (
+            ("documents", quarantined_documents(documents)), ("posts", bad_posts(posts))
+        ):
+            rows.write.mode("overwrite").json(f"{lake.quarantine}/{kind}/batch=stream-{batch}")
+
+    arrived = _new_documents(spark, lake, max_files)
     return (
-        quarantined_documents(_new_documents(spark, lake, max_files))
-        .writeStream.format("json")
-        .option("path", f"{lake.quarantine}/stream")
+        arrived.withColumn("file_path", F.col("_metadata.file_path"))
+        .writeStream.foreachBatch(set_aside)
         .option("checkpointLocation", lake.checkpoint("quarantine"))
         .trigger(availableNow=True)
         .start()
     )
 
 
+def stream_layers(spark: SparkSession, lake: Lake, max_files: int | None = None) -> None:
+    """All that has arrived: silver and quarantine side by side, then gold."""
+    queries = [stream(spark, lake, max_files) for stream in (stream_silver, stream_quarantine)]
+    for query in queries:
+        query.awaitTermination()
+    stream_gold(spark, lake, max_files).awaitTermination()
+
+
 def stream_gold(spark: SparkSession, lake: Lake, max_files: int | None = None) -> StreamingQuery:
     """Bring gold up to date with the silver files that arrived since the last call, then stop.
 
-    Each batch stores its own partial statistics and top lists, then gold is merged for the run
-    partitions it touched. A batch so costs what its files cost, not what their communities hold; a
-    run whose files arrive in several batches gets right means and lists; and a replayed batch
-    overwrites its own partials and the same gold.
+    Each run and community has a mergeable state. A batch combines its own posts with the state of
+    the partitions it touched, stores the result as their new state and writes their gold from it. It
+    lists and reads the touched days' state only, and keeps two generations of it: a replayed batch
+    starts from the one before and ends with the same.
     """
     reader = spark.readStream.schema(with_partitions(SILVER, RUN_PARTITIONS))
     if max_files is not None:
@@ -98,19 +129,57 @@ def stream_gold(spark: SparkSession, lake: Lake, max_files: int | None = None) -
     )
 
 
+def read_state(
+    spark: SparkSession, lake: Lake, dataset: str, days: Sequence[date]
+) -> DataFrame:
+    """The state of the given days' runs, all generations."""
+    schema = with_partitions(STATE[dataset][0], BATCH_PARTITIONS)
+    root = lake.state(dataset)
+    paths = [f"{root}/run_date={day}" for day in days]
+    paths = [path for path in paths if path_exists(spark, path)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths)
+
+
 def merge_batch(lake: Lake, batch: DataFrame, batch_id: int) -> None:
-    """Store one batch's partial results and merge those of the partitions it touched into gold."""
-    touched = in_partitions_of(batch)
+    """Combine one batch with the state of the partitions it touched, and write their gold."""
     spark = batch.sparkSession
-
-    def refresh(dataset: str) -> None:
-        schema, cut, merge = STATE[dataset]
-        gather = dataset == "daily_stats"
-        part = add_run_partitions(cut(batch)).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        if gather:
-            part = part.hint("rebalance", *RUN_PARTITIONS)
-        write_partitions(part, lake.state(dataset), BATCH_PARTITIONS)
-        parts = read_layer(spark, lake.state(dataset), with_partitions(schema, BATCH_PARTITIONS))
-        write_gold(merge(touched(parts)), lake.gold(dataset), gather)
-
-    together(spark, *[partial(refresh, dataset) for dataset in STATE])
+    folder = scratch_folder(spark)
+    try:
+        batch.select(*RUN_PARTITIONS).distinct().write.parquet(f"{folder}/touched")
+        touched = spark.read.parquet(f"{folder}/touched")
+        days = [row.run_date for row in touched.select("run_date").distinct().collect()]
+        if not days:
+            return
+        # One narrow pass finds the few posts of the batch that either list can take.
+        candidates = shortlist(spark, batch, folder)
+        keep = in_partitions_of(touched)
+
+        def refresh(dataset: str) -> None:
+            _, cut, combine, finish = STATE[dataset]
+            gather = dataset == "daily_stats"
+            old = keep(read_state(spark, lake, dataset, days))
+            latest = old.where(F.col("batch") < batch_id).select(*BATCH_PARTITIONS).distinct()
+            latest = latest.groupBy(*RUN_PARTITIONS).agg(F.max("batch").alias("batch"))
+            latest.write.parquet(f"{folder}/{dataset}")
+            latest = spark.read.parquet(f"{folder}/{dataset}")
+            held = old.join(latest, list(BATCH_PARTITIONS), "left_semi")
+            part = cut(batch if gather else candidates)
+            state = add_run_partitions(combine(held.select(*part.columns).union(part)))
+            state = state.withColumn("batch", F.lit(batch_id).cast("bigint"))
+            if gather:
+                state = state.hint("rebalance", *RUN_PARTITIONS)
+            write_partitions(state, lake.state(dataset), BATCH_PARTITIONS)
+            new = keep(read_state(spark, lake, dataset, days)).where(F.col("batch") == batch_id)
+            new = new.drop("batch")
+            write_gold(finish(new) if finish else new, lake.gold(dataset), gather)
+            # Generations before the one this batch started from are of no use any more.
+            past = old.select(*BATCH_PARTITIONS).distinct()
+            past = past.join(latest.withColumnRenamed("batch", "start"), list(RUN_PARTITIONS))
+            past = past.where("batch < start")
+            remove_partitions(spark, [lake.state(dataset)], past, BATCH_PARTITIONS)
+
+        together(spark, *[partial(refresh, dataset) for dataset in STATE])
+    finally:
+        remove_path(spark, folder)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from agoralake.operators.listing import build_documents, stamp_posts, take_listing
 from agoralake.operators.silver import unnest_posts
+from agoralake.plans.load import extract
 from agoralake.schemas import ENVELOPE, POST
 from agoralake.sinks import write_documents
 from agoralake.sources import (
@@ -53,7 +54,7 @@ def test_author_objects_become_names(spark):
 
 def test_one_document_per_community(spark):
     posts = stamp_posts(raw(spark, ("x", 12), ("y", 2)).repartition(5), RUN)
-    documents = build_documents(posts, RUN, 100)
+    documents = build_documents(posts, RUN)
     assert documents.columns == ENVELOPE.fieldNames()
     rows = {r.subreddit: r for r in documents.collect()}
     assert {s: r.record_count for s, r in rows.items()} == {"x": 12, "y": 2}
@@ -62,13 +63,36 @@ def test_one_document_per_community(spark):
 
 def test_unbounded_documents_stay_small_and_whole(spark):
     posts = stamp_posts(raw(spark, ("x", 95), ("y", 2)).repartition(3), RUN)
-    documents = build_documents(posts, RUN, post_limit=None, max_posts=10).collect()
+    documents = build_documents(posts, RUN, max_posts=10).collect()
     assert max(d.record_count for d in documents) == 10
     assert all(d.record_count == len(d.posts) for d in documents)
     ids = sorted(p.id for d in documents for p in d.posts)
     assert ids == sorted([f"x{i:03d}" for i in range(95)] + ["y000", "y001"])
 
 
+@pytest.mark.parametrize("limit", [None, 1000, 1001, 3000])
+def test_the_listing_bound_does_not_change_what_a_document_is(spark, lake, limit):
+    extract(raw(spark, ("x", 2500), ("y", 3)), lake, RUN, limit, max_posts=800)
+    rows = read_documents(spark, lake.bronze).select("community", "record_count", "posts.id").collect()
+    sizes = sorted(r.record_count for r in rows if r.community == "x")
+    total = min(limit or 2500, 2500)
+    assert sum(sizes) == total and max(sizes) <= 800 and len(sizes) == -(-total // 800)
+    places = sorted(r.id for r in rows if r.community == "x")
+    assert [i for ids in places for i in ids] == sorted(f"x{i:03d}" for i in range(total)) or total > 1000
+
+
+def test_communities_that_arrive_in_pieces_are_gathered(spark, lake):
+    names = [f"c{k:03d}" for k in range(100)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        posts = raw(spark, *[(name, 20) for name in names]).repartition(16)
+        extract(posts, lake, RUN, None)
+        documents = read_documents(spark, lake.bronze)
+        assert documents.count() == 100 and len(documents.inputFiles()) == 100
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_long_texts_make_more_documents(spark):
     posts = [post(f"p{i:02d}", title="", selftext="\u00fc" * 50 * (i % 4)) for i in range(40)]
     stamped = stamp_posts(listing(spark, *posts).coalesce(1), RUN)
@@ -100,7 +124,7 @@ def test_json_round_trip(spark, lake):
 def test_a_repeated_write_replaces_its_run_only(spark, lake):
     def write(count, run_ts):
         posts = stamp_posts(raw(spark, ("x", count)), run_ts)
-        write_documents(build_documents(posts, run_ts, 100), lake.bronze)
+        write_documents(build_documents(posts, run_ts), lake.bronze)
 
     write(5, RUN)
     write(3, RUN.replace(hour=3))

@@ -7,7 +7,7 @@ import pytest
 
 from agoralake.config import GOLD_DATASETS
 from agoralake.plans import load as load_module
-from agoralake.plans.load import run, run_daily, run_foreign, run_summary
+from agoralake.plans.load import run, run_daily, run_foreign, run_summary, transform
 from agoralake.sources import (
     query_to_dataframe,
     read_documents,
@@ -31,7 +31,7 @@ def raw(spark, **counts):
 
 
 def summary(df):
-    return {r.subreddit: tuple(r)[1:] for r in df.collect()}
+    return {r.subreddit: (*tuple(r)[1:6], r.ok) for r in df.collect()}
 
 
 def test_run(spark, lake):
@@ -74,6 +74,74 @@ def test_runs_add_up_and_a_repeated_run_does_not(spark, lake):
     assert sorted((r.run_ts, r.id_count) for r in daily.collect()) == [(RUN, 3), (LATER, 4)]
 
 
+def test_a_repeated_run_leaves_nothing_that_is_gone(spark, lake):
+    run(spark, raw(spark, x=3, y=2, z=1), lake, RUN)
+    run(spark, raw(spark, y=4), lake, LATER)
+    again = run(spark, raw(spark, x=3).union(raw(spark, y=1).where("score > 5")), lake, RUN)
+    assert summary(again) == {"x": (3, 3, 1, 3, 3, True)}
+    assert summary(run_summary(spark, lake, LATER)) == {"y": (4, 4, 1, 4, 4, True)}
+    for dataset in GOLD_DATASETS:
+        rows = read_gold(spark, lake.gold(dataset), dataset).where(f"run_ts = '{RUN}'")
+        assert {r.subreddit for r in rows.collect()} == {"x"}
+
+
+def test_a_repeated_run_of_some_communities_keeps_the_others(spark, lake):
+    run(spark, raw(spark, x=3, **{"a b/c=%": 2}), lake, RUN)
+    got = run(spark, raw(spark, x=1), lake, RUN, communities=["x", "a b/c=%"])
+    assert summary(got) == {"x": (1, 1, 1, 1, 1, True), "a b/c=%": (0, 0, 0, 0, 0, False)}
+    run(spark, raw(spark, y=2), lake, RUN, communities=["y"])
+    assert set(summary(run_summary(spark, lake, RUN))) == {"x", "y"}
+
+
+def test_a_lost_document_is_not_ok(spark, lake, tmp_path):
+    run(spark, raw(spark, x=3, y=1), lake, RUN)
+    (folder,) = (tmp_path / "lake/bronze/reddit").glob("*/*/*/community=x")
+    text = json.dumps(envelope("x", [post(f"b{k}") for k in range(50)]))
+    (folder / "part-broken.json").write_text(text[:300] + "\n")
+    documents = read_documents(spark, lake.bronze)
+    transform(documents, lake, "20240131_020000")
+    rows = {r.subreddit: r for r in run_summary(spark, lake, RUN).collect()}
+    assert (rows["x"].bronze_rows, rows["x"].silver_rows, rows["x"].quarantined) == (3, 3, 1)
+    assert not rows["x"].ok and rows["y"].ok
+    assert summary(run(spark, raw(spark, x=3, y=1), lake, RUN))["x"][-1]
+
+
+def test_foreign_documents_that_become_empty_leave_nothing(spark, lake, tmp_path):
+    place = tmp_path / "in" / "reddit" / "x"
+    place.mkdir(parents=True)
+    for posts in ([post("a"), post("b")], []):
+        (place / "posts.json").write_text(json.dumps(envelope("x", posts), indent=2))
+        run_foreign(spark, str(tmp_path / "in"), lake)
+        assert read_silver(spark, lake.silver).count() == len(posts)
+        for dataset in GOLD_DATASETS:
+            assert read_gold(spark, lake.gold(dataset), dataset).count() <= len(posts)
+
+
+def test_a_bad_field_costs_the_field(spark, lake, tmp_path):
+    place = tmp_path / "in" / "reddit" / "x"
+    place.mkdir(parents=True)
+    posts = [post("a"), post("b", score=12.5), post("c", is_self="maybe", title=7), post("d", score="9")]
+    (place / "posts.json").write_text(json.dumps(envelope("x", posts), indent=2))
+    run_foreign(spark, str(tmp_path / "in"), lake)
+    silver = {r.id: r for r in read_silver(spark, lake.silver).collect()}
+    assert {i: r.score for i, r in silver.items()} == {"a": 1, "b": None, "c": 1, "d": 9}
+    assert silver["c"].is_self is None and silver["c"].title == "7"
+    aside = spark.read.json(f"{lake.quarantine}/posts").collect()
+    assert sorted(r.id for r in aside) == ["b", "c"]
+
+
+def test_scratch_is_removed(spark, lake, tmp_path, monkeypatch):
+    used = []
+
+    def folder(spark):
+        used.append(tmp_path / f"scratch-{len(used)}")
+        return str(used[-1])
+
+    monkeypatch.setattr(load_module, "scratch_folder", folder)
+    run(spark, raw(spark, x=30), lake, RUN, None)
+    assert used and not any(place.exists() for place in used)
+
+
 def test_lost_posts_show(spark, lake):
     run(spark, raw(spark, x=3, y=1), lake, RUN)
     document = read_documents(spark, lake.bronze).where("community = 'x'").drop("_corrupt")

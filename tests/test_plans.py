@@ -71,7 +71,7 @@ def test_top_lists_cut_before_each_shuffle(spark, stored, build):
 
 def test_bounded_documents_reuse_the_listing_shuffle(spark):
     posts = stamp_posts(take_listing(listing_from_tables(spark, FOLDER)), RUN)
-    bounded, folded = tree(posts), tree(build_documents(posts, RUN, 100))
+    bounded, folded = tree(posts), tree(build_documents(posts, RUN, together=True))
     assert folded.count("Exchange") == bounded.count("Exchange")
 
 

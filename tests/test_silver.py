@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from agoralake.operators.silver import bad_time_posts, clean_posts, unnest_posts
+from agoralake.operators.silver import bad_posts, clean_posts, unnest_posts
 from agoralake.schemas import POST, SILVER
 from rows import RUN, envelope, envelopes, post, unnested
 
@@ -51,7 +51,7 @@ def test_bad_extraction_time_is_kept_and_listed(spark):
         "b": None,
         "c": RUN,
     }
-    assert [r.id for r in bad_time_posts(posts).collect()] == ["a"]
+    assert [r.id for r in bad_posts(posts).collect()] == ["a"]
 
 
 def test_unnest(spark):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from agoralake.config import GOLD_DATASETS, Lake
 from agoralake.operators.listing import build_documents, stamp_posts
@@ -8,7 +9,14 @@ from agoralake.plans.load import load
 from agoralake.plans import load as load_module
 from agoralake.sinks import write_documents
 from agoralake.sources import read_gold, read_silver
-from agoralake.streaming import stream_gold, stream_quarantine, stream_silver
+from agoralake.plans.quality import layer_report
+from agoralake.streaming import (
+    incremental,
+    stream_gold,
+    stream_layers,
+    stream_quarantine,
+    stream_silver,
+)
 from agoralake.streaming.incremental import merge_batch
 from rows import RUN, listing, post
 
@@ -16,7 +24,7 @@ NEXT = RUN.replace(hour=4)
 
 
 def arrive(spark, lake, run_ts, posts, slices=1):
-    documents = build_documents(stamp_posts(listing(spark, *posts), run_ts), run_ts, None, 2)
+    documents = build_documents(stamp_posts(listing(spark, *posts), run_ts), run_ts, 2)
     write_documents(documents.repartition(slices), lake.bronze)
 
 
@@ -55,10 +63,51 @@ def test_broken_documents_do_not_stop_the_stream(spark, lake, tmp_path):
     assert [r[:2] for r in silver_ids(spark, lake)] == [("x", "x00"), ("x", "x01")]
     for _ in range(2):
         stream_quarantine(spark, lake).awaitTermination()
-    (bad,) = spark.read.json(f"{lake.quarantine}/stream").collect()
+    (bad,) = spark.read.json(f"{lake.quarantine}/documents").collect()
     assert bad.reason == "broken document" and "community=y" in bad.file_path
 
 
+def test_posts_without_a_readable_time_are_set_aside(spark, lake):
+    own = F.when(F.col("id") == "a", "noon").otherwise("2024-01-31T02:00:00")
+    raw = listing(spark, post("a"), post("b")).withColumn("extracted_at", own)
+    write_documents(build_documents(stamp_posts(raw, RUN), RUN), lake.bronze)
+    for _ in range(2):
+        stream_layers(spark, lake)
+    assert [r.id for r in spark.read.json(f"{lake.quarantine}/posts").collect()] == ["a"]
+    silver = {r.id: r.extracted_at for r in read_silver(spark, lake.silver).collect()}
+    assert silver["a"] is None and silver["b"] is not None
+
+
+def test_a_day_counts_only_files_of_the_log(spark, lake, tmp_path):
+    arrive(spark, lake, RUN, posts("x", 2))
+    stream_layers(spark, lake)
+    folder = next((tmp_path / "lake/silver/reddit").glob("run_date=*/run_id=*/subreddit=x"))
+    file = next(folder.glob("part-*.parquet"))
+    (folder / "part-stray.parquet").write_bytes(file.read_bytes())
+    for day in (None, RUN.date()):
+        report = {r.layer: r for r in layer_report(spark, lake, day).collect()}
+        assert (report["silver"].record_count, report["silver"].file_count) == (2, 1)
+    assert read_silver(spark, lake.silver, f"run_date={RUN:%Y-%m-%d}").count() == 2
+
+
+def test_state_is_compact_and_only_touched_days_are_listed(spark, lake, monkeypatch):
+    arrive(spark, lake, RUN, posts("x", 40) + posts("y", 3), slices=8)
+    stream_silver(spark, lake, max_files=1).awaitTermination()
+    later = RUN.replace(day=30)
+    arrive(spark, lake, later, posts("x", 4))
+    stream_silver(spark, lake).awaitTermination()
+    listed = []
+    monkeypatch.setattr(
+        incremental, "read_state", lambda *a, f=incremental.read_state: listed.append(a[3]) or f(*a)
+    )
+    stream_gold(spark, lake, max_files=1).awaitTermination()
+    assert len(listed) > 12 and all(len(days) == 1 for days in listed)
+    for dataset in GOLD_DATASETS:
+        state = incremental.read_state(spark, lake, dataset, [RUN.date(), later.date()])
+        kept = state.select("run_id", "subreddit", "batch").distinct()
+        assert kept.groupBy("run_id", "subreddit").count().agg({"count": "max"}).first()[0] <= 2
+
+
 def test_gold_of_a_run_split_over_batches_equals_the_batch_load(spark, lake, tmp_path):
     arrive(spark, lake, RUN, posts("x", 30) + posts("y", 3), slices=6)
     stream_silver(spark, lake, max_files=1).awaitTermination()
