@@ -27,7 +27,6 @@ def work_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="agoralake-llm-")
-        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 

@@ -4,8 +4,8 @@ The word transducer reads letters and writes a class: insult, threat, person, ne
 other. Its insult arcs (whole words, and stems that end in any letters) are learned from labelled
 documents; the closed classes are short word lists. The clause transducer reads classes, moves
 between a few states and weighs an insult or a threat by what stands before it: a person aimed at
-raises it, a negation or a report of somebody else's words lowers it. A clause's score is the best
-path's weight; a document's score is a logistic function of its clauses' scores.
+raises it, a negation or a report of somebody else's words lowers it. A clause's score is the
+weight of its path, a repeated word counts once; a document's score is a logistic function of its clauses' scores.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ from agoralake.llm.common import plain
 MAX_TOXIC, MAX_OTHER = 4000, 8000
 #: Fewest distinct contexts in toxic rows for an arc, shortest stem, and letters tried beyond it.
 MIN_CONTEXTS, STEM, STEM_MORE = 5, 4, 2
-#: Least logarithm of the odds of an arc, and the weight at which arcs are cut off.
-MIN_ODDS, MAX_WEIGHT = 2.0, 6.0
+#: Least logarithm of the odds of an arc, the weight at which arcs are cut off, and how sure an arc has
+#: to be: the log-likelihood ratio that chance reaches for one of a million arcs.
+MIN_ODDS, MAX_WEIGHT, SURE = 2.0, 6.0, 24.0
 THRESHOLD = 0.7
 
 # Words of the closed classes, in the languages of the tables.
@@ -97,14 +98,16 @@ class Grammar:
         known: dict[str, tuple[int, float]] = {}
         found = []
         for clause in _CLAUSE.split(text.lower()):
-            state, best = START, 0.0
+            state, best, counted = START, 0.0, set()
             for word in _LETTERS.findall(clause):
                 got = known.get(word)
                 if got is None:
                     got = known[word] = self.read(word)
                 kind, weight = got
                 if kind:
-                    best += weight * FACTOR.get((state, kind), 0.0)
+                    if word not in counted:
+                        best += weight * FACTOR.get((state, kind), 0.0)
+                        counted.add(word)
                     state = MOVES.get((state, kind), state)
             if best > 0:
                 found.append(best)
@@ -167,7 +170,6 @@ def learn(sample: DataFrame) -> Grammar:
     Copies of one document share their contexts, so that they count once. The sample is bounded, and
     so is what it has in arcs and feature rows.
     """
-    spark = sample.sparkSession
     rows = sample.select("__toxic", "__text")
     sizes = {r[0]: r[1] for r in rows.groupBy("__toxic").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
@@ -184,7 +186,13 @@ def learn(sample: DataFrame) -> Grammar:
     odds = F.log((F.col("bad") + 0.5) / (sizes[1] + 1)) - F.log(
         (F.col("good") + 0.5) / (sizes[0] + 1)
     )
-    kept = counted.withColumn("odds", odds).where(F.col("odds") >= MIN_ODDS).collect()
+    share = sizes[1] / (sizes[0] + sizes[1])
+    ratio = F.expr(
+        f"2 * (bad * ln(bad / ((bad + good) * {share}D)) + "
+        f"IF(good > 0, good * ln(good / ((bad + good) * (1D - {share}D))), 0D))"
+    )
+    sure = counted.withColumn("odds", odds).where((F.col("odds") >= MIN_ODDS) & (ratio >= SURE))
+    kept = sure.collect()
     grammar = Grammar()
     weight = {r["arc"]: min(MAX_WEIGHT, r["odds"]) for r in kept}
     bad = {r["arc"]: r["bad"] for r in kept}
@@ -201,11 +209,10 @@ def learn(sample: DataFrame) -> Grammar:
                 # A stem that only this word has is the word.
                 if len(word) > k and word[:k] in grammar.stems and bad[arc] >= 0.95 * bad[word[:k]]:
                     del grammar.stems[word[:k]]
-    held = spark.sparkContext.broadcast(grammar)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [Grammar.features(held.value.clauses(t)) for t in batch.column(1).to_pylist()]
+            found = [Grammar.features(grammar.clauses(t)) for t in batch.column(1).to_pylist()]
             columns = [pa.array(batch.column(0).to_pylist(), pa.int32())]
             columns += [pa.array([f[k] for f in found], pa.float64()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, ["toxic", "best", "total"])
@@ -249,11 +256,10 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, *, text: str = "text") ->
     other column has a part in them. An empty table gives an empty table.
     """
     name = plain("score", docs.columns)
-    held = docs.sparkSession.sparkContext.broadcast(grammar)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [held.value.score(t) for t in batch.column(text).to_pylist()]
+            got = [grammar.score(t) for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(got, pa.float64())], [*batch.schema.names, name]
             )

@@ -400,12 +400,11 @@ def extract_text(pages: DataFrame, model: Field, *, page: str = "html") -> DataF
     """
     rest = [c for c in pages.columns if c != page]
     text, size = (plain(n, rest) for n in ("text", "n_chars"))
-    held = pages.sparkSession.sparkContext.broadcast(model)
     fields = [f for f in pages.schema.fields if f.name != page]
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [held.value.text(x.as_py()) for x in batch.column(page)]
+            texts = [model.text(x.as_py()) for x in batch.column(page)]
             columns = [batch.column(c) for c in rest]
             columns += [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*rest, text, size])

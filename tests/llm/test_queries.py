@@ -1,0 +1,59 @@
+"""The registered queries against their SQL twins, and the pipeline against its own stages' rules."""
+
+from __future__ import annotations
+
+import re
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+import brute
+import corpus_pipeline
+from agoralake.llm.queries import ORACLES, QUERIES
+from compare import connect, difference
+
+FOLDER = "/root/testdata/sf0.001"
+NATIVE = ("op2_mix_sources", "op4_url_lists")
+
+
+@pytest.fixture(scope="module")
+def db():
+    return connect(FOLDER)
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query(spark, db, name):
+    df = QUERIES[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().toString()
+    assert not re.search("Cartesian|NestedLoop", plan)
+    if name in NATIVE:
+        assert not re.search("Python|Pandas|Arrow", plan)
+    if name in ORACLES:
+        assert difference(df, db, ORACLES[name]) is None
+    else:
+        table = "pages" if name == "op9_html_text" else "documents"
+        assert df.count() == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "line_dedup", "ngram_join", "mixing", "packing"]
+    clean = stages["toxicity"](spark, docs, FOLDER)
+    assert clean.columns == docs.columns and 0 < clean.count() < docs.count()
+    lines = stages["line_dedup"](spark, clean, FOLDER)
+    want = brute.lines([(r.doc_id, r.text) for r in clean.collect()])
+    assert {r.doc_id: r.text for r in lines.collect()} == {i: t for i, _, _, t in want}
+    kept = stages["ngram_join"](spark, lines, FOLDER)
+    name = brute.jaccard([(r.doc_id, r.text) for r in lines.collect()], 5, 80)
+    ids = sorted(r.doc_id for r in kept.collect())
+    assert ids == sorted(i for i, (_, c) in name.items() if i == c)
+    order = stages["mixing"](spark, kept, FOLDER)
+    assert order.columns == docs.columns and sorted(r.doc_id for r in order.collect()) == ids
+    packed = stages["packing"](spark, order, FOLDER)
+    assert sorted({r.doc_id for r in packed.collect()}) == ids
+    whole = corpus_pipeline.run(spark, FOLDER)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, packed.collect()))

@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+
+from agoralake.llm.url_lists import capture_keys, filter_urls
+
+CAPTURES = "page_id bigint, url string, fetched_at timestamp_ntz"
+ENTRIES = "key string, verdict string, listed_at timestamp_ntz"
+START = datetime(2024, 1, 1)
+
+
+def _keys(url):
+    if not url or "://" not in url:
+        return []
+    rest = url.split("://", 1)[1].split("?")[0].split("#")[0]
+    host, _, path = rest.partition("/")
+    host = host.split("@")[-1].split(":")[0].lower().rstrip(".")
+    labels, folders = host.split("."), [p for p in path.split("/")[:-1]]
+    names = [".".join(labels[k:]) for k in range(len(labels))]
+    return names + [f"{n}/{'/'.join(folders[:k])}/" for n in names for k in range(1, len(folders) + 1)] if host else []
+
+
+def _brute(captures, entries):
+    out = {}
+    for i, url, at in captures:
+        best = None
+        for key in _keys(url) if at else ():
+            log = [(t, v) for k, v, t in entries if k is not None and t is not None and k.lower() == key and t <= at]
+            if log:
+                last = max(t for t, _ in log)
+                verdict = max((v for t, v in log if t == last), key=["allow", "block", "remove"].index)
+                if verdict != "remove" and (best is None or len(key) > len(best[1])):
+                    best = (verdict, key, last)
+        out[i] = best or (None, None, None)
+    return out
+
+
+def test_keys(spark):
+    url = "https://User@News.Example.org.:8080/a/b/c.html?x=/y/z/#/q/"
+    got = spark.range(1).select(capture_keys(F.lit(url))).first()[0]
+    assert sorted(got) == sorted(_keys(url))
+    assert "news.example.org/a/b/" in got and "org" in got
+    for odd in ("", "no url", "http://", None, "http:///a/b/"):
+        assert spark.range(1).select(capture_keys(F.lit(odd).cast("string"))).first()[0] is None
+
+
+def test_equals_brute_force(spark):
+    rng = random.Random(8)
+    hosts = ["a.example.org", "b.example.org", "x.test", "a.b.c.test"]
+    captures = [
+        (k, f"http://{rng.choice(hosts)}/{rng.choice(['', 'p/', 'p/q/', 'r/'])}i{k}", START + timedelta(hours=rng.randrange(9000)))
+        for k in range(300)
+    ]
+    keys = [*hosts, "example.org", "test", "a.example.org/p/", "example.org/p/q/", "x.test/r/", "other.org"]
+    entries = [
+        (rng.choice(keys), rng.choice(["block", "allow", "remove"]), START + timedelta(days=rng.randrange(-100, 400)))
+        for _ in range(120)
+    ]
+    out = filter_urls(spark.createDataFrame(captures, CAPTURES), spark.createDataFrame(entries, ENTRIES), ident="page_id")
+    got = {r.page_id: (r.verdict, r.list_key, r.listed_since) for r in out.collect()}
+    assert got == _brute(captures, entries)
+    plan = out._jdf.queryExecution().toString()
+    assert not any(w in plan for w in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_nulls_ties_repeats_clashes_and_nothing(spark):
+    at = START + timedelta(days=40)
+    rows = [(1, "http://a.org/", at, "k"), (1, "http://a.org/", at, "k"), (2, None, at, None), (3, "http://a.org/", None, None), (None, "http://b.org/", at, None), (4, "junk", at, None)]
+    captures = spark.createDataFrame(rows, CAPTURES + ", verdict string")
+    log = [("a.org", "allow", START), ("A.org", "block", START), (None, "block", START), ("b.org", "block", None), ("b.org", "block", START), ("b.org", "odd", at)]
+    entries = spark.createDataFrame(log, ENTRIES)
+    out = filter_urls(captures, entries, ident="page_id")
+    assert out.columns == ["page_id", "url", "fetched_at", "verdict", "verdict_", "list_key", "listed_since"]
+    got = sorted((str(r.page_id), r.verdict_) for r in out.collect())
+    assert got == sorted([("1", "block"), ("1", "block"), ("2", None), ("3", None), ("4", None), ("None", "block")], key=str)
+    none = filter_urls(captures, spark.createDataFrame([], ENTRIES), ident="page_id")
+    assert {r.verdict_ for r in none.collect()} == {None} and none.count() == 6
+    assert filter_urls(spark.createDataFrame([], CAPTURES), entries, ident="page_id").count() == 0
