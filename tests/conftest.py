@@ -7,7 +7,7 @@ from agoralake.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     # A zone with DST gaps: nothing may depend on it.
     session = build_session(
         "tests",
@@ -16,6 +16,7 @@ def spark():
             "spark.driver.memory": "8g",
             "spark.sql.shuffle.partitions": "2",
             "spark.sql.session.timeZone": "America/New_York",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
