@@ -1,11 +1,16 @@
 """N-gram Jaccard join: adaptive multi-match prefixes, exact verification, components of links.
 
-Every document is the set of its word n-grams. All sets are sorted by one order, rare n-grams first,
-where how rare one is comes from a count sketch of fixed size over all documents. Two sets that reach
-the threshold share at least l n-grams of their l-prefixes, for any l; an l-prefix is l - 1 longer
-than the shortest one. Each document takes the l at which its estimated cost is least: scanning the
-lists of its prefix, and verifying at most a l-th of what they hold. A pair is matched at the smaller
-l of its two documents.
+Every document is the set of its word n-grams. All sets are sorted by one order, rare n-grams first.
+Two sets that reach the threshold share at least l n-grams of their l-prefixes, for any l; an l-prefix
+is l - 1 longer than the shortest one. Each document takes the l at which its cost is least: scanning
+the lists of its prefix, and verifying at most an l-th of what they hold. A pair is matched at the
+smaller l of its two documents.
+
+That is done twice. First the order only begins with the n-grams whose hash is low (about a quarter),
+by their exact number of documents, and goes on by hash: a prefix needs no more, and one row for each
+low one is all that shuffles. N-grams of a single document come first and pair with nothing, they only
+count; a document with a prefix of nothing else is done. Among those that are left, all n-grams are
+counted and ordered, which tells a group's members apart by what is their own.
 
 Equal sets are one class from the start. A list of an n-gram pairs its members with its first one
 only, which joins large groups of near copies without listing their pairs; then lists that still
@@ -15,7 +20,6 @@ pairs that are connected already. Candidates are verified on their whole texts.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agoralake.llm.common import (
+    Members,
     components,
-    mixed_hash,
     plain,
     stored,
     window_hashes,
@@ -34,11 +38,10 @@ from agoralake.llm.common import (
     work_folder,
 )
 
-#: Counters of the sketch, a power of two: 8 MB to every task, whatever the input.
-CELLS = 1 << 20
-SEGMENT = 1 << 14
 #: Greatest l, and what verifying a candidate costs in scanned list entries.
-MAX_MATCH, VERIFY_COST = 4, 20.0
+MAX_MATCH, VERIFY_COST = 8, 8.0
+#: The share of low n-grams is this times the share of a set that a shortest prefix takes.
+LOW_SHARE = 1.7
 
 
 def shingles(body: bytes | None, words: int) -> np.ndarray:
@@ -54,104 +57,124 @@ def needed(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
-def _sketch(docs: DataFrame, text: str, words: int) -> np.ndarray:
-    """How many documents have an n-gram of each cell, over all documents."""
+def ordered(
+    grams: np.ndarray, percent: int, share: float | None = None
+) -> tuple[int, np.ndarray, np.ndarray]:
+    """Of a sorted set: how many low n-grams it has, and all that a prefix may need, with places.
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(CELLS, np.int64)
-        for batch in batches:
-            for body in batch.column(0):
-                got = shingles(body.as_py(), words)
-                np.add.at(cells, mixed_hash(got) & np.uint64(CELLS - 1), 1)
-        for k in range(0, CELLS, SEGMENT):
-            if cells[k : k + SEGMENT].any():
-                part = zlib.compress(cells[k : k + SEGMENT].tobytes(), 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k // SEGMENT], pa.int32()), pa.array([part], pa.binary())],
-                    ["segment", "cells"],
-                )
+    Low n-grams have place 0, as only their document counts order them. Where they are too few for
+    the longest prefix, others follow by hash, and have their place in the whole order.
+    """
+    share = min(1.0, LOW_SHARE * (100 - percent) / 100) if share is None else share
+    low = int(np.searchsorted(grams, np.uint64(min(share * 2.0**64, 2.0**64 - 2048)), "right"))
+    most = min(len(grams), len(grams) - needed(len(grams), percent) + MAX_MATCH)
+    places = np.arange(1, max(low, most) + 1)
+    places[:low] = 0
+    return low, grams[: len(places)], places
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                cells = np.frombuffer(zlib.decompress(part), np.int64)
-                sums[k] = sums[k] + cells if k in sums else cells
-        for k, cells in sums.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k], pa.int32()), pa.array([cells.tobytes()], pa.binary())],
-                ["segment", "cells"],
-            )
 
-    parts = docs.select(F.col(text).cast("binary")).mapInArrow(fill, "segment int, cells binary")
-    whole = np.zeros(CELLS, np.int64)
-    for k, cells in parts.repartition("segment").mapInArrow(add, "segment int, cells binary").collect():
-        whole[k * SEGMENT : (k + 1) * SEGMENT] = np.frombuffer(bytes(cells), np.int64)
-    return whole
-
-
-def adaptive_prefix(
-    grams: np.ndarray, counts: np.ndarray, noise: float, percent: int
-) -> tuple[np.ndarray, int]:
-    """A set's prefix in the global order and the l it was lengthened for."""
-    size = len(grams)
-    order = np.lexsort((grams, counts))
-    least = size - needed(size, percent) + 1
-    top = min(MAX_MATCH, size - least + 1)
-    held = np.maximum(counts[order[: least + top - 1]] - noise, 1.0)
-    scan = np.cumsum(held)[least - 1 :]
-    level = np.arange(1, top + 1)
-    match = int(np.argmin(scan * (1 + VERIFY_COST / level))) + 1
-    return grams[order[: least + match - 1]], match
-
-
-def _prefixes(docs: DataFrame, ident: str, text: str, words: int, percent: int) -> DataFrame:
-    """(id, node, size, match, prefix) of every document; a node stands for all with an equal set."""
-    spark = docs.sparkSession
-    cells = _sketch(docs, text, words)
-    noise = float(cells.mean())
-    held = spark.sparkContext.broadcast(cells)
+def _sets(docs: DataFrame, ident: str, text: str, words: int, percent: int) -> DataFrame:
+    """(id, node, size, low) of every document; a node stands for all with an equal set."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, sizes, matches, tokens = [], [], [], []
+            nodes, sizes, lows = [], [], []
             for body in batch.column(1):
                 grams = shingles(body.as_py(), words)
+                nodes.append(_node(grams) if len(grams) else None)
                 sizes.append(len(grams))
-                nodes.append(xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None)
-                if len(grams):
-                    counts = held.value[mixed_hash(grams) & np.uint64(CELLS - 1)]
-                    prefix, match = adaptive_prefix(grams, counts, noise, percent)
-                    tokens.append(prefix.view(np.int64))
-                    matches.append(match)
-                else:
-                    tokens.append(None)
-                    matches.append(0)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(nodes, pa.binary()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(matches, pa.int32()),
-                    pa.array(tokens, pa.list_(pa.int64())),
-                ],
-                ["id", "node", "size", "match", "prefix"],
-            )
+                lows.append(ordered(grams, percent)[0])
+            columns = [pa.array(c, pa.int64()) for c in (nodes, sizes, lows)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "node", "size", "low"])
 
     kind = docs.schema[ident].dataType.simpleString()
     rows = docs.select(F.col(ident).alias("id"), F.col(text).cast("binary").alias("body"))
-    return rows.mapInArrow(
-        compute, f"id {kind}, node binary, size bigint, match int, prefix array<bigint>"
+    return rows.mapInArrow(compute, f"id {kind}, node bigint, size bigint, low bigint")
+
+
+def _node(grams: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63)
+
+
+def _grams(
+    bodies: DataFrame, words: int, percent: int, share: float | None = None
+) -> DataFrame:
+    """(gram, node, place) of what prefixes may need, once for equal sets of a task."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for body in batch.column(0):
+                grams = shingles(body.as_py(), words)
+                if len(grams) and (node := _node(grams)) not in seen:
+                    seen.add(node)
+                    _, own, places = ordered(grams, percent, share)
+                    parts.append((own.view(np.int64), np.full(len(own), node), places))
+            if parts:
+                columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2], pa.int32())],
+                    ["gram", "node", "place"],
+                )
+
+    bodies = bodies.select("body").where("body IS NOT NULL")
+    return bodies.mapInArrow(emit, "gram bigint, node bigint, place int")
+
+
+def _prefixes(sets: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
+    """(gram, node, size, match, place, own) of each prefix's n-grams that other documents have too.
+
+    place is an n-gram's place in the document's order, match the l the document takes, and own the
+    share of its low n-grams that no other document has.
+    """
+    shared = grams.selectExpr(
+        "*",
+        "min(node) OVER (PARTITION BY gram) AS a",
+        "max(node) OVER (PARTITION BY gram) AS b",
+        "count(1) OVER (PARTITION BY gram) AS df",
+    ).where("a <> b").select("gram", "node", "place", "df").distinct()
+    classes = sets.where("node IS NOT NULL").groupBy("node").agg(
+        F.first("size").alias("size"), F.first("low").alias("low")
+    )
+    ranked = shared.join(classes, "node").selectExpr(
+        "*",
+        # Low n-grams of no other document come before those that are shared.
+        "IF(place > 0, place, low - count_if(place = 0) OVER (PARTITION BY node) + row_number() OVER "
+        "(PARTITION BY node ORDER BY IF(place > 0, 1, 0), df, gram)) AS rank",
+        f"size - ({percent} * size + 99) DIV 100 + 1 AS least",
+        # What the shortest prefix is for a partner of the same size; costs are estimated for that.
+        f"size - (2 * {percent} * size + {99 + percent}) DIV {100 + percent} + 1 AS tight",
+        "1 - count_if(place = 0) OVER (PARTITION BY node) / greatest(low, 1) AS own",
+    )
+    levels = ranked.selectExpr(
+        "*",
+        "CAST(greatest(1, rank - least + 1) AS INT) AS level",
+        "CAST(greatest(1, rank - tight + 1) AS INT) AS same",
+        "min(rank) OVER (PARTITION BY node) AS front",
+        "sum(df) OVER (PARTITION BY node ORDER BY rank) AS scan",
+    ).where(f"front <= least AND level <= {MAX_MATCH}")
+    costs = levels.selectExpr(
+        "*",
+        f"max(scan) OVER (PARTITION BY node, same) * (1 + {VERIFY_COST}D / same) AS cost",
+    )
+    chosen = costs.selectExpr(
+        "*",
+        f"min(IF(same <= {MAX_MATCH}, struct(cost, same), NULL)) OVER (PARTITION BY node) AS best",
+        "min(same) OVER (PARTITION BY node) AS nearest",
+    ).withColumn("match", F.expr("IF(nearest > 1, 1, best.same)"))
+    return chosen.where("level <= match").selectExpr(
+        "gram", "node", "size", "match", "rank AS place", "own"
     )
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The (a, b) whose sets reach the threshold, decided on their whole texts."""
+def _compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(a, b, both, any): how many n-grams two sets share and have, counted on their whole texts."""
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray] = {}
         for batch in batches:
-            known: dict[bytes, np.ndarray] = {}
-            keep = []
+            both, every = [], []
             for a, b, left, right in zip(*batch.columns, strict=True):
                 sets = []
                 for node, body in ((a.as_py(), left), (b.as_py(), right)):
@@ -161,15 +184,17 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
                         known[node] = shingles(body.as_py(), words)
                     sets.append(known[node])
                 x, y = sets
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            good = batch.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([good.column(0), good.column(1)], ["a", "b"])
+                both.append(len(np.intersect1d(x, y, assume_unique=True)))
+                every.append(len(x) + len(y) - both[-1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(both, pa.int64()), pa.array(every, pa.int64())],
+                ["a", "b", "both", "any"],
+            )
 
     left = texts.select(F.col("node").alias("a"), F.col("body").alias("__a"))
     right = texts.select(F.col("node").alias("b"), F.col("body").alias("__b"))
     whole = pairs.join(left, "a").join(right, "b").select("a", "b", "__a", "__b")
-    return whole.mapInArrow(verify, "a binary, b binary")
+    return whole.mapInArrow(compare, "a bigint, b bigint, both bigint, any bigint")
 
 
 def ngram_components(
@@ -186,65 +211,65 @@ def ngram_components(
     ASCII white space, A-Z lower-cased. A null text, or one without words, has 0 shingles and links
     with nothing; one with fewer than `words` words is a set of one. Rows with equal ids each count as
     a text of that id. A row without an id is linked like others, but gives no component its name. An
-    empty table gives an empty table.
+    empty table gives an empty table. Sets are told apart by 64-bit hashes of their n-grams.
     """
     spark = docs.sparkSession
     folder = work_folder(spark)
-    rows = stored(_prefixes(docs, ident, text, words, percent), folder, "prefixes")
-    some = rows.where("node IS NOT NULL")
-    classes = some.groupBy("node").agg(
-        F.min("id").alias("id"), F.first("size").alias("size"), F.first("match").alias("match"),
-        F.first("prefix").alias("prefix"),
-    )
-    entries = classes.select(
-        "node", "size", "match", F.posexplode("prefix").alias("at", "gram")
-    ).selectExpr(
-        "gram", "node", "size", "match",
-        # The l at which an entry is part of the prefix.
-        f"CAST(greatest(1, at + 1 - (size - ({percent} * size + 99) DIV 100)) AS INT) AS level",
-    )
+    rows = stored(_sets(docs, ident, text, words, percent), folder, "sets")
+    whole = docs.select(F.col(ident).alias("id"), F.col(text).cast("binary").alias("body"))
+    coarse = _prefixes(rows, _grams(whole, words, percent), percent)
+    some = coarse.selectExpr("node", "min(node) OVER (PARTITION BY gram) AS a", "max(node) OVER (PARTITION BY gram) AS b")
+    some = stored(some.where("a <> b").select("node").distinct(), folder, "some")
+    # The texts of the classes left, each once; among them all n-grams are counted and ordered.
+    bodies = rows.select("id", "node", "size").join(some, "node", "left_semi")
+    bodies = bodies.groupBy("node").agg(F.min("id").alias("id"), F.first("size").alias("size"))
+    bodies = stored(bodies, folder, "left")
+    texts = Members.of(bodies.select("id")).keep(whole, "id").join(bodies, "id")
+    texts = stored(texts.select("node", "body").dropDuplicates(["node"]), folder, "texts")
+    every = bodies.selectExpr("node", "size", "size AS low")
+    entries = stored(_prefixes(every, _grams(texts, words, percent, 1.0), percent), folder, "entries")
     lists = entries.selectExpr(
-        "*",
+        "gram", "node", "size", "match", "place",
         "count(1) OVER (PARTITION BY gram) AS held",
-        "min(struct(node, size)) OVER (PARTITION BY gram) AS head",
+        # The member with the fewest n-grams of its own is the likeliest origin of the others.
+        "min(struct(own, node, size)) OVER (PARTITION BY gram) AS head",
     ).where("held > 1")
     lists = stored(lists.drop("held"), folder, "lists")
-
     def fit(a: str, b: str) -> str:
         return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
+    linked = f"100 * both >= {percent} * any"
     first = lists.where("node <> head.node").where(fit("size", "head.size"))
-    first = stored(first.selectExpr("node AS a", "head.node AS b").distinct(), folder, "first")
-    # The texts of all classes that share an entry with another one, each once.
-    wanted = lists.select("node").distinct()
-    bodies = rows.select("id", "node").join(wanted, "node", "left_semi")
-    bodies = bodies.groupBy("node").agg(F.min("id").alias("id"))
-    bodies = docs.select(F.col(ident).alias("id"), F.col(text).cast("binary").alias("body")).join(
-        bodies, "id"
-    )
-    texts = stored(bodies.select("node", "body"), folder, "texts")
-    near = stored(_linked(first, texts, words, percent), folder, "near")
+    first = first.selectExpr("node AS a", "head.node AS b").distinct()
+    first = stored(_compared(first, texts, words), folder, "first")
+    near = first.where(linked).select("a", "b")
     joined = components(near, folder, "joined").withColumnRenamed("node", "__node")
     rest = lists.join(joined, F.col("node") == F.col("__node"), "left").selectExpr(
-        "gram", "node", "size", "match", "level", "coalesce(component, node) AS component"
+        "gram", "node", "size", "match", "place", "coalesce(component, node) AS component"
     )
     rest = rest.selectExpr(
         "*",
-        "min(component) OVER (PARTITION BY gram) AS low",
-        "max(component) OVER (PARTITION BY gram) AS high",
-    ).where("low <> high")
-    rest = stored(rest.drop("low", "high"), folder, "rest")
+        "min(component) OVER (PARTITION BY gram) AS least_one",
+        "max(component) OVER (PARTITION BY gram) AS last_one",
+    ).where("least_one <> last_one")
+    rest = stored(rest.drop("least_one", "last_one"), folder, "rest")
+    x, y = rest.alias("x"), rest.alias("y")
+    # A pair of known sizes has to share so much, and its prefixes are that much shorter.
+    overlap = f"(({percent} * (x.size + y.size) + {99 + percent}) DIV {100 + percent})"
     x, y = rest.alias("x"), rest.alias("y")
     shared = x.join(
         y,
         F.expr(
             "x.gram = y.gram AND x.node > y.node AND x.component <> y.component AND "
-            "greatest(x.level, y.level) <= least(x.match, y.match) AND " + fit("x.size", "y.size")
+            f"x.place <= x.size - {overlap} + least(x.match, y.match) AND "
+            f"y.place <= y.size - {overlap} + least(x.match, y.match) AND " + fit("x.size", "y.size")
         ),
     ).selectExpr("x.node AS a", "y.node AS b", "least(x.match, y.match) AS match")
     second = shared.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.first("match").alias("match"))
-    second = second.where("n >= match").select("a", "b").join(first, ["a", "b"], "left_anti")
-    far = stored(_linked(second, texts, words, percent), folder, "far")
+    second = second.where("n >= match").select("a", "b")
+    known = first.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    second = second.join(known, ["a", "b"], "left_anti")
+    far = stored(_compared(second, texts, words), folder, "second").where(linked).select("a", "b")
     whole = components(near.union(far), folder, "whole").withColumnRenamed("node", "__node")
     named = rows.select("id", "size", "node").join(whole, F.col("node") == F.col("__node"), "left")
     named = named.withColumn("component", F.coalesce("component", "node")).drop("node", "__node")

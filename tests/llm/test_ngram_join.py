@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import brute
-from agoralake.llm.ngram_join import adaptive_prefix, needed, ngram_components, one_of_each
+from agoralake.llm.ngram_join import MAX_MATCH, needed, ngram_components, one_of_each, ordered
 
 
 def _got(df):
@@ -32,19 +32,24 @@ def test_chains_of_near_copies(documents):
 
 def test_prefixes_of_sets_at_the_threshold_share_enough():
     rng = np.random.default_rng(1)
-    for _ in range(300):
+    for _ in range(400):
         size, percent = int(rng.integers(1, 60)), int(rng.choice([50, 80, 85]))
-        x = np.unique(rng.integers(0, 1 << 60, size).astype(np.uint64))
+        x = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64) * np.uint64(2))
         swap = len(x) - needed(len(x), percent)
-        y = np.unique(np.concatenate([x[swap:], rng.integers(0, 1 << 60, swap).astype(np.uint64)]))
+        keep = rng.permutation(x)[swap:]
+        y = np.unique(np.concatenate([keep, rng.integers(0, 1 << 63, swap).astype(np.uint64)]))
         both = len(np.intersect1d(x, y))
         if 100 * both < percent * (len(x) + len(y) - both):
             continue
-        counts = lambda s: (s % np.uint64(7)).astype(np.int64)
-        (p, k), (q, m) = (adaptive_prefix(s, counts(s), 0.0, percent) for s in (x, y))
-        match = min(k, m)
-        cut = lambda s, pre, own: pre[: len(s) - needed(len(s), percent) + match]
-        assert len(np.intersect1d(cut(x, p, k), cut(y, q, m))) >= match
+        count = {int(g): int(g) % 7 for g in np.union1d(x, y)}
+        for match in range(1, min(MAX_MATCH, needed(len(x), percent), needed(len(y), percent)) + 1):
+            prefixes = []
+            for s in (x, y):
+                low, own, places = ordered(s, percent)
+                order = sorted(own[:low], key=lambda g: (count[int(g)], g)) + list(own[low:])
+                assert list(places[low:]) == list(range(low + 1, len(own) + 1))
+                prefixes.append(order[: len(s) - needed(len(s), percent) + match])
+            assert len(np.intersect1d(*prefixes)) >= match
 
 
 def test_nulls_repeats_and_nothing(documents):
