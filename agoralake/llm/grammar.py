@@ -5,7 +5,7 @@ other. Its insult arcs (whole words, and stems that end in any letters) are lear
 documents; the closed classes are short word lists. The clause transducer reads classes, moves
 between a few states and weighs an insult or a threat by what stands before it: a person aimed at
 raises it, a negation or a report of somebody else's words lowers it. A clause's score is the
-weight of its path, a repeated word counts once; a document's score is a logistic function of its clauses' scores.
+weight of its path, a repeated word counts once, where it weighs most; a document's score is a logistic function of its clauses' scores.
 """
 
 from __future__ import annotations
@@ -98,16 +98,17 @@ class Grammar:
         known: dict[str, tuple[int, float]] = {}
         found = []
         for clause in _CLAUSE.split(text.lower()):
-            state, best, counted = START, 0.0, set()
+            state, best, counted = START, 0.0, {}
             for word in _LETTERS.findall(clause):
                 got = known.get(word)
                 if got is None:
                     got = known[word] = self.read(word)
                 kind, weight = got
                 if kind:
-                    if word not in counted:
-                        best += weight * FACTOR.get((state, kind), 0.0)
-                        counted.add(word)
+                    value = weight * FACTOR.get((state, kind), 0.0)
+                    if value > counted.get(word, 0.0):
+                        best += value - counted.get(word, 0.0)
+                        counted[word] = value
                     state = MOVES.get((state, kind), state)
             if best > 0:
                 found.append(best)

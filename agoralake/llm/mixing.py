@@ -45,7 +45,7 @@ def target_weights(
     shares = sizes.withColumn("__raw", raw)
     total = shares.agg(F.greatest(F.sum("__raw"), F.lit(1))).scalar()
     return shares.withColumn("__all", total).select(
-        "__source", F.greatest(F.expr(f"__raw * {parts} DIV __all"), F.lit(1)).alias("__p")
+        "__source", F.greatest(F.expr(f"(__raw * {parts} + __all DIV 2) DIV __all"), F.lit(1)).alias("__p")
     )
 
 

@@ -161,7 +161,8 @@ placed AS (
 raw AS (
   SELECT s, CAST(round(sqrt(count(*)) * {GRAIN}) AS BIGINT) AS r FROM docs GROUP BY s),
 shares AS (
-  SELECT s, greatest(r * {PARTS} // (SELECT CAST(sum(r) AS BIGINT) FROM raw), 1) AS p FROM raw),
+  SELECT s, greatest((r * {PARTS} + total // 2) // total, 1) AS p
+  FROM raw, (SELECT CAST(sum(r) AS BIGINT) AS total FROM raw)),
 one AS (
   SELECT list(s ORDER BY s) AS names, list(p ORDER BY s) AS ps, CAST(sum(p) AS BIGINT) AS q
   FROM shares),
@@ -244,7 +245,7 @@ under AS (
   SELECT page_id, url, fetched_at, name || '/' || array_to_string(folders[:n], '/') || '/'
   FROM (SELECT *, unnest(range(1, len(folders) + 1)) AS n FROM domains)),
 best AS (
-  SELECT page_id, max_by({'k': u.key, 'v': verdict, 'f': listed_at}, length(u.key)) AS b
+  SELECT page_id, max_by({'k': u.key, 'v': verdict, 'f': listed_at}, {'l': length(u.key), 'k': u.key}) AS b
   FROM under u JOIN held h ON u.key = h.key AND fetched_at >= listed_at AND fetched_at < until
   WHERE verdict <> 'remove' GROUP BY page_id)
 SELECT a.page_id, a.url, a.fetched_at, b.v AS verdict, b.k AS list_key, b.f AS listed_since

@@ -87,7 +87,7 @@ def filter_urls(
 ) -> DataFrame:
     """All captures and their columns, and `verdict`, `list_key` and `listed_since` of what decides.
 
-    The longest key wins, which is the most specific one. A capture that no active entry covers, and
+    The longest key wins, which is the most specific one, and of equally long ones the greater. A capture that no active entry covers, and
     one without a URL, host or time, has nulls there and is to be kept. Rows with equal ids are each
     evaluated: a row is told apart by id, URL and time. Taken names get underscores. An empty table
     of captures gives an empty one, an empty list decides nothing.

@@ -32,7 +32,7 @@ def _brute(captures, entries):
             if log:
                 last = max(t for t, _ in log)
                 verdict = max((v for t, v in log if t == last), key=["allow", "block", "remove"].index)
-                if verdict != "remove" and (best is None or len(key) > len(best[1])):
+                if verdict != "remove" and (best is None or (len(key), key) > (len(best[1]), best[1])):
                     best = (verdict, key, last)
         out[i] = best or (None, None, None)
     return out
