@@ -14,9 +14,21 @@ def epoch_to_timestamp(seconds: Column) -> Column:
     return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
 
 
+_DAY = r"^\s*\d{4}-\d{2}-\d{2}"
+_OFFSET = r"^(.*[T ]\d{2}:\d{2}.*)([+-])(\d{2}):?(\d{2})\s*$"
+
+
 def iso_to_timestamp(text: Column) -> Column:
-    """ISO-8601 text with or without a fraction; text that does not parse gives NULL."""
-    return text.try_cast("timestamp_ntz")
+    """ISO-8601 text with or without a fraction, in UTC.
+
+    An offset in the text is taken off; text without a whole date, or that does not parse, gives NULL.
+    """
+    part = [F.regexp_extract(text, _OFFSET, k) for k in range(5)]
+    minutes = part[3].try_cast("int") * 60 + part[4].try_cast("int")
+    east = F.when(part[2] == "-", minutes).otherwise(-minutes)
+    shifted = F.timestamp_add("MINUTE", east, part[1].try_cast("timestamp_ntz"))
+    plain = F.when(text.rlike(_DAY), text.try_cast("timestamp_ntz"))
+    return F.when(text.rlike(_OFFSET), shifted).otherwise(plain)
 
 
 def run_time(run_ts: datetime | str | None = None) -> datetime:

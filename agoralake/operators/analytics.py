@@ -28,6 +28,8 @@ POST_COLUMNS = (
     "subreddit",
 )
 PREVIEW_COLUMNS = ("title", "score", "num_comments", "author")
+
+# What the analysis of lengths reads of the two post lists.
 LENGTH_COLUMNS = (
     "title_length",
     "selftext_length",

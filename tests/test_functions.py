@@ -130,3 +130,17 @@ def test_filter_takes_values_not_sql(spark):
     assert days(spark, subreddit="x' OR '1'='1") == []
     with pytest.raises(ValueError):
         post_filter(start_date="2024-01-01' OR 1=1")
+
+
+def test_offsets_are_taken_off_and_dates_have_to_be_whole(spark):
+    values = {
+        "2024-01-31T02:00:00+05:00": "2024-01-30 21:00:00",
+        "2024-01-31T22:30:00.5-0230": "2024-02-01 01:00:00.5",
+        "2024-01-31T02:00:00Z": "2024-01-31 02:00:00",
+        "2024-01-31": "2024-01-31 00:00:00",
+        "2024": None,
+        "2024-01": None,
+        "02:00:00": None,
+    }
+    got = results(column(spark, list(values), "string"), iso_to_timestamp(F.col("c")).cast("string"))
+    assert got == list(values.values())
