@@ -1,7 +1,6 @@
 """Embedding near-dedup: NN-descent over the centres of tight balls, then links by cosine.
 
-Vectors within a quarter of the threshold's angle of a leader form a ball, all of whose pairs are
-linked; so large groups of near copies are never listed pair by pair. NN-descent runs over the balls'
+Vectors within half of the threshold's angle of a centre form a ball, all of whose pairs are linked; so large groups of near copies are never listed pair by pair. NN-descent runs over the balls'
 centres: lists start from neighbours in several random-hyperplane orders, then neighbours of a node
 are introduced to each other, round by round, and every node keeps its best. A list whose last entry
 could still be a link is saturated and doubles. Whether all links are found is audited against brute
@@ -28,8 +27,8 @@ THRESHOLD = 0.93
 LIST, ORDERS, LOOK = 8, 12, 4
 #: Most rounds of one descent, the share of new entries that ends it, and most starts.
 ROUNDS, SETTLED, STARTS = 6, 0.002, 4
-#: Passes in which vectors look for a leader, and the hyperplanes of their codes.
-BALL_PASSES, BALL_BITS, ORDER_BITS = 3, 16, 48
+#: Codes by which vectors look for a centre, and the hyperplanes of these and of the orders' codes.
+BALL_CODES, BALL_BITS, ORDER_BITS = 6, 16, 48
 #: Centres of the audit, and the share of their links that has to be found.
 AUDIT, RECALL = 64, 0.98
 _EDGE = 1e-7
@@ -103,30 +102,34 @@ _DOT = "aggregate(zip_with({}, {}, (x, y) -> x * y), 0D, (s, x) -> s + x)"
 
 
 def _balls(units: DataFrame, angle: float, folder: str) -> DataFrame:
-    """(node, grp, unit, centre, gap): each vector's ball and its angle to the centre.
+    """(node, unit, centre, gap): each vector's ball and its angle to the centre.
 
-    In a pass, centres without members look at the smallest node of their code's bucket.
+    By several codes, every vector looks at the smallest node of its bucket; of those within the angle
+    the smallest is its centre. A centre may itself be in another ball: what counts is that a ball's
+    members are all near one vector. A vector alone in its ball is its own centre.
     """
-    now = units.selectExpr("*", "node AS centre", "0D AS gap")
-    for turn in range(BALL_PASSES):
-        sizes = now.groupBy("centre").agg(F.count(F.lit(1)).alias("members"))
-        sizes = sizes.where("members > 1").select("centre")
-        alone = now.where("node = centre").select("node", "grp", "unit")
-        coded = _coded(alone, BALL_BITS, [1000 + turn]).drop("turn")
-        leaders = coded.groupBy("grp", "code").agg(F.min(F.struct("node", "unit")).alias("lead"))
-        near = (
-            coded.join(leaders, ["grp", "code"])
-            .where("node <> lead.node")
-            .selectExpr("node", "lead.node AS to", f"{_DOT.format('unit', 'lead.unit')} AS cosine")
-            .where(F.col("cosine") >= math.cos(angle))
-            .join(sizes.withColumnRenamed("centre", "node"), "node", "left_anti")
-        )
-        now = now.join(near, "node", "left").selectExpr(
-            "node", "grp", "unit", "coalesce(to, centre) AS centre",
-            "CASE WHEN to IS NULL THEN gap ELSE acos(least(1D, cosine)) END AS gap",
-        )
-        now = stored(now, folder, f"balls-{turn}")
-    return now
+    codes = _coded(units, BALL_BITS, [1000 + k for k in range(BALL_CODES)]).drop("unit")
+    leaders = codes.groupBy("grp", "turn", "code").agg(F.min("node").alias("lead"))
+    pairs = codes.join(leaders, ["grp", "turn", "code"]).where("node <> lead")
+    pairs = stored(pairs.select("node", "lead").distinct(), folder, "leaders")
+    near = (
+        pairs.join(units.selectExpr("node AS lead", "unit AS other"), "lead")
+        .join(units.select("node", "unit"), "node")
+        .selectExpr("node", "lead", f"{_DOT.format('unit', 'other')} AS cosine")
+        .where(F.col("cosine") >= math.cos(angle))
+        .groupBy("node")
+        .agg(F.min(F.struct("lead", "cosine")).alias("best"))
+        .selectExpr("node", "best.lead AS centre", "acos(least(1D, best.cosine)) AS gap")
+    )
+    near = stored(near, folder, "near")
+    # Who has company: others of the same centre, or the centre itself, if that looks at no other one.
+    own = units.select("node").join(near.select("node"), "node", "left_anti")
+    many = near.select("centre").union(own.select("node")).groupBy("centre").count()
+    many = many.where("count > 1").select("centre")
+    near = near.join(many, "centre", "left_semi")
+    return units.join(near, "node", "left").selectExpr(
+        "node", "unit", "coalesce(centre, node) AS centre", "coalesce(gap, 0D) AS gap"
+    )
 
 
 def _start(centres: DataFrame, seeds: list[int]) -> DataFrame:
@@ -283,15 +286,13 @@ def near_vectors(
     folder = work_folder(spark)
     theta = math.acos(threshold)
     units = stored(_units(vectors, ident, vector, label), folder, "units")
-    balls = _balls(units, theta / 4, folder)
+    balls = stored(_balls(units, theta / 2 - _EDGE, folder), folder, "balls")
     inside = balls.groupBy("centre").agg(
-        F.max("gap").alias("radius"), F.count(F.lit(1)).alias("members")
+        F.max(F.when(F.col("gap") > 0, F.col("gap") + _EDGE).otherwise(0.0)).alias("radius"),
+        F.count(F.lit(1)).alias("members"),
     )
-    inside = inside.select("centre", F.when(F.col("members") > 1, F.col("radius") + _EDGE).otherwise(0.0).alias("radius"), "members")
     top = inside.agg(F.coalesce(F.max("radius"), F.lit(0.0))).scalar()
-    centres = balls.where("node = centre").select("node", "grp", "unit").join(
-        inside.withColumnRenamed("centre", "node"), "node"
-    )
+    centres = units.join(inside.withColumnRenamed("centre", "node"), "node")
     centres = stored(
         centres.withColumn("top", top).withColumn("room", F.lit(LIST)), folder, "centres"
     )
@@ -316,7 +317,7 @@ def near_vectors(
     gap, wide = "acos(least(1D, greatest(-1D, cosine)))", "(ra + rb)"
     pairs = pairs.selectExpr(
         "a", "b", "ma", "mb",
-        f"CASE WHEN ma = 1 AND mb = 1 THEN cosine >= {threshold!r}D "
+        f"CASE WHEN ra = 0 AND rb = 0 THEN cosine >= {threshold!r}D "
         f"WHEN {gap} + {wide} <= {theta!r}D - {_EDGE} THEN true "
         f"WHEN {gap} - {wide} > {theta!r}D + {_EDGE} THEN false END AS linked",
     ).where("linked OR linked IS NULL")
