@@ -104,6 +104,7 @@ DAILY_PARTIALS = T.StructType(
     ]
 )
 
+# Fixed values, like POST and SILVER: the column lists of the tables above and below.
 GOLD = {"daily_stats": DAILY_STATS, "top_posts": SILVER, "top_commented": SILVER}
 
 BRONZE_POSTS_TABLE = T.StructType(
@@ -151,12 +152,6 @@ SUBREDDIT_STATS_TABLE = T.StructType(
     ]
 )
 
-LAYER_TABLES = {
-    "bronze_posts": BRONZE_POSTS_TABLE,
-    "silver_posts": SILVER_POSTS_TABLE,
-    "gold_subreddit_stats": SUBREDDIT_STATS_TABLE,
-}
-
 # Hive-style partition columns of the stored layers. The run comes first: one run is one prefix,
 # so loading it lists nothing else, however many runs and communities the lake holds.
 BRONZE_PARTITIONS = ("run_date", "run_hour", "run_id", "community")
