@@ -103,20 +103,23 @@ def _grams(
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
-            parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for body in batch.column(0):
-                grams = shingles(body.as_py(), words)
-                if len(grams) and (node := _node(grams)) not in seen:
-                    seen.add(node)
-                    _, own, places = ordered(grams, percent, share)
-                    parts.append((own.view(np.int64), np.full(len(own), node), places))
-            if parts:
-                columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2], pa.int32())],
-                    ["gram", "node", "place"],
-                )
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def rows() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+            parts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "node", "place"])
+
+        for body in (x for batch in batches for x in batch.column(0)):
+            grams = shingles(body.as_py(), words)
+            if len(grams) and (node := _node(grams)) not in seen:
+                seen.add(node)
+                _, own, places = ordered(grams, percent, share)
+                parts.append((own.view(np.int64), np.full(len(own), node), places.astype(np.int32)))
+                if len(parts) >= 500 or len(own) > 200_000:
+                    yield rows()
+        if parts:
+            yield rows()
 
     bodies = bodies.select("body").where("body IS NOT NULL")
     return bodies.mapInArrow(emit, "gram bigint, node bigint, place int")
@@ -128,12 +131,12 @@ def _prefixes(sets: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
     place is an n-gram's place in the document's order, match the l the document takes, and own the
     share of its low n-grams that no other document has.
     """
-    shared = grams.selectExpr(
-        "*",
-        "min(node) OVER (PARTITION BY gram) AS a",
-        "max(node) OVER (PARTITION BY gram) AS b",
-        "count(1) OVER (PARTITION BY gram) AS df",
-    ).where("a <> b").select("gram", "node", "place", "df").distinct()
+    # Counts combine before they shuffle, and the join spreads a very common n-gram over many tasks.
+    counts = grams.groupBy("gram").agg(
+        F.min("node").alias("a"), F.max("node").alias("b"), F.count(F.lit(1)).alias("df")
+    )
+    counts = counts.where("a <> b").select("gram", "df")
+    shared = grams.join(counts, "gram").select("gram", "node", "place", "df").distinct()
     classes = sets.where("node IS NOT NULL").groupBy("node").agg(
         F.first("size").alias("size"), F.first("low").alias("low")
     )
@@ -168,6 +171,18 @@ def _prefixes(sets: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _matching(texts: DataFrame, words: int) -> DataFrame:
+    """The texts of their node, where several have one id."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = (_node(shingles(body.as_py(), words)) for body in batch.column(1))
+            same = [a == b for a, b in zip(nodes, batch.column(0).to_pylist(), strict=True)]
+            yield batch.filter(pa.array(same, pa.bool_()))
+
+    return texts.mapInArrow(choose, texts.schema)
+
+
 def _compared(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """(a, b, both, any): how many n-grams two sets share and have, counted on their whole texts."""
 
@@ -210,31 +225,36 @@ def ngram_components(
     component_id is the smallest id that links reach, the row's own id included. Words are split at
     ASCII white space, A-Z lower-cased. A null text, or one without words, has 0 shingles and links
     with nothing; one with fewer than `words` words is a set of one. Rows with equal ids each count as
-    a text of that id. A row without an id is linked like others, but gives no component its name. An
+    a text of that id. A row without an id is in the component of rows with an equal set, gives it no
+    name and links no further. An
     empty table gives an empty table. Sets are told apart by 64-bit hashes of their n-grams.
     """
     spark = docs.sparkSession
     folder = work_folder(spark)
     rows = stored(_sets(docs, ident, text, words, percent), folder, "sets")
     whole = docs.select(F.col(ident).alias("id"), F.col(text).cast("binary").alias("body"))
-    coarse = _prefixes(rows, _grams(whole, words, percent), percent)
-    some = coarse.selectExpr("node", "min(node) OVER (PARTITION BY gram) AS a", "max(node) OVER (PARTITION BY gram) AS b")
-    some = stored(some.where("a <> b").select("node").distinct(), folder, "some")
+    grams = stored(_grams(whole, words, percent), folder, "low-grams")
+    coarse = _prefixes(rows, grams, percent)
+    coarse = stored(coarse.select("gram", "node"), folder, "coarse")
+    lists = coarse.groupBy("gram").agg(F.min("node").alias("a"), F.max("node").alias("b"))
+    some = coarse.join(lists.where("a <> b").select("gram"), "gram").select("node").distinct()
+    some = stored(some, folder, "some")
     # The texts of the classes left, each once; among them all n-grams are counted and ordered.
     bodies = rows.select("id", "node", "size").join(some, "node", "left_semi")
     bodies = bodies.groupBy("node").agg(F.min("id").alias("id"), F.first("size").alias("size"))
     bodies = stored(bodies, folder, "left")
     texts = Members.of(bodies.select("id")).keep(whole, "id").join(bodies, "id")
-    texts = stored(texts.select("node", "body").dropDuplicates(["node"]), folder, "texts")
+    texts = _matching(texts.select("node", "body"), words).dropDuplicates(["node"])
+    texts = stored(texts, folder, "texts")
     every = bodies.selectExpr("node", "size", "size AS low")
-    entries = stored(_prefixes(every, _grams(texts, words, percent, 1.0), percent), folder, "entries")
-    lists = entries.selectExpr(
-        "gram", "node", "size", "match", "place",
-        "count(1) OVER (PARTITION BY gram) AS held",
-        # The member with the fewest n-grams of its own is the likeliest origin of the others.
-        "min(struct(own, node, size)) OVER (PARTITION BY gram) AS head",
-    ).where("held > 1")
-    lists = stored(lists.drop("held"), folder, "lists")
+    grams = stored(_grams(texts, words, percent, 1.0), folder, "all-grams")
+    entries = stored(_prefixes(every, grams, percent), folder, "entries")
+    # The member with the fewest n-grams of its own is the likeliest origin of the others.
+    heads = entries.groupBy("gram").agg(
+        F.min(F.struct("own", "node", "size")).alias("head"), F.count(F.lit(1)).alias("held")
+    )
+    heads = heads.where("held > 1").drop("held")
+    lists = stored(entries.drop("own").join(heads, "gram"), folder, "lists")
     def fit(a: str, b: str) -> str:
         return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
@@ -247,12 +267,9 @@ def ngram_components(
     rest = lists.join(joined, F.col("node") == F.col("__node"), "left").selectExpr(
         "gram", "node", "size", "match", "place", "coalesce(component, node) AS component"
     )
-    rest = rest.selectExpr(
-        "*",
-        "min(component) OVER (PARTITION BY gram) AS least_one",
-        "max(component) OVER (PARTITION BY gram) AS last_one",
-    ).where("least_one <> last_one")
-    rest = stored(rest.drop("least_one", "last_one"), folder, "rest")
+    rest = stored(rest, folder, "members")
+    mixed = rest.groupBy("gram").agg(F.min("component").alias("a"), F.max("component").alias("b"))
+    rest = stored(rest.join(mixed.where("a <> b").select("gram"), "gram"), folder, "rest")
     x, y = rest.alias("x"), rest.alias("y")
     # A pair of known sizes has to share so much, and its prefixes are that much shorter.
     overlap = f"(({percent} * (x.size + y.size) + {99 + percent}) DIV {100 + percent})"

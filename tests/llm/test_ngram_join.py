@@ -62,3 +62,11 @@ def test_nulls_repeats_and_nothing(documents):
     assert kept == ["1", "2", "3", "3", "8", "None"]
     assert ngram_components(documents([])).count() == 0
     assert one_of_each(documents([])).count() == 0
+
+
+def test_several_texts_of_one_id(documents):
+    words = [f"w{k}" for k in range(60)]
+    near = " ".join([*words[:30], "x", *words[31:]])
+    docs = documents([(5, "other text " * 20), (5, " ".join(words)), (9, near), (7, "z " * 9)])
+    got = sorted((r.doc_id, r.component_id) for r in ngram_components(docs, words=4, percent=80).collect())
+    assert got == [(5, 5), (5, 5), (7, 7), (9, 5)]
