@@ -8,13 +8,14 @@ symbols inside, level by level. After a few rounds a symbol covers several words
 occur once in the corpus: a window with such a symbol inside is unique, as is, for all others, decided
 by an exact count of the windows that are left.
 
-Spark shuffles one row a symbol (a sixth of the words), then one row a suspected window. Texts only
+Spark shuffles one row a symbol (a sixth of the words), then one row a suspected window; what repeats
+within a chunk of texts is told on the spot, so nothing common meets in one task. Texts only
 shuffle where a fixed-size filter says that they have shared symbols or something to remove.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ from agoralake.llm.common import (
     work_folder,
 )
 
+# Fixed value: what stands between words.
+SPACES = r"[\x20\x09-\x0D]+"
 WIDTH = 35
 #: Words parsed at once; a longer text is parsed alone.
 CHUNK_WORDS = 400_000
@@ -78,7 +81,7 @@ def parse(
     return symbol, first, low, high
 
 
-def _chunks(refs: list[int], bodies: list[bytes | None]) -> Iterator[tuple]:
+def _chunks(bodies: Iterable[bytes | None]) -> Iterator[tuple]:
     """Texts in chunks: (their places, words' hashes, number of words of each)."""
     places, hashes, sizes, total = [], [], [], 0
     for k, body in enumerate(bodies):
@@ -109,6 +112,24 @@ def _parsed(hashes: np.ndarray, sizes: np.ndarray, width: int) -> tuple:
     return symbol, np.arange(len(symbol)) - head[owner], owner, starts, low, high, begins, head
 
 
+def _told(
+    value: np.ndarray, ref: np.ndarray, at: np.ndarray, more: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys to shuffle by, and which rows are known to have an equal one already.
+
+    Rows of a chunk with an equal value are repeated for certain. The first of them still goes by the
+    value, for other chunks to see; the rest go by keys of their own. So a value that is everywhere
+    sends one row a chunk to its task.
+    """
+    full = value if more is None else mixed_hash(value * _PAIR + more)
+    _, first, group, count = np.unique(full, return_index=True, return_inverse=True, return_counts=True)
+    known = count[group] > 1
+    rest = known.copy()
+    rest[first] = False
+    own = mixed_hash(ref.view(np.uint64) * _PAIR + at.astype(np.uint64))
+    return np.where(rest, own, value), known
+
+
 def _covered(n: int, starts: np.ndarray, width: int) -> np.ndarray:
     edge = np.zeros(n + 1, np.int64)
     np.add.at(edge, starts, 1)
@@ -136,29 +157,33 @@ def substring_dedup(
     def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            refs, bodies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            refs = batch.column(0).to_pylist()
             fresh = [k for k, r in enumerate(refs) if r not in seen and not seen.add(r)]
-            refs, bodies = [refs[k] for k in fresh], [bodies[k] for k in fresh]
-            for places, hashes, sizes in _chunks(refs, bodies):
+            refs = [refs[k] for k in fresh]
+            bodies = (batch.column(1)[k].as_py() for k in fresh)
+            for places, hashes, sizes in _chunks(bodies):
                 own = np.array([refs[k] for k in places], np.int64)
                 symbol, at, owner, starts, low, high, begins, _ = _parsed(hashes, sizes, width)
-                long = sizes[owner] >= width
-                yield _rows(symbol[long].view(np.int64), own[owner[long]], at[long])
+                long = np.flatnonzero(sizes[owner] >= width)
+                key, known = _told(symbol[long], own[owner[long]], at[long])
+                yield _rows(key, own[owner[long]], at[long], known)
                 # A text with windows that have no symbol inside is looked at in any case.
                 open_ = np.unique(np.searchsorted(begins, starts[low >= high], "right") - 1)
-                yield _rows(mixed_hash(own[open_].view(np.uint64)).view(np.int64), own[open_], -1 + 0 * open_)
+                key = mixed_hash(own[open_].view(np.uint64))
+                yield _rows(key, own[open_], -1 + 0 * open_, np.ones(len(open_), bool))
 
-    def _rows(symbol: np.ndarray, owner: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    def _rows(key: np.ndarray, ref: np.ndarray, at: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(symbol), pa.array(owner), pa.array(at.astype(np.int32))], ["symbol", "ref", "at"]
+            [pa.array(key.view(np.int64)), pa.array(ref), pa.array(at.astype(np.int32)), pa.array(known)],
+            ["symbol", "ref", "at", "known"],
         )
 
-    named = whole.mapInArrow(symbols, "symbol bigint, ref bigint, at int")
+    named = whole.mapInArrow(symbols, "symbol bigint, ref bigint, at int, known boolean")
     shared = named.selectExpr(
-        "ref", "at",
+        "ref", "at", "known",
         "min(struct(ref, at)) OVER (PARTITION BY symbol) AS low",
         "max(struct(ref, at)) OVER (PARTITION BY symbol) AS high",
-    ).where("low <> high OR at < 0")
+    ).where("low <> high OR known")
     flags = stored(
         shared.groupBy("ref").agg(F.collect_set("at").alias("at")), folder, "flags"
     )
@@ -166,8 +191,8 @@ def substring_dedup(
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            refs, bodies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for places, hashes, sizes in _chunks(refs, bodies):
+            refs = batch.column(0).to_pylist()
+            for places, hashes, sizes in _chunks(x.as_py() for x in batch.column(1)):
                 own = np.array([refs[k] for k in places], np.int64)
                 symbol, at, owner, starts, low, high, begins, head = _parsed(hashes, sizes, width)
                 once = np.ones(len(symbol) + 1, np.int64)
@@ -184,22 +209,26 @@ def substring_dedup(
                     less = window_hashes(mixed_hash(hashes ^ _PAIR), width)[suspect]
                     of = np.searchsorted(begins, suspect, "right") - 1
                     place = (suspect - begins[of]).astype(np.int64)
-                    packed = (place << 32) | (less & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                    less = less & np.uint64(0xFFFFFFFF)
+                    key, known = _told(all_, own[of], place, less)
+                    packed = (place << 32) | less.astype(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(all_.view(np.int64)), pa.array(own[of]), pa.array(packed)],
-                        ["window", "ref", "packed"],
+                        [pa.array(key.view(np.int64)), pa.array(own[of]), pa.array(packed), pa.array(known)],
+                        ["window", "ref", "packed", "known"],
                     )
 
     texts = some.keep(whole, "ref").groupBy("ref").agg(F.first("body").alias("body"))
     asked = texts.join(flags, "ref").select("ref", "body", "at")
-    found = asked.mapInArrow(windows, "window bigint, ref bigint, packed bigint").selectExpr(
-        "window", "ref", "CAST(packed & 4294967295 AS BIGINT) AS more", "CAST(packed >> 32 AS INT) AS at"
+    found = asked.mapInArrow(windows, "window bigint, ref bigint, packed bigint, known boolean")
+    found = found.selectExpr(
+        "window", "ref", "known",
+        "CAST(packed & 4294967295 AS BIGINT) AS more", "CAST(packed >> 32 AS INT) AS at",
     )
     repeated = found.selectExpr(
-        "ref", "at",
+        "ref", "at", "known",
         "min(struct(ref, at)) OVER (PARTITION BY window, more) AS low",
         "max(struct(ref, at)) OVER (PARTITION BY window, more) AS high",
-    ).where("low <> high")
+    ).where("low <> high OR known")
     starts = repeated.groupBy("ref").agg(F.collect_set("at").alias("starts"))
     copies = whole.groupBy("ref").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     gone = starts.join(copies, "ref", "full").select(
@@ -233,10 +262,14 @@ def substring_dedup(
 
     hidden = {c: f"c{k}" for k, c in enumerate(docs.columns) if c != text}
     rows = docs.select(*[F.col(c).alias(hidden.get(c, c)) for c in docs.columns], ref.alias("__ref"))
-    nothing = [F.lit(None).cast("array<int>").alias("__starts"), F.lit(False).alias("__copy")]
-    clear = changed.keep(rows, "__ref", member=False).select("*", *nothing)
-    doubtful = changed.keep(rows, "__ref").join(gone, "__ref", "left")
-    both = clear.union(doubtful.select(clear.columns)).drop("__ref")
+    # Of texts with nothing to remove only the spaces change.
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
+    clear = changed.keep(rows, "__ref", member=False).withColumn("__words", words).select(
+        *[F.array_join("__words", " ").alias(c) if c == text else F.col(c) for c in rows.columns[:-1]],
+        F.size("__words").cast("long").alias(total),
+        F.lit(0).cast("long").alias(removed),
+    )
+    doubtful = changed.keep(rows, "__ref").join(gone, "__ref", "left").drop("__ref")
     out = T.StructType(
         [
             *[T.StructField(hidden.get(f.name, f.name), f.dataType) for f in docs.schema.fields],
@@ -244,5 +277,5 @@ def substring_dedup(
             T.StructField(removed, T.LongType()),
         ]
     )
-    done = both.mapInArrow(rewrite, out)
+    done = clear.union(doubtful.mapInArrow(rewrite, out))
     return done.select(*[F.col(hidden.get(c, c)).alias(c) for c in docs.columns], total, removed)
