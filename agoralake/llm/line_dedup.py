@@ -182,11 +182,14 @@ def line_dedup(
         .groupBy("__id")
         .agg(F.collect_list("__key").alias(gone))
     )
-    clear = marked.where(F.size(hits) == 0).withColumn(gone, F.lit(None).cast("array<binary>"))
+    # Documents without a suspected line stay as they are; lines are line feeds and one.
+    body = F.coalesce(text, F.lit(""))
+    feeds = F.length(body) - F.length(F.replace(body, F.lit("\n"), F.lit("")))
+    clear = marked.where(F.size(hits) == 0).select(
+        *docs.columns, (feeds + 1).cast("long").alias(total), F.lit(0).cast("long").alias(dropped)
+    )
     doubtful = marked.where(F.size(hits) > 0).join(losing, F.col(ident) == F.col("__id"), "left")
-    columns = [*docs.columns, gone]
     out = T.StructType(
         [*docs.schema.fields, T.StructField(total, T.LongType()), T.StructField(dropped, T.LongType())]
     )
-    rows = clear.select(columns).union(doubtful.select(columns))
-    return rows.mapInArrow(rewrite, out)
+    return clear.union(doubtful.select(*docs.columns, gone).mapInArrow(rewrite, out))
