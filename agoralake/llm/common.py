@@ -37,12 +37,6 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_folder(spark: SparkSession, folder: str) -> None:
-    """Remove a scratch folder through Hadoop's file system, whichever store it is in."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def with_fields(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     """The schema with fields set: one of the same name keeps its place and gets the new type."""
     named = {f.name: f for f in fields}

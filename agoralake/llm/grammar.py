@@ -146,7 +146,8 @@ def labelled_sample(
 
 def _arcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(arc, toxic, context) of every word and stem; a context is the words beside it."""
-    for batch in batches:
+    # A slice holds few texts, so that not all of their arcs are held at once.
+    for batch in (b.slice(k, 100) for b in batches for k in range(0, b.num_rows, 100)):
         arcs, flags, contexts = [], [], []
         for toxic, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = ["", *_LETTERS.findall(body.lower()), ""]
@@ -213,7 +214,7 @@ def learn(sample: DataFrame) -> Grammar:
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [Grammar.features(grammar.clauses(t)) for t in batch.column(1).to_pylist()]
+            found = [Grammar.features(grammar.clauses(t.as_py())) for t in batch.column(1)]
             columns = [pa.array(batch.column(0).to_pylist(), pa.int32())]
             columns += [pa.array([f[k] for f in found], pa.float64()) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, ["toxic", "best", "total"])
@@ -260,7 +261,7 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, *, text: str = "text") ->
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [grammar.score(t) for t in batch.column(text).to_pylist()]
+            got = [grammar.score(t.as_py()) for t in batch.column(text)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(got, pa.float64())], [*batch.schema.names, name]
             )

@@ -46,16 +46,16 @@ SYMBOLS = b"#*$%&|<>"
 
 #: What `quality_bands` adds, in order.
 ADDED = {
-    "n_words": "bigint",
-    "word_chars": "bigint",
-    "n_symbols": "bigint",
-    "n_dup_lines": "bigint",
-    "n_repeat_words": "bigint",
-    "ratio": "double",
-    "n_chunks": "bigint",
-    "n_bad_chunks": "bigint",
-    "base_failed": "boolean",
-    "kept": "boolean",
+    "n_words": T.LongType(),
+    "word_chars": T.LongType(),
+    "n_symbols": T.LongType(),
+    "n_dup_lines": T.LongType(),
+    "n_repeat_words": T.LongType(),
+    "ratio": T.DoubleType(),
+    "n_chunks": T.LongType(),
+    "n_bad_chunks": T.LongType(),
+    "base_failed": T.BooleanType(),
+    "kept": T.BooleanType(),
 }
 
 
@@ -121,10 +121,7 @@ def quality_bands(docs: DataFrame, *, text: str = "text") -> DataFrame:
     one task, which holds it a few times over.
     """
     names = [plain(n, docs.columns) for n in ADDED]
-    fields = [
-        T.StructField(n, T._parse_datatype_string(kind))
-        for n, kind in zip(names, ADDED.values(), strict=True)
-    ]
+    fields = [T.StructField(n, kind) for n, kind in zip(names, ADDED.values(), strict=True)]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=LEVEL)

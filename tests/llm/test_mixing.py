@@ -3,7 +3,6 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from agoralake.llm.mixing import cycle, mix_sources, mixed, target_weights
 
