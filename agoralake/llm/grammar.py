@@ -31,6 +31,8 @@ MIN_CONTEXTS, STEM, STEM_MORE = 5, 4, 2
 #: Least logarithm of the odds of an arc, the weight at which arcs are cut off, and how sure an arc has
 #: to be: the log-likelihood ratio that chance reaches for one of a million arcs.
 MIN_ODDS, MAX_WEIGHT, SURE = 2.0, 6.0, 24.0
+#: Relative error of context counts; what an arc holds in memory grows with its inverse square.
+CONTEXT_ERROR = 0.08
 THRESHOLD = 0.7
 
 # Words of the closed classes, in the languages of the tables.
@@ -180,7 +182,7 @@ def learn(sample: DataFrame) -> Grammar:
         rows.mapInArrow(_arcs, "arc string, toxic int, context bigint")
         .groupBy("arc")
         .agg(
-            F.approx_count_distinct(F.when(F.col("toxic") == 1, F.col("context")), 0.02).alias("bad"),
+            F.approx_count_distinct(F.when(F.col("toxic") == 1, F.col("context")), CONTEXT_ERROR).alias("bad"),
             F.sum(1 - F.col("toxic")).alias("good"),
         )
         .where(F.col("bad") >= MIN_CONTEXTS)
