@@ -30,6 +30,11 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send whole texts to Python this many at a time: a batch is held on both sides at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     """Write `df` to shared scratch and read it back, which cuts its lineage for lost executors."""
     path = f"{folder}/{name}"

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agoralake.llm.common import small_batches
 from agoralake.llm.grammar import THRESHOLD, score_toxicity, train_grammar
 from agoralake.llm.html_text import extract_text, train_field
 from agoralake.llm.line_dedup import line_dedup
@@ -20,6 +21,7 @@ from agoralake.llm.vector_links import near_vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from agoralake.llm.common import stored, work_folder
+from agoralake.llm.common import small_batches, stored, work_folder
 from agoralake.llm.grammar import train_grammar, without_toxic
 from agoralake.llm.line_dedup import line_dedup
 from agoralake.llm.mixing import mixed
@@ -22,6 +22,7 @@ from agoralake.llm.packing import pack
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar, learned from the labelled ones among them, does not reject."""
+    small_batches(spark)
     grammar = train_grammar(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return without_toxic(docs, grammar)
 
