@@ -3,8 +3,10 @@
 Vectors within half of the threshold's angle of a centre form a ball, all of whose pairs are linked; so large groups of near copies are never listed pair by pair. NN-descent runs over the balls'
 centres: lists start from neighbours in several random-hyperplane orders, then neighbours of a node
 are introduced to each other, round by round, and every node keeps its best. A list whose last entry
-could still be a link is saturated and doubles. Whether all links are found is audited against brute
-force for a bounded sample; if too many are missing, more orders are added and the descent goes on.
+could still be a link is saturated and doubles, up to a bound. What the descent found is audited against
+brute force, for a sample of vectors of every group; if too much is missing, more orders are added and
+the descent goes on. Balls whose list is still saturated at the end, and groups that miss the audit after
+all starts, are linked exactly: blocks of their vectors meet all blocks of the group.
 Two balls are linked as a whole, not at all, or, where their radii leave that open, vector by vector.
 """
 
@@ -19,6 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+from pyspark.sql.pandas.types import to_arrow_type
 
 from agoralake.llm.common import components, plain, stored, work_folder
 
@@ -29,8 +33,12 @@ LIST, ORDERS, LOOK = 8, 12, 4
 ROUNDS, SETTLED, STARTS = 6, 0.002, 4
 #: Codes by which vectors look for a centre, and the hyperplanes of these and of the orders' codes.
 BALL_CODES, BALL_BITS, ORDER_BITS = 6, 16, 48
-#: Centres of the audit, and the share of their links that has to be found.
-AUDIT, RECALL = 64, 0.98
+#: Longest list; a longer one is slower than the exact way, which takes the nodes that need it.
+MOST = 128
+#: Audited vectors of a group, with and without a neighbour, and the share of links to be found.
+AUDIT, RECALL = 16, 0.98
+#: Vectors of a block of the exact way, about.
+BLOCK = 1024
 _EDGE = 1e-7
 
 
@@ -102,7 +110,7 @@ _DOT = "aggregate(zip_with({}, {}, (x, y) -> x * y), 0D, (s, x) -> s + x)"
 
 
 def _balls(units: DataFrame, angle: float, folder: str) -> DataFrame:
-    """(node, unit, centre, gap): each vector's ball and its angle to the centre.
+    """(node, grp, unit, centre, gap): each vector's ball and its angle to the centre.
 
     By several codes, every vector looks at the smallest node of its bucket; of those within the angle
     the smallest is its centre. A centre may itself be in another ball: what counts is that a ball's
@@ -128,7 +136,7 @@ def _balls(units: DataFrame, angle: float, folder: str) -> DataFrame:
     many = many.where("count > 1").select("centre")
     near = near.join(many, "centre", "left_semi")
     return units.join(near, "node", "left").selectExpr(
-        "node", "unit", "coalesce(centre, node) AS centre", "coalesce(gap, 0D) AS gap"
+        "node", "grp", "unit", "coalesce(centre, node) AS centre", "coalesce(gap, 0D) AS gap"
     )
 
 
@@ -223,6 +231,14 @@ def _introduce(graph: DataFrame, info: DataFrame) -> DataFrame:
     return lists.select("l").mapInArrow(meet, f"a {kind}, b {kind}, cosine double")
 
 
+def _saturated(graph: DataFrame, centres: DataFrame, theta: float) -> DataFrame:
+    """(node, room) of every full list whose last entry could be a link: it may lack others."""
+    full = graph.where("place = room").selectExpr("a AS node", "cosine", "room")
+    full = full.join(centres.select("node", "radius", "top"), "node")
+    full = full.where(f"acos(least(1D, cosine)) <= {theta + _EDGE} + radius + top")
+    return full.select("node", "room")
+
+
 def _descend(
     edges: DataFrame, centres: DataFrame, theta: float, folder: str, name: str
 ) -> tuple[DataFrame, DataFrame]:
@@ -231,12 +247,8 @@ def _descend(
     total = max(1, centres.count())
     graph = stored(_best(edges.selectExpr("*", "1 AS new"), info), folder, f"{name}-0")
     for turn in range(1, ROUNDS + 1):
-        # A full list whose last entry could be a link may lack others: it doubles.
-        full = graph.where("place = room").select("a", "cosine").join(
-            info.selectExpr("node AS a", "radius", "top"), "a"
-        )
-        full = full.where(f"acos(least(1D, cosine)) <= {theta + _EDGE} + radius + top")
-        info = info.join(full.selectExpr("a AS node", "true AS more"), "node", "left").selectExpr(
+        full = _saturated(graph, info, theta).where(f"room < {MOST}")
+        info = info.join(full.selectExpr("node", "true AS more"), "node", "left").selectExpr(
             "node", "grp", "unit", "radius", "top", "IF(more, 2 * room, room) AS room"
         )
         info = stored(info, folder, f"{name}-{turn}-nodes")
@@ -244,26 +256,120 @@ def _descend(
         old = graph.selectExpr("a", "b", "cosine", "0 AS new")
         graph = stored(_best(old.union(met), info), folder, f"{name}-{turn}")
         found = graph.agg(F.sum("new")).first()[0] or 0
-        more = graph.where("place = room").join(info.selectExpr("node AS a", "radius", "top"), "a")
-        more = more.where(f"acos(least(1D, cosine)) <= {theta + _EDGE} + radius + top").limit(1).count()
+        more = _saturated(graph, info, theta).where(f"room < {MOST}").limit(1).count()
         if found <= SETTLED * LIST * total and not more:
             break
     return graph, info
 
 
-def _recall(graph: DataFrame, centres: DataFrame, threshold: float) -> float:
-    """The share of a bounded sample's links, by brute force, that the graph has."""
-    order = centres.select("node", "grp", "unit").orderBy(F.xxhash64("node"), "node").limit(AUDIT)
-    sample = F.broadcast(order.selectExpr("node AS s", "grp", "unit AS other"))  # AUDIT rows
-    true = (
-        centres.select("node", "grp", "unit").join(sample, "grp").where("node <> s")
-        .where(F.expr(_DOT.format("unit", "other")) >= threshold).select("s", "node")
+def _meetings(some: DataFrame, every: DataFrame, folder: str, name: str) -> PandasCogroupedOps:
+    """The rows of `some` and `every` by group and pair of blocks: each two of a group meet once."""
+    sizes = every.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).join(
+        some.groupBy("grp").agg(F.count(F.lit(1)).alias("m")), "grp"
+    )
+    sizes = sizes.selectExpr("grp", f"(m - 1) DIV {BLOCK} + 1 AS lefts", f"(n - 1) DIV {BLOCK} + 1 AS rights")
+    sizes = stored(sizes, folder, f"{name}-sizes")
+    keys = ["grp", "l", "r"]
+    own, others = "pmod(xxhash64(node), {}) AS {}", "explode(sequence(0L, {} - 1)) AS {}"
+    left = some.join(sizes, "grp").selectExpr(
+        *(f"{c} AS {c}" for c in some.columns), own.format("lefts", "l"), others.format("rights", "r")
+    )
+    right = every.join(sizes, "grp").selectExpr(
+        *(f"{c} AS {c}" for c in every.columns), own.format("rights", "r"), others.format("lefts", "l")
+    )
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys))
+
+
+def _met(left: pa.Table, right: pa.Table, threshold: float) -> np.ndarray:
+    """Which rows of the two tables link, other than inside one ball."""
+    x, y = (_matrix(t.column("unit").combine_chunks()) for t in (left, right))
+    ball = pa.concat_arrays([t.column("centre").combine_chunks() for t in (left, right)])
+    ball = np.asarray(ball.dictionary_encode().indices)
+    return (x @ y.T >= threshold) & (ball[: len(x), None] != ball[None, len(x) :])
+
+
+def _audit(
+    graph: DataFrame, free: DataFrame, centres: DataFrame, theta: float, folder: str, name: str
+) -> DataFrame:
+    """(grp, links, found): links between balls of a sample of vectors, by brute force, and the graph's.
+
+    The sample has vectors of every group, of balls with a near neighbour in the graph and of others.
+    """
+    threshold = math.cos(theta)
+    best = graph.where("place = 1").selectExpr("a AS node", "cosine")
+    reach = f"acos(least(1D, greatest(-1D, cosine))) <= {theta + _EDGE} + radius + top"
+    flags = centres.join(best, "node", "left").selectExpr("node AS centre", f"coalesce({reach}, false) AS close")
+    sample = free.join(flags, "centre").selectExpr(
+        "*", "row_number() OVER (PARTITION BY grp, close ORDER BY xxhash64(node), node) AS turn"
+    )
+    sample = stored(sample.where(f"turn <= {AUDIT}").select(*free.columns), folder, f"{name}-sample")
+
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not (len(left) and len(right)):
+            return pa.table([pa.array([], t) for t in types], names=["grp", "a", "b"])
+        x, y = np.nonzero(_met(left, right, threshold))
+        return pa.table(
+            [left.column("grp").take(pa.array(x)), left.column("centre").take(pa.array(x)),
+             right.column("centre").take(pa.array(y))],
+            names=["grp", "a", "b"],
+        )
+
+    kind = centres.schema["node"].dataType
+    types = [pa.int64(), to_arrow_type(kind), to_arrow_type(kind)]
+    true = _meetings(sample, free, folder, name).applyInArrow(
+        look, f"grp bigint, a {kind.simpleString()}, b {kind.simpleString()}"
+    )
+    links = graph.select("a", "b").union(graph.select("b", "a")).distinct().withColumn("found", F.lit(1))
+    held = true.join(links, ["a", "b"], "left").groupBy("grp")
+    held = held.agg(F.count(F.lit(1)).alias("links"), F.count("found").alias("found"))
+    return stored(held, folder, f"{name}-audit")
+
+
+def _exact(hard: DataFrame, every: DataFrame, threshold: float, folder: str) -> DataFrame:
+    """(node, n, centre, lead): links of the vectors of `hard` to all of their group, by brute force.
+
+    n is the node's links to other balls in one pair of blocks; for vectors that are not hard, those to
+    hard ones. Pairs are not listed: lead is the centre of one hard vector to which links lead.
+    """
+
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        names = ["node", "n", "centre", "lead"]
+        if not (len(left) and len(right)):
+            return pa.table([pa.array([], t) for t in types], names=names)
+        linked = _met(left, right, threshold)
+        x, y = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+        linked = linked[np.ix_(x, y)]
+        # Each row's smallest row that is reached over links in this pair of blocks.
+        low, before = np.arange(len(x)), None
+        while len(x) and (before is None or (low != before).any()):
+            before = low
+            below = np.where(linked, low[:, None], len(x)).min(axis=0)
+            low = np.minimum(low, np.where(linked, below[None, :], len(x)).min(axis=1))
+            low = low[low]
+        if not len(x):
+            below = low
+        counted = ~np.asarray(right.column("hard").combine_chunks().to_numpy(zero_copy_only=False))[y]
+        centre = left.column("centre").combine_chunks()
+        rows = [left.take(pa.array(x)), right.take(pa.array(y))]
+        many = np.concatenate([linked.sum(axis=1), linked.sum(axis=0) * counted]).astype(np.int64)
+        return pa.table(
+            [pa.concat_arrays([t.column("node").combine_chunks() for t in rows]), pa.array(many),
+             pa.concat_arrays([t.column("centre").combine_chunks() for t in rows]),
+             centre.take(pa.array(x[np.concatenate([low, below])]))],
+            names=names,
+        )
+
+    kind = every.schema["node"].dataType
+    types = [to_arrow_type(kind), pa.int64(), to_arrow_type(kind), to_arrow_type(kind)]
+    marked = every.join(hard.withColumn("hard", F.lit(True)), "centre", "left").selectExpr(
+        "node", "grp", "unit", "centre", "coalesce(hard, false) AS hard"
+    )
+    marked = stored(marked, folder, "marked")
+    name = kind.simpleString()
+    met = _meetings(marked.where("hard").drop("hard"), marked, folder, "exact")
+    return stored(
+        met.applyInArrow(look, f"node {name}, n bigint, centre {name}, lead {name}"), folder, "exact"
     )
-    links = graph.where(F.col("cosine") >= threshold)
-    links = links.select("a", "b").union(links.select("b", "a")).distinct()
-    held = true.join(links, (F.col("s") == F.col("a")) & (F.col("node") == F.col("b")), "left")
-    row = held.agg(F.count(F.lit(1)), F.count("a")).first()
-    return row[1] / row[0] if row[0] else 1.0
 
 
 def near_vectors(
@@ -298,13 +404,23 @@ def near_vectors(
     )
     nodes = centres.drop("members")
     edges = _start(nodes, list(range(ORDERS)))
+    every_one = balls.select("node", "grp", "unit", "centre")
     for start in range(STARTS):
         graph, info = _descend(edges, nodes, theta, folder, f"graph-{start}")
-        if _recall(graph, centres, threshold) >= RECALL:
+        crowded = stored(_saturated(graph, info, theta).selectExpr("node AS centre"), folder, f"crowded-{start}")
+        free = every_one.join(crowded, "centre", "left_anti").select(*every_one.columns)
+        audit = _audit(graph, free, centres, theta, folder, f"audit-{start}")
+        links, found = audit.agg(F.sum("links"), F.sum("found")).first()
+        if not links or found >= RECALL * links:
             break
         seeds = list(range((start + 1) * ORDERS, (start + 2) * ORDERS))
         edges = graph.select("a", "b", "cosine").union(_start(nodes, seeds))
         nodes = info
+    missed = audit.where(F.col("found") < RECALL * F.col("links")).select("grp")
+    missed = centres.join(missed, "grp", "left_semi").selectExpr("node AS centre")
+    hard = stored(crowded.union(missed).distinct(), folder, "hard")
+    for side in "ab":
+        graph = graph.join(hard.withColumnRenamed("centre", side), side, "left_anti")
     pairs = graph.selectExpr("greatest(a, b) AS a", "least(a, b) AS b", "cosine").groupBy("a", "b").agg(
         F.max("cosine").alias("cosine")
     )
@@ -332,12 +448,18 @@ def near_vectors(
     )
     single = stored(single, folder, "single")
     linked = pairs.where("linked").select("a", "b").union(single.select("a", "b").distinct())
+    exact = None
+    if hard.limit(1).count():
+        exact = _exact(hard, every_one, threshold, folder)
+        linked = linked.union(exact.where("centre <> lead").selectExpr("centre AS a", "lead AS b").distinct())
     joined = components(linked, folder)
     sure = pairs.where("linked")
     by_ball = sure.selectExpr("a AS centre", "mb AS n").union(sure.selectExpr("b AS centre", "ma AS n"))
     by_ball = by_ball.groupBy("centre").agg(F.sum("n").alias("by_ball"))
-    by_node = single.selectExpr("x AS node").union(single.selectExpr("y AS node"))
-    by_node = by_node.groupBy("node").agg(F.count(F.lit(1)).alias("by_node"))
+    by_node = single.selectExpr("x AS node", "1L AS n").union(single.selectExpr("y AS node", "1L AS n"))
+    if exact is not None:
+        by_node = by_node.union(exact.select("node", "n"))
+    by_node = by_node.groupBy("node").agg(F.sum("n").alias("by_node"))
     every = (
         balls.select("node", "centre")
         .join(size.selectExpr("node AS centre", "members"), "centre")

@@ -5,6 +5,7 @@ import math
 import numpy as np
 
 import brute
+from agoralake.llm import vector_links
 from agoralake.llm.vector_links import near_vectors
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
@@ -48,3 +49,30 @@ def test_odd_vectors_link_with_nothing(spark):
     assert all(v == (0, k, True) for k, v in got.items() if k not in (1, 2, 12))
     assert out.count() == 13
     assert near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def _links(spark, rows):
+    found = near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    return {r.vec_id: (r.n_links, r.component_id) for r in found}
+
+
+def test_a_group_longer_than_all_lists_is_linked_exactly(spark, monkeypatch):
+    monkeypatch.setattr(vector_links, "ROUNDS", 2)
+    monkeypatch.setattr(vector_links, "STARTS", 1)
+    monkeypatch.setattr(vector_links, "BLOCK", 50, raising=False)
+    rng = np.random.default_rng(5)
+    center = rng.standard_normal(256)
+    center /= np.linalg.norm(center)
+    # All pairs at a cosine of about 0.95: linked, and no two in one ball.
+    near = center + rng.standard_normal((150, 256)) * math.sqrt((1 / 0.95 - 1) / 256)
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(near)]
+    rows += [(1000 + k, rng.standard_normal(256).tolist(), 1) for k in range(150)]
+    assert _links(spark, rows) == brute.cosine_links(rows, 0.93)
+
+
+def test_groups_that_miss_the_audit_are_linked_exactly(spark, monkeypatch):
+    monkeypatch.setattr(vector_links, "ROUNDS", 0)
+    monkeypatch.setattr(vector_links, "STARTS", 1)
+    monkeypatch.setattr(vector_links, "ORDERS", 1)
+    rows = _vectors(np.random.default_rng(2))
+    assert _links(spark, rows) == brute.cosine_links(rows, 0.93)
