@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 from agoralake.llm.common import plain
 
-#: Labels of a host, and folders of a path, that a list key may have. Deeper ones use the first.
-MAX_LABELS, MAX_FOLDERS = 8, 6
 # Fixed value: an interval without an end ends here.
 FOREVER = "9999-12-01"
 
@@ -34,7 +32,7 @@ def url_host(url: Column) -> Column:
 def url_folders(url: Column) -> Column:
     """The path's folders, from `/a/` to `/a/b/`, without what follows the last slash."""
     path = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*/)", 1)
-    parts = F.slice(F.split(F.trim(path, F.lit("/")), "/"), 1, MAX_FOLDERS)
+    parts = F.split(F.trim(path, F.lit("/")), "/")
     deep = F.transform(
         F.sequence(F.lit(1), F.size(parts)),
         lambda k: F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, k), "/"), F.lit("/")),
@@ -44,7 +42,7 @@ def url_folders(url: Column) -> Column:
 
 def capture_keys(url: Column) -> Column:
     """Every list key a URL falls under: its host's suffixes, and its folders on each of them."""
-    labels = F.slice(F.reverse(F.split(url_host(url), r"\.")), 1, MAX_LABELS)
+    labels = F.reverse(F.split(url_host(url), r"\."))
     hosts = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda k: F.array_join(F.reverse(F.slice(labels, 1, k)), "."),
@@ -60,9 +58,11 @@ def intervals(entries: DataFrame) -> DataFrame:
     """(key, verdict, valid_from, valid_to) of a dated log; entries without key or time are no entries.
 
     An entry holds from its time until its key's next one; of two at the same time the one with the
-    greater verdict (`remove`, `block`, `allow`) holds. `remove` only ends what was there.
+    greater verdict (`remove`, `block`, `allow`) holds. `remove` only ends what was there. Hosts are
+    equal in any case of letters, folders only in the same.
     """
-    good = entries.select(F.lower("key").alias("key"), "verdict", "listed_at").where(
+    key = F.concat(F.lower(F.substring_index("key", "/", 1)), F.regexp_extract("key", "(?s)/.*", 0))
+    good = entries.select(key.alias("key"), "verdict", "listed_at").where(
         "key IS NOT NULL AND listed_at IS NOT NULL AND verdict IN ('block', 'allow', 'remove')"
     )
     once = good.groupBy("key", "listed_at").agg(

@@ -79,3 +79,17 @@ def test_nulls_ties_repeats_clashes_and_nothing(spark):
     none = filter_urls(captures, spark.createDataFrame([], ENTRIES), ident="page_id")
     assert {r.verdict_ for r in none.collect()} == {None} and none.count() == 6
     assert filter_urls(spark.createDataFrame([], CAPTURES), entries, ident="page_id").count() == 0
+
+
+def test_keys_of_any_depth_and_case(spark):
+    at, deep, folders = START + timedelta(days=40), ".".join("abcdefghijk"), "p/q/r/s/t/u/v/w/"
+    captures = [
+        (1, f"http://x.org/{folders}i", at), (2, f"http://{deep}/i", at),
+        (3, "http://y.org/Ads/i", at), (4, "http://y.org/ads/i", at),
+    ]
+    entries = [
+        (f"x.org/{folders}", "block", START), (deep[2:], "block", START), ("Y.org/Ads/", "block", START)
+    ]
+    out = filter_urls(spark.createDataFrame(captures, CAPTURES), spark.createDataFrame(entries, ENTRIES), ident="page_id")
+    got = {r.page_id: r.list_key for r in out.collect()}
+    assert got == {1: f"x.org/{folders}", 2: deep[2:], 3: "y.org/Ads/", 4: None}
