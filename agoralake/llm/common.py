@@ -49,15 +49,20 @@ def with_fields(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     return T.StructType([*kept, *named.values()])
 
 
-def ranked(df: DataFrame, by: str, into: str, ident: Column) -> DataFrame:
+def ranked(df: DataFrame, by: str, into: str, ident: Column, place: str | None = None) -> DataFrame:
     """Add `into`: each row's rank (from 0) within its (never null) `by`, in the order of md5(ident).
 
     A group of any size is ranked in 4096 ranges of the digest, each sorted by its own task, and the
-    ranges are joined by their counts. Rows with equal digests are ordered by chance.
+    ranges are joined by their counts. Rows with equal digests are ordered by chance. With `place`, a
+    column of whole numbers from 0, rows are ranked by it first, in as many ranges of it.
     """
     digest, cut, first = f"__{into}_digest", f"__{into}_range", f"__{into}_first"
     rows = df.withColumn(digest, F.md5(F.coalesce(ident.cast("string"), F.lit(""))))
-    rows = rows.withColumn(cut, F.substring(digest, 1, _SPREAD))
+    if place is None:
+        rows = rows.withColumn(cut, F.substring(digest, 1, _SPREAD))
+    else:
+        step = df.agg(F.coalesce(F.expr(f"max(`{place}`) DIV {16**_SPREAD} + 1"), F.lit(1))).scalar()
+        rows = rows.withColumn("__step", step).withColumn(cut, F.expr(f"`{place}` DIV __step")).drop("__step")
     counts = rows.groupBy(by, cut).agg(F.count(F.lit(1)).alias("__n"))
     before = (
         counts.selectExpr(
@@ -67,8 +72,9 @@ def ranked(df: DataFrame, by: str, into: str, ident: Column) -> DataFrame:
         )
     )
     joined = rows.join(before, (F.col(by) == F.col("__by")) & (F.col(cut) == F.col("__cut")))
-    place = F.expr(f"row_number() OVER (PARTITION BY `{by}`, `{cut}` ORDER BY `{digest}`)")
-    return joined.withColumn(into, F.col(first) + place - 1).drop(
+    first_by = "" if place is None else f"`{place}`, "
+    rank = F.expr(f"row_number() OVER (PARTITION BY `{by}`, `{cut}` ORDER BY {first_by}`{digest}`)")
+    return joined.withColumn(into, F.col(first) + rank - 1).drop(
         digest, cut, first, "__by", "__cut"
     )
 

@@ -15,10 +15,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from agoralake.llm.common import small_batches, stored, work_folder
 from agoralake.llm.grammar import train_grammar, without_toxic
 from agoralake.llm.line_dedup import line_dedup
-from agoralake.llm.mixing import mixed
+from agoralake.llm.mixing import mix_sources, mixed
 from agoralake.llm.ngram_join import one_of_each
 from agoralake.llm.packing import pack
 
+#: Weights of the sources, by name; without any they follow the sources' sizes.
+WEIGHTS: dict[str, float] | None = None
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the grammar, learned from the labelled ones among them, does not reject."""
@@ -39,12 +42,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order in which their sources' blocks are scheduled."""
-    return mixed(docs)
+    return mixed(docs, weights=WEIGHTS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per piece of a document, with its batch."""
-    return pack(docs)
+    """A row per piece of a document, with its batch; batches fill in the order of mixing.
+
+    Rows of files have no order that holds, so the slots are told again from ids and sources.
+    """
+    return pack(docs, place=lambda rows: mix_sources(rows, weights=WEIGHTS))
 
 
 STAGES = [

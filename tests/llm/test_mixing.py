@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from agoralake.llm.mixing import cycle, mix_sources, mixed, target_weights
 
 
@@ -70,3 +71,18 @@ def test_no_python_in_the_plan(documents, weights):
     plan = mix_sources(documents(_docs({"a": 3})), weights=weights)._jdf.queryExecution().toString()
     for word in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"):
         assert word not in plan
+
+
+def test_pipeline_packs_in_mixed_order(spark, documents, monkeypatch):
+    docs = documents([(k, "w " * 10, None, "ab"[k % 2]) for k in range(1024)])
+    firsts = []
+    for weights in ({"a": 3.0, "b": 1.0}, {"a": 1.0, "b": 3.0}):
+        monkeypatch.setattr(corpus_pipeline, "WEIGHTS", weights)
+        slots = {r.doc_id: r.slot for r in mix_sources(docs, weights=weights).collect()}
+        packed = corpus_pipeline.packing(spark, corpus_pipeline.mixing(spark, docs, ""), "").collect()
+        rows = sorted(packed, key=lambda r: (r.batch, r.row))
+        assert len({(r.batch, r.row) for r in rows}) == len(rows) == 1024
+        order = [slots[r.doc_id] for r in rows]
+        assert order == sorted(order)
+        firsts.append(Counter("ab"[r.doc_id % 2] for r in rows[:256]))
+    assert firsts == [{"a": 192, "b": 64}, {"a": 64, "b": 192}]
