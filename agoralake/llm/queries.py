@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agoralake.llm.collocations import collocations
 from agoralake.llm.common import small_batches
 from agoralake.llm.grammar import THRESHOLD, score_toxicity, train_grammar
 from agoralake.llm.html_text import extract_text, train_field
@@ -118,6 +119,10 @@ def op3_vector_links(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors(_table(spark, folder, "embeddings"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -129,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack": op8_pack,
     "op9_html_text": op9_html_text,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -348,6 +354,43 @@ SELECT doc_id, piece, piece * {MAX_LEN} AS start, n AS n_tokens, b AS bucket_len
 FROM placed
 """
 
+OP11 = rf"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (
+  SELECT lang, g AS phrase, k, count(*) AS a
+  FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g
+        FROM starts, range(1, 5) AS s(k) WHERE i + k - 1 <= len(w))
+  GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang),
+often AS (SELECT *, string_split(phrase, ' ') AS p FROM grams WHERE a >= 30),
+inside AS (
+  SELECT lang, array_to_string(p[i:i + m - 1], ' ') AS phrase, max(a) AS best
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i
+        FROM (SELECT *, unnest(range(2, k)) AS m FROM often WHERE k > 2))
+  GROUP BY ALL),
+kept AS (
+  SELECT o.* FROM often o LEFT JOIN inside s ON o.lang = s.lang AND o.phrase = s.phrase
+  WHERE k > 1 AND (best IS NULL OR 100 * best::HUGEINT < 80 * a::HUGEINT)),
+cuts AS (
+  SELECT c.*, x.a AS l, y.a AS r, 2000000 * c.a::HUGEINT // (x.a + y.a) AS score
+  FROM (SELECT *, array_to_string(p[1:cut], ' ') AS x, array_to_string(p[cut + 1:], ' ') AS y
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept)) c
+  JOIN often x ON x.lang = c.lang AND x.phrase = c.x
+  JOIN often y ON y.lang = c.lang AND y.phrase = c.y),
+weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 
 ORACLES: dict[str, str] = {
     "op3_vector_links": OP3,
@@ -357,4 +400,5 @@ ORACLES: dict[str, str] = {
     "op6_line_dedup": OP6,
     "op7_ngram_join": OP7,
     "op8_pack": _pack_sql(),
+    "op11_collocations": OP11,
 }
