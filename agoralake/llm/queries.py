@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from agoralake.llm.collocations import collocations
 from agoralake.llm.common import small_batches
+from agoralake.llm.divergence import source_divergence
 from agoralake.llm.grammar import THRESHOLD, score_toxicity, train_grammar
 from agoralake.llm.html_text import extract_text, train_field
 from agoralake.llm.line_dedup import line_dedup
@@ -123,6 +124,10 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations(_table(spark, folder, "documents"))
 
 
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -135,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": op9_html_text,
     "op10_toxicity": op10_toxicity,
     "op11_collocations": op11_collocations,
+    "op12_divergence": op12_divergence,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -391,6 +397,49 @@ SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
 FROM ranked JOIN total USING (lang) WHERE rank <= 2000
 """
 
+OP12 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), {_LOWER}),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+terms AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term FROM terms GROUP BY ALL HAVING count(DISTINCT d) >= 30),
+sizes AS (
+  SELECT l.lang, count(term) AS v FROM (SELECT DISTINCT lang FROM docs) l
+  LEFT JOIN kept k ON k.lang = l.lang GROUP BY l.lang),
+counts AS (
+  SELECT lang, source, term, count(*) AS c FROM terms JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (
+  SELECT g.lang, g.source, coalesce(sum(c), 0)::HUGEINT AS n, any_value(v) AS v
+  FROM (SELECT DISTINCT lang, source FROM docs) g JOIN sizes USING (lang)
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c,
+         1 + 1000000000::HUGEINT * (coalesce(c, 0) + 5) // (n + 5 * v) AS p
+  FROM groups g JOIN kept k ON k.lang = g.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+q AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(c) + 5) // (n + 5 * v) AS q
+  FROM counts JOIN (SELECT lang, sum(n) AS n, any_value(v) AS v FROM groups GROUP BY lang) USING (lang)
+  GROUP BY lang, term, n, v),
+apart AS (
+  SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS f
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+pairs AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(f, 0) AS value
+  FROM groups x JOIN groups y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN apart a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source),
+more AS (
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value
+  FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM more))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 
 ORACLES: dict[str, str] = {
     "op3_vector_links": OP3,
@@ -401,4 +450,5 @@ ORACLES: dict[str, str] = {
     "op7_ngram_join": OP7,
     "op8_pack": _pack_sql(),
     "op11_collocations": OP11,
+    "op12_divergence": OP12,
 }
