@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agoralake.llm.common import Members, mixed_hash, stored, word_hashes, work_folder
-from agoralake.llm.words import Words, chained, filter_hash
+from agoralake.llm.words import Words, chained, filter_hash, summed
 
 #: Words of the longest phrase, the graph's edges.
 LONGEST = 4
@@ -133,8 +133,7 @@ def _heavy(stretch: int, held: list, min_count: int, bits: int) -> pa.RecordBatc
 
 def _edges(docs: DataFrame, min_count: int) -> DataFrame:
     """(lang, gram, n): each position's longest phrase that may reach `min_count`, counted exactly."""
-    spark = docs.sparkSession
-    bits = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length() + 3)
+    bits = max(8, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")).bit_length() + 3)
     members = Members.of(_suspects(docs, min_count))
     held, probe, schema = members.filled, Members._bits, "lang binary, gram binary, n bigint"
     arrow = pa.schema([("lang", pa.binary()), ("gram", pa.binary()), ("n", pa.int64())])
@@ -163,23 +162,9 @@ def _edges(docs: DataFrame, min_count: int) -> DataFrame:
             tables.append(pa.table([langs.dictionary.take(sums["lang"]), gram, sums["count_all"]], schema=arrow))
         return pa.concat_tables(tables)
 
-    def met(tables: list[pa.Table]) -> pa.Table:
-        sums = pa.concat_tables(tables).group_by(["lang", "gram"], use_threads=False).aggregate([("n", "sum")])
-        return sums.rename_columns({"n_sum": "n"}).select(arrow.names).cast(arrow)
-
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled, tables, size = np.frombuffer(held.value, "u1"), [], 0
-        for batch in batches:
-            tables.append(longest(batch, filled))
-            size += len(tables[-1])
-            if size > 2 * HELD_PHRASES:
-                tables = [met(tables)]
-                size = len(tables[0])
-                if size > HELD_PHRASES:
-                    yield from tables[0].sort_by("gram").to_batches(max_chunksize=1 << 16)
-                    tables, size = [], 0
-        if size:
-            yield from met(tables).sort_by("gram").to_batches(max_chunksize=1 << 16)
+        filled = np.frombuffer(held.value, "u1")
+        yield from summed((longest(batch, filled) for batch in batches), ["lang", "gram"], HELD_PHRASES)
 
     found = docs.mapInArrow(emit, schema)
     found = found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))

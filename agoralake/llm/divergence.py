@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agoralake.llm.common import stored, work_folder
+from agoralake.llm.words import summed
 
 # Fixed value: what a term is made of.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -65,30 +66,18 @@ def _slices(terms: DataFrame, min_docs: int, size: int) -> int:
 
 def _group_sums(vectors: DataFrame) -> DataFrame:
     """(source, at, n): vectors of a source added up, at their indices."""
-    names = ["source", "at"]
-
-    def met(tables: list[pa.Table]) -> pa.Table:
-        sums = pa.concat_tables(tables).group_by(names, use_threads=False).aggregate([("n", "sum")])
-        return sums.rename_columns({"n_sum": "n"}).select([*names, "n"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables, size = [], 0
-        for batch in batches:
-            vector = batch.column("vector")
-            at, n = vector.field("indices"), vector.field("values")
-            row = np.repeat(np.arange(len(batch)), np.asarray(at.value_lengths()))
-            whole = np.asarray(n.flatten()).astype(np.int64)
-            source = batch.column("source").take(pa.array(row))
-            tables.append(met([pa.table({"source": source, "at": at.flatten(), "n": whole})]))
-            size += len(tables[-1])
-            if size > 2 * HELD:
-                tables = [met(tables)]
-                size = len(tables[0])
-                if size > HELD:
-                    yield from tables[0].to_batches(max_chunksize=1 << 16)
-                    tables, size = [], 0
-        if size:
-            yield from met(tables).to_batches(max_chunksize=1 << 16)
+        def tables() -> Iterator[pa.Table]:
+            for batch in batches:
+                vector = batch.column("vector")
+                at, n = vector.field("indices"), vector.field("values")
+                row = np.repeat(np.arange(len(batch)), np.asarray(at.value_lengths()))
+                whole = np.asarray(n.flatten()).astype(np.int64)
+                source = batch.column("source").take(pa.array(row))
+                yield pa.table({"source": source, "at": at.flatten(), "n": whole})
+
+        yield from summed(tables(), ["source", "at"], HELD)
 
     parts = vectors.select("source", "vector").mapInArrow(add, "source string, at int, n bigint")
     return parts.groupBy("source", "at").agg(F.sum("n").alias("n"))

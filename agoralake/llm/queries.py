@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agoralake.llm.brown import score_texts, train_classes
 from agoralake.llm.collocations import collocations
 from agoralake.llm.common import small_batches
 from agoralake.llm.divergence import source_divergence
@@ -128,6 +129,15 @@ def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return source_divergence(_table(spark, folder, "documents"))
 
 
+def op13_brown_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    held = F.expr("crc32(CAST(coalesce(CAST(doc_id AS STRING), '') AS BINARY)) % 7 = 2")
+    scored = score_texts(docs, train_classes(docs.where(~held)))
+    return scored.select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -141,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_collocations": op11_collocations,
     "op12_divergence": op12_divergence,
+    "op13_brown_score": op13_brown_score,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"

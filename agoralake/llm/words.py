@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -91,3 +92,24 @@ def chained(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The hash of a sequence from that of all but its last element, and the last one's."""
     with np.errstate(over="ignore"):
         return mixed_hash(left * np.uint64(0xD6E8FEB86659FD93) + right)
+
+
+def summed(tables: Iterator[pa.Table], keys: list[str], held: int) -> Iterator[pa.RecordBatch]:
+    """Adds up column `n` by `keys`, within a task; hands on what it has beyond `held` distinct keys."""
+    parts, size = [], 0
+
+    def met() -> pa.Table:
+        sums = pa.concat_tables(parts).group_by(keys, use_threads=False).aggregate([("n", "sum")])
+        return sums.rename_columns({"n_sum": "n"}).select([*keys, "n"]).cast(parts[0].schema)
+
+    for table in tables:
+        parts.append(table)
+        size += len(table)
+        if size > 2 * held:
+            parts = [met()]
+            size = len(parts[0])
+            if size > held:
+                yield from parts[0].sort_by([(k, "ascending") for k in keys]).to_batches(1 << 16)
+                parts, size = [], 0
+    if size:
+        yield from met().sort_by([(k, "ascending") for k in keys]).to_batches(1 << 16)
