@@ -55,8 +55,5 @@ class Lake:
     def table(self, name: str) -> str:
         return f"{self.base}/tables/{name}"
 
-    def state(self, dataset: str) -> str:
-        return f"{self.base}/state/{dataset}"
-
     def checkpoint(self, stream: str) -> str:
         return f"{self.base}/checkpoints/{stream}"

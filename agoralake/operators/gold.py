@@ -60,17 +60,6 @@ def daily_partials(silver: DataFrame) -> DataFrame:
     )
 
 
-def combine_partials(partials: DataFrame) -> DataFrame:
-    """The partial statistics of several parts as those of one part."""
-    total = [f.name for f in DAILY_PARTIALS.fields if f.name.endswith(("_sum", "_count"))]
-    most = [f.name for f in DAILY_PARTIALS.fields if f.name.endswith("_max")]
-    return (
-        partials.groupBy(*RUN_KEYS, "date")
-        .agg(*[F.sum(c).alias(c) for c in total], *[F.max(c).alias(c) for c in most])
-        .select(*DAILY_PARTIALS.fieldNames())
-    )
-
-
 def merge_partials(partials: DataFrame) -> DataFrame:
     """Daily statistics out of the partial ones of all parts."""
     means = [

@@ -156,7 +156,6 @@ SUBREDDIT_STATS_TABLE = T.StructType(
 # so loading it lists nothing else, however many runs and communities the lake holds.
 BRONZE_PARTITIONS = ("run_date", "run_hour", "run_id", "community")
 RUN_PARTITIONS = ("run_date", "run_id", "subreddit")
-BATCH_PARTITIONS = (*RUN_PARTITIONS, "batch")
 
 PARTITION_TYPES = {
     "community": T.StringType(),
@@ -164,7 +163,6 @@ PARTITION_TYPES = {
     "run_date": T.DateType(),
     "run_hour": T.StringType(),
     "run_id": T.StringType(),
-    "batch": T.LongType(),
 }
 
 

@@ -6,8 +6,6 @@ batch loads belong in a lake of their own. What cannot be read goes to the same
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,39 +15,16 @@ from pyspark.sql.streaming import StreamingQuery
 from agoralake.config import Lake
 from agoralake.operators import gold
 from agoralake.operators.silver import bad_posts, clean_posts, unnest_posts
-from agoralake.plans.load import in_partitions_of, shortlist
-from agoralake.schemas import (
-    BATCH_PARTITIONS,
-    DAILY_PARTIALS,
-    RUN_PARTITIONS,
-    SILVER,
-    with_partitions,
-)
-from agoralake.session import scratch_folder, together
-from agoralake.sinks import (
-    add_run_partitions,
-    remove_partitions,
-    remove_path,
-    write_gold,
-    write_partitions,
-)
+from agoralake.schemas import RUN_PARTITIONS, SILVER, with_partitions
+from agoralake.session import together
+from agoralake.sinks import add_run_partitions, write_gold
 from agoralake.sources.bronze import (
     CORRUPT,
     DOCUMENT_SCHEMA,
     good_documents,
     quarantined_documents,
 )
-from agoralake.sources.parquet import path_exists
-
-# Per gold dataset: what its state looks like, how a batch gives it, how parts of it combine, and
-# how the combined state becomes gold.
-STATE = {
-    "daily_stats": (
-        DAILY_PARTIALS, gold.daily_partials, gold.combine_partials, gold.merge_partials
-    ),
-    "top_posts": (SILVER, gold.top_posts, gold.top_posts, None),
-    "top_commented": (SILVER, gold.top_commented, gold.top_commented, None),
-}
+from agoralake.streaming.gold_state import LISTS, changed_gold, gold_rows
 
 
 def _new_documents(spark: SparkSession, lake: Lake, max_files: int | None) -> DataFrame:
@@ -112,74 +87,36 @@ def stream_layers(spark: SparkSession, lake: Lake, max_files: int | None = None)
 def stream_gold(spark: SparkSession, lake: Lake, max_files: int | None = None) -> StreamingQuery:
     """Bring gold up to date with the silver files that arrived since the last call, then stop.
 
-    Each run and community has a mergeable state. A batch combines its own posts with the state of
-    the partitions it touched, stores the result as their new state and writes their gold from it. It
-    lists and reads the touched days' state only, and keeps two generations of it: a replayed batch
-    starts from the one before and ends with the same.
+    Each run and community has a state in Spark's state store (`gold_state`). A batch changes the
+    state of those it brings posts of and overwrites their gold partitions with what the state now
+    gives; a replayed batch starts from the state before it and overwrites with the same. The number
+    of shuffle partitions at the first start holds for the stream's life.
     """
     reader = spark.readStream.schema(with_partitions(SILVER, RUN_PARTITIONS))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return (
-        reader.parquet(lake.silver)
-        .writeStream.foreachBatch(partial(merge_batch, lake))
-        .option("checkpointLocation", lake.checkpoint("gold"))
+        changed_gold(reader.parquet(lake.silver))
+        .writeStream.outputMode("update")
+        .foreachBatch(partial(write_changed, lake))
+        .option("checkpointLocation", lake.checkpoint("gold_state"))
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_state(
-    spark: SparkSession, lake: Lake, dataset: str, days: Sequence[date]
-) -> DataFrame:
-    """The state of the given days' runs, all generations."""
-    schema = with_partitions(STATE[dataset][0], BATCH_PARTITIONS)
-    root = lake.state(dataset)
-    paths = [f"{root}/run_date={day}" for day in days]
-    paths = [path for path in paths if path_exists(spark, path)]
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", root).parquet(*paths)
+def write_changed(lake: Lake, changed: DataFrame, batch: int) -> None:
+    """Overwrite the gold partitions that a batch has changed.
 
-
-def merge_batch(lake: Lake, batch: DataFrame, batch_id: int) -> None:
-    """Combine one batch with the state of the partitions it touched, and write their gold."""
-    spark = batch.sparkSession
-    folder = scratch_folder(spark)
+    The changed rows, a few days and list posts a key, are held while the three datasets are
+    written; what a lost executor held is made again from the state before the batch.
+    """
+    changed = changed.persist()
     try:
-        batch.select(*RUN_PARTITIONS).distinct().write.parquet(f"{folder}/touched")
-        touched = spark.read.parquet(f"{folder}/touched")
-        days = [row.run_date for row in touched.select("run_date").distinct().collect()]
-        if not days:
-            return
-        # One narrow pass finds the few posts of the batch that either list can take.
-        candidates = shortlist(spark, batch, folder)
-        keep = in_partitions_of(touched)
-
-        def refresh(dataset: str) -> None:
-            _, cut, combine, finish = STATE[dataset]
-            gather = dataset == "daily_stats"
-            old = keep(read_state(spark, lake, dataset, days))
-            latest = old.where(F.col("batch") < batch_id).select(*BATCH_PARTITIONS).distinct()
-            latest = latest.groupBy(*RUN_PARTITIONS).agg(F.max("batch").alias("batch"))
-            latest.write.parquet(f"{folder}/{dataset}")
-            latest = spark.read.parquet(f"{folder}/{dataset}")
-            held = old.join(latest, list(BATCH_PARTITIONS), "left_semi")
-            part = cut(batch if gather else candidates)
-            state = add_run_partitions(combine(held.select(*part.columns).union(part)))
-            state = state.withColumn("batch", F.lit(batch_id).cast("bigint"))
-            if gather:
-                state = state.hint("rebalance", *RUN_PARTITIONS)
-            write_partitions(state, lake.state(dataset), BATCH_PARTITIONS)
-            new = keep(read_state(spark, lake, dataset, days)).where(F.col("batch") == batch_id)
-            new = new.drop("batch")
-            write_gold(finish(new) if finish else new, lake.gold(dataset), gather)
-            # Generations before the one this batch started from are of no use any more.
-            past = old.select(*BATCH_PARTITIONS).distinct()
-            past = past.join(latest.withColumnRenamed("batch", "start"), list(RUN_PARTITIONS))
-            past = past.where("batch < start")
-            remove_partitions(spark, [lake.state(dataset)], past, BATCH_PARTITIONS)
-
-        together(spark, *[partial(refresh, dataset) for dataset in STATE])
+        daily = gold_rows(changed, "daily_stats")
+        finished = {"daily_stats": add_run_partitions(gold.merge_partials(daily))}
+        finished |= {name: gold_rows(changed, name) for name in LISTS}
+        steps = [partial(write_gold, rows, lake.gold(name)) for name, rows in finished.items()]
+        together(changed.sparkSession, *steps)
     finally:
-        remove_path(spark, folder)
+        changed.unpersist()
