@@ -416,32 +416,24 @@ def run_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def foreign_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Indented documents, one file a community, in folders named by it; scores come as text.
+    """The whole listing as indented documents of others, in folders named by community; scores are text.
 
-    Every fifth post has a score that is no whole number, which costs the score and not the post.
+    Every fifth post has a score that is no whole number, which costs the score and not the post. A
+    document has up to 1,000 posts; one of more than `FOREIGN_SPLIT` bytes is read by several tasks.
     """
     lake, place = _lake(spark), f"{scratch_folder(spark)}/{SOURCE}"
-    posts = take_listing(stamp_posts(listing_from_tables(spark, folder), RUN), FOREIGN_POSTS)
-    score = F.when(F.col("id").cast("bigint") % 5 == 0, F.lit("12.5")).otherwise(
-        F.col("score").cast("string")
-    )
-    posts = posts.withColumn("score", score)
-    documents = posts.groupBy("source", "subreddit").agg(
-        F.lit(RUN_TS).alias("extracted_at"),
-        F.count(F.lit(1)).alias("record_count"),
-        F.collect_list(F.struct(*POST.fieldNames())).alias("posts"),
-    )
-    written = documents.select(
-        "subreddit",
-        F.to_json(
-            F.struct("source", "extracted_at", "record_count", "posts"), {"pretty": "true"}
-        ).alias("value"),
+    documents = build_documents(stamp_posts(listing_from_tables(spark, folder), RUN), RUN)
+    score = F.when(F.col("p.id").cast("bigint") % 5 == 0, F.lit("12.5")).otherwise(F.col("p.score").cast("string"))
+    fields = [F.col(f"p.{f}") if f != "score" else score.alias("score") for f in POST.fieldNames()]
+    posts = documents.select("*", F.monotonically_increasing_id().alias("n"), F.posexplode("posts").alias("at", "p"))
+    posts = posts.groupBy("n", "source", "subreddit", "record_count").agg(
+        F.sort_array(F.collect_list(F.struct("at", F.struct(*fields).alias("post")))).alias("posts")
     )
-    for community in ("click", "error", "purchase", "signup", "view"):
-        one = written.where(F.col("subreddit") == community).select("value").coalesce(1)
-        one.write.text(f"{place}/{community}", lineSep="\n")
-        _as_json(spark, f"{place}/{community}")
-    runs.run_foreign(spark, place, lake)
+    envelope = F.struct("source", F.lit(RUN_TS).alias("extracted_at"), "record_count", F.col("posts.post").alias("posts"))
+    written = posts.select("subreddit", F.to_json(envelope, {"pretty": "true"}).alias("value"))
+    written = written.withColumnRenamed("subreddit", "community")
+    written.write.option("maxRecordsPerFile", 1).partitionBy("community").text(place)
+    runs.run_foreign(spark, place, lake, glob="*.txt", split_above=FOREIGN_SPLIT)
     silver = read_silver(spark, lake.silver)
     aside = spark.read.schema(POST).json(f"{lake.quarantine}/posts").select("id", F.lit(True).alias("aside"))
     return silver.select("id", "subreddit", "score", "title", "date").join(aside, "id", "left").select(
@@ -449,18 +441,8 @@ def foreign_documents(spark: SparkSession, folder: str) -> DataFrame:
     ).drop("aside")
 
 
-# Posts of a community in a foreign document.
-FOREIGN_POSTS = 200
-
-
-def _as_json(spark: SparkSession, path: str) -> None:
-    """Text files end in .txt; documents of other writers end in .json."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in files.listStatus(place):
-        old = status.getPath()
-        if old.getName().endswith(".txt"):
-            files.rename(old, spark._jvm.org.apache.hadoop.fs.Path(place, old.getName()[:-4] + ".json"))
+# Bytes above which the query's documents are read by several tasks, so that some are.
+FOREIGN_SPLIT = 1 << 20
 
 
 # --- streams --------------------------------------------------------------------------------
@@ -862,8 +844,7 @@ UNION ALL SELECT 'rows of {TOP_POSTS_VIEW}', 2 * 20""",
 SELECT id, subreddit,
        CASE WHEN CAST(id AS BIGINT) % 5 <> 0 THEN score END AS score, title, date,
        CAST(id AS BIGINT) % 5 = 0 AS set_aside
-FROM silver
-QUALIFY row_number() OVER (PARTITION BY subreddit ORDER BY CAST(id AS BIGINT)) <= {FOREIGN_POSTS}""",
+FROM silver""",
         "bronze_small_documents": f"""{_P},
 listed AS (
   SELECT subreddit, id,

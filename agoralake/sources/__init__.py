@@ -1,6 +1,7 @@
 """Readers of every layer and of foreign files."""
 
 from agoralake.sources.bronze import (
+    SPLIT_ABOVE,
     good_documents,
     is_good_document,
     quarantined_documents,
@@ -18,6 +19,7 @@ from agoralake.sources.parquet import (
 from agoralake.sources.sql import query_to_dataframe
 
 __all__ = [
+    "SPLIT_ABOVE",
     "good_documents",
     "is_good_document",
     "path_community",

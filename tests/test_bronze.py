@@ -151,8 +151,9 @@ def foreign(tmp_path):
     return str(tmp_path / "foreign")
 
 
-def test_foreign_documents(spark, foreign):
-    documents = read_foreign_documents(spark, foreign)
+@pytest.mark.parametrize("above", [1 << 26, 0])
+def test_foreign_documents(spark, foreign, above):
+    documents = read_foreign_documents(spark, foreign, split_above=above)
     posts = unnest_posts(good_documents(documents))
     assert sorted((r.subreddit, r.id) for r in posts.collect()) == [
         ("data science", "d"),
@@ -166,6 +167,53 @@ def test_foreign_documents(spark, foreign):
     assert '"id":"c"' in bad["no run time"].document
 
 
+def test_large_documents_equal_whole_ones(spark, tmp_path):
+    """Splits cut anywhere; strings hold whatever looks like structure; other values nest."""
+    odd = ['}, {"posts": [', 'a\\', '\\"', '"', "\n\u2028\t{[", "posts", "", "\\\\\"}]", "\u00e9\U0001f600"]
+    rows = [post(f"p{i}", title=odd[i % 9], selftext=odd[i * 5 % 9] * (i % 7)) for i in range(2300)]
+    for row in rows[::50]:
+        row["meta"] = {"deep": [{"posts": [1, {"id": "no"}]}]}
+    base = envelope("x", rows)
+    meta = {"posts": [{"id": "inner"}], "list": [[1], [{"a": {}}]]}
+    ahead = {"note": 'say "posts": [', "meta": meta, **base, "after": [{"id": "later"}, 3]}
+    texts = {
+        "two": json.dumps(base, indent=2),
+        "none": json.dumps(base),
+        "tabs": json.dumps(ahead, indent="\t"),
+        "close": json.dumps(ahead, indent=1).replace("},\n  {\n", "}, {\n").replace('"posts": [\n  {', '"posts" : [ {'),
+        "empty": json.dumps({**base, "posts": []}, indent=2),
+        "absent": json.dumps({"source": "forum", "extracted_at": "2024-01-31T02:00:00", "subreddit": "x"}, indent=2),
+        "cut": json.dumps(base, indent=2)[:-30],
+        "garbled": json.dumps(base, indent=2).replace('"id": "p1700",', '"id" "p1700",'),
+        "numbers": json.dumps({**base, "posts": [1, 2]}, indent=2),
+    }
+    for name, text in texts.items():
+        folder = tmp_path / "in" / "reddit" / "x" / name
+        folder.mkdir(parents=True)
+        (folder / "d.json").write_text(text, encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    whole = read_foreign_documents(spark, str(tmp_path / "in"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        split = read_foreign_documents(spark, str(tmp_path / "in"), split_above=0)
+        got, want = (
+            sorted(
+                (r.file_path.split("/")[-2], json.dumps(r.p.asDict() if r.p else None))
+                for r in good_documents(d).select("file_path", F.explode_outer("posts").alias("p")).collect()
+            )
+            for d in (split, whole)
+        )
+        pieces = {r.n for r in good_documents(split).select(F.size("posts").alias("n")).collect()}
+        lost, lost_whole = (
+            sorted((r.file_path.split("/")[-2], r.reason) for r in quarantined_documents(d).collect())
+            for d in (split, whole)
+        )
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == want and len(got) > 4 * 2300 and pieces >= {1000, 300}
+    assert lost == lost_whole and {r[0] for r in lost} == {"cut", "garbled", "numbers"}
+
+
 @pytest.mark.parametrize(
     "path, community",
     [
