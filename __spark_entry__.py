@@ -12,7 +12,7 @@ from datetime import date, datetime
 from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -423,14 +423,15 @@ def foreign_documents(spark: SparkSession, folder: str) -> DataFrame:
     """
     lake, place = _lake(spark), f"{scratch_folder(spark)}/{SOURCE}"
     documents = build_documents(stamp_posts(listing_from_tables(spark, folder), RUN), RUN)
-    score = F.when(F.col("p.id").cast("bigint") % 5 == 0, F.lit("12.5")).otherwise(F.col("p.score").cast("string"))
-    fields = [F.col(f"p.{f}") if f != "score" else score.alias("score") for f in POST.fieldNames()]
-    posts = documents.select("*", F.monotonically_increasing_id().alias("n"), F.posexplode("posts").alias("at", "p"))
-    posts = posts.groupBy("n", "source", "subreddit", "record_count").agg(
-        F.sort_array(F.collect_list(F.struct("at", F.struct(*fields).alias("post")))).alias("posts")
-    )
-    envelope = F.struct("source", F.lit(RUN_TS).alias("extracted_at"), "record_count", F.col("posts.post").alias("posts"))
-    written = posts.select("subreddit", F.to_json(envelope, {"pretty": "true"}).alias("value"))
+
+    def with_text_score(post: Column) -> Column:
+        own = post["score"].cast("string")
+        score = F.when(post["id"].cast("bigint") % 5 == 0, F.lit("12.5")).otherwise(own)
+        return F.struct(*[(score if f == "score" else post[f]).alias(f) for f in POST.fieldNames()])
+
+    posts = F.transform("posts", with_text_score).alias("posts")
+    envelope = F.struct("source", F.lit(RUN_TS).alias("extracted_at"), "record_count", posts)
+    written = documents.select("subreddit", F.to_json(envelope, {"pretty": "true"}).alias("value"))
     written = written.withColumnRenamed("subreddit", "community")
     written.write.option("maxRecordsPerFile", 1).partitionBy("community").text(place)
     runs.run_foreign(spark, place, lake, glob="*.txt", split_above=FOREIGN_SPLIT)
