@@ -24,44 +24,71 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agoralake.llm.common import stored, work_folder
-from agoralake.llm.words import summed
+from agoralake.llm.words import Words, summed
 
-# Fixed value: what a term is made of.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Fixed value: what stands between terms, which is all of ASCII but its letters.
+BETWEEN = bytes(c for c in range(128) if not chr(c).isalpha())
 #: Fixed values of the measure: whole parts of one, what every count is raised by, documents of a term.
 PARTS, RAISE, MIN_DOCS, TOP = 1_000_000_000, 5, 30, 50
 #: Terms of one fitted vocabulary, terms and sources of a block of pairs.
 SLICE, TERMS, SOURCES = 1 << 20, 1024, 256
-#: Share of the terms, by hash, from which the number of slices is told.
-_SHARE = 64
 #: Distinct (source, term) sums that a task holds before it hands them on.
 HELD = 1 << 19
 
 
-def _terms(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    """(lang, source, terms): each term followed by a space and its language."""
+def _rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     empty = F.lit("")
-    rows = docs.select(
+    return docs.select(
         F.coalesce(F.col(lang).cast("string"), empty).alias("lang"),
         F.coalesce(F.col(source).cast("string"), empty).alias("source"),
-        F.translate(F.coalesce(F.col(text), empty), _UPPER, _LOWER).alias("text"),
+        F.col(text).cast("binary").alias("text"),
     )
-    found = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
-    tail = F.concat(F.lit(" "), F.col("lang"))
-    return rows.select("lang", "source", F.transform(found, lambda t: F.concat(t, tail)).alias("terms"))
 
 
-def _slices(terms: DataFrame, min_docs: int, size: int) -> int:
-    """How many vocabularies of about `size` terms there are, told from one in _SHARE of all terms."""
-    part = F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(_SHARE)) == 0)
-    kept = terms.select(F.explode(F.array_distinct(part)).alias("t")).groupBy("t").count()
-    return 1 + kept.where(F.col("count") >= min_docs).count() * _SHARE // size
+def _terms(docs: DataFrame, once: bool, part: tuple[int, int] = (0, 1)) -> DataFrame:
+    """(lang, source, terms): each term followed by a space and its language; `once` a document or
+    as often as it occurs. With part (k, n), the k-th of n parts of all terms, by hash."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, size = Words.of(batch.column("text"), BETWEEN), len(batch)
+            langs = batch.column("lang").dictionary_encode()
+            spoken = np.asarray(langs.indices, np.int64)[words.row]
+            pair, at = np.unique(spoken * len(words.values) + words.code, return_inverse=True)
+            row = words.row
+            if part[1] > 1:
+                mine = words.hashes() % np.uint64(part[1]) == part[0]
+                kept = mine[words.code]
+                at, row = at[kept], row[kept]
+            if once:
+                row, at = np.divmod(np.unique(row * len(pair) + at), max(len(pair), 1))
+            lang, code = np.divmod(pair, max(len(words.values), 1))
+            names = pc.binary_join_element_wise(
+                words.values.take(pa.array(code)), langs.dictionary.cast(pa.binary()).take(pa.array(lang)), b" "
+            ).cast(pa.string())
+            ends = np.searchsorted(row, np.arange(size + 1), "left")
+            terms = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), names.take(pa.array(at)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("lang"), batch.column("source"), terms], ["lang", "source", "terms"]
+            )
+
+    return docs.mapInArrow(cut, "lang string, source string, terms array<string>")
+
+
+def _slices(docs: DataFrame, min_docs: int, size: int) -> int:
+    """A number of slices of about `size` kept terms or fewer.
+
+    A term of `min_docs` documents is in a `min_docs`-th of them, drawn at random, with a chance of 0.63 or
+    more, so the terms of such a draw outnumber 0.63 of those kept. Only the number is told from it.
+    """
+    drawn = _terms(docs.sample(1 / min_docs, 7), True).select(F.explode("terms").alias("t"))
+    return 1 + int(drawn.agg(F.approx_count_distinct("t")).first()[0] / 0.6 // size)
 
 
 def _group_sums(vectors: DataFrame) -> DataFrame:
@@ -83,28 +110,25 @@ def _group_sums(vectors: DataFrame) -> DataFrame:
     return parts.groupBy("source", "at").agg(F.sum("n").alias("n"))
 
 
-def term_counts(terms: DataFrame, min_docs: int, folder: str, slice_terms: int = SLICE) -> DataFrame:
+def term_counts(docs: DataFrame, min_docs: int, folder: str, slice_terms: int = SLICE) -> DataFrame:
     """(lang, source, term, n): occurrences of the terms that their language keeps, in every group."""
-    spark = terms.sparkSession
-    slices, out = _slices(terms, min_docs, slice_terms), None
+    spark = docs.sparkSession
+    slices, out = _slices(docs, min_docs, slice_terms), None
     # a term that is none, so that an empty vocabulary is no error
     none = spark.range(min_docs).select(F.array(F.lit(" ")).alias("terms"))
     for k in range(slices):
-        mine = terms
-        if slices > 1:
-            part = F.filter("terms", lambda t, k=k: F.pmod(F.xxhash64(F.lit(1), t), F.lit(slices)) == k)
-            mine = terms.withColumn("terms", part)
+        once, every = (_terms(docs, x, (k, slices)) for x in (True, False))
         vectorizer = CountVectorizer(
             inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=(1 << 31) - 1
         )
-        model = vectorizer.fit(mine.select("terms").unionByName(none))
+        model = vectorizer.fit(once.select("terms").unionByName(none))
         names = pa.table({"at": pa.array(range(len(model.vocabulary)), pa.int32()), "name": model.vocabulary})
         named = spark.createDataFrame(names).where("name <> ' '").select(
             "at",
             F.expr("substring(name, locate(' ', name) + 1)").alias("lang"),
             F.substring_index("name", " ", 1).alias("term"),
         )
-        sums = _group_sums(model.transform(mine)).join(named, "at").select("lang", "source", "term", "n")
+        sums = _group_sums(model.transform(every)).join(named, "at").select("lang", "source", "term", "n")
         sums = stored(sums, folder, f"terms-{k}")
         out = sums if out is None else out.unionByName(sums)
     return out
@@ -216,14 +240,14 @@ def source_divergence(
     the group uses more than its language does, by how much more.
     """
     folder = folder or work_folder(docs.sparkSession)
-    terms = _terms(docs, text, lang, source)
-    counts = term_counts(terms, min_docs, folder, slice_terms)
+    docs = _rows(docs, text, lang, source)
+    counts = term_counts(docs, min_docs, folder, slice_terms)
     in_lang = stored(counts.groupBy("lang", "term").agg(F.sum("n").alias("n_lang")), folder, "langs")
     langs = in_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("n_lang").alias("total_lang"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     zero = F.lit(0).cast("bigint")
     groups = (
-        terms.select("lang", "source")
+        docs.select("lang", "source")
         .distinct()
         .join(totals, ["lang", "source"], "left")
         .join(langs, "lang", "left")
