@@ -36,8 +36,8 @@ from agoralake.llm.words import Words, summed
 CLASSES, ROUNDS = 64, 12
 #: Words that are exchanged, and words that all tasks know; bytes of the longest of these.
 CORE, LOCAL, WIDEST = 1 << 15, 1 << 18, 32
-#: Distinct keys that a task holds before it hands their counts on, and neighbours of a part of a row.
-HELD, PART = 1 << 20, 1 << 10
+#: Distinct keys that a task holds before it hands their counts on.
+HELD = 1 << 19
 #: Rounds end when fewer than one in STILL of the asked words move.
 STILL = 200
 #: What smoothing adds to a history's count.
@@ -121,101 +121,108 @@ def _frequent(vocabulary: DataFrame, most: int) -> tuple[pa.Array, np.ndarray]:
     return words, np.concatenate([[ends], found["c"].to_numpy()]).astype(np.int64)
 
 
+def _packed(keys: np.ndarray, codes: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """A row per key with its codes and counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, codes, n = keys[order], codes[order].astype("<u4"), n[order].astype("<i8")
+    cut = np.flatnonzero(np.diff(keys)) + 1
+    columns = [[x.tobytes() for x in np.split(v, cut)] for v in (codes, n)]
+    first = keys[np.concatenate([[0], cut])] if len(keys) else keys
+    return pa.RecordBatch.from_arrays(
+        [pa.array(first, pa.int32()), *(pa.array(c if len(keys) else [], pa.binary()) for c in columns)],
+        ["key", "codes", "n"],
+    )
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Rows sorted by key, of which those with equal keys meet: distinct codes and their sums."""
+    now, held, size = None, [], 0
+
+    def met() -> tuple[np.ndarray, np.ndarray]:
+        codes, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+        sums = np.zeros(len(codes), np.int64)
+        np.add.at(sums, at, np.concatenate([n for _, n in held]))
+        return codes, sums
+
+    for batch in batches:
+        for key, codes, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key != now and now is not None:
+                yield now, *met()
+                held, size = [], 0
+            now = key
+            held.append((np.frombuffer(codes, "<u4"), np.frombuffer(n, "<i8")))
+            size += len(held[-1][0])
+            if size > 2 * HELD:
+                held = [met()]
+                size = len(held[0][0])
+    if now is not None:
+        yield now, *met()
+
+
 def _neighbours(texts: DataFrame, core: pa.Array, folder: str) -> DataFrame:
     """A row per core word (and one for all others): numbers and counts of the words before and after it.
 
-    Counts are gathered by parts of PART neighbours, so that no task ever holds or reads more than a
-    part of a frequent word's, whatever the input; a whole row has at most CORE neighbours a side.
+    Pairs are added up by a hash of the pair, so a frequent word is spread over all tasks; then each
+    word's meet, CORE at most a side.
     """
     spark, size = texts.sparkSession, len(core) + 1
-    held, kind = spark.sparkContext.broadcast(core), "word int, part int, ids binary, n binary"
-    names = ["word", "part", "ids", "n"]
-
-    def rows(word: np.ndarray, other: np.ndarray, n: np.ndarray, side: int) -> pa.RecordBatch:
-        part = other // PART * 2 + side
-        cut = np.flatnonzero((np.diff(word) != 0) | (np.diff(part) != 0)) + 1
-        at = np.concatenate([[0], cut])
-        split = ([x.tobytes() for x in np.split(v, cut)] for v in (other.astype("<u2"), n.astype("<i8")))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(word[at], pa.int32()), pa.array(part[at], pa.int32()), *(pa.array(x, pa.binary()) for x in split)],
-            names,
-        )
+    held, kind = spark.sparkContext.broadcast(core), "key int, codes binary, n binary"
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 2 * tasks
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def tables() -> Iterator[pa.Table]:
-            for batch in batches:
-                now, before = _sequence(Words.of(batch.column(0)), held.value, len(batch))
-                pairs, n = np.unique(before * size + now, return_counts=True)
-                yield pa.table({"pair": pairs, "n": n})
-
-        for batch in summed(tables(), ["pair"], HELD):
-            before, now = np.divmod(np.asarray(batch.column(0)), size)
-            n = np.asarray(batch.column(1))
-            yield rows(before, now, n, 1)
-            order = np.lexsort((before, now))
-            yield rows(now[order], before[order], n[order], 0)
-
-    def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple]:
-        """Neighbouring rows with equal first columns, one at a time."""
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                yield row[:keys], row[keys:]
+        pairs, n_held = [], 0
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, out = None, []
-        sums = np.zeros(PART, np.int64)
+        def flushed() -> pa.RecordBatch:
+            codes, n = np.unique(np.concatenate(pairs), return_counts=True)
+            return _packed(mixed_hash(codes.astype(np.uint64)) % np.uint64(buckets), codes, n)
 
-        def done() -> None:
-            ids = np.flatnonzero(sums)
-            out.append((*now, (ids + now[1] // 2 * PART).astype("<u2").tobytes(), sums[ids].tobytes()))
-            sums[:] = 0
+        for batch in batches:
+            now, before = _sequence(Words.of(batch.column(0)), held.value, len(batch))
+            pairs.append((before * size + now).astype(np.uint32))
+            n_held += len(now)
+            if n_held > 2 * HELD:
+                yield flushed()
+                pairs, n_held = [], 0
+        if n_held:
+            yield flushed()
 
-        for key, (ids, n) in runs(batches, 2):
-            if key != now and now is not None:
-                done()
-            now = key
-            sums[np.frombuffer(ids, "<u2") % PART] += np.frombuffer(n, "<i8")
-            if len(out) >= 4096:
-                yield _rows(out, kind)
-                out = []
-        if now is not None:
-            done()
-            yield _rows(out, kind)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, codes, n in _added(batches):
+            before, now = np.divmod(codes.astype(np.int64), size)
+            both = np.concatenate([codes, (now * size + before).astype(np.uint32)])
+            side = np.repeat([1, 0], len(codes)) * buckets
+            # keys of the first half hold words before, those of the second words after
+            yield _packed(np.concatenate([before, now]) % buckets + side, both, np.concatenate([n, n]))
 
     whole = "word int, before binary, before_n binary, after binary, after_n binary"
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts, out = None, ([], [], [], []), []
-        for (word, part), values in runs(batches, 2):
-            if word != now and now is not None:
-                out.append((now, *(b"".join(p) for p in parts)))
-                parts = ([], [], [], [])
-            now = word
-            for k in (0, 1):
-                parts[part % 2 * 2 + k].append(values[k])
-            if len(out) >= 64:
-                yield _rows(out, whole)
-                out = []
-        if now is not None:
-            yield _rows([*out, (now, *(b"".join(p) for p in parts))], whole)
-
-    found = texts.mapInArrow(count, kind).repartition("word", "part")
-    found = found.sortWithinPartitions("word", "part").mapInArrow(add, kind)
+        sides: dict[int, list] = {}
+        for key, codes, n in _added(batches):
+            word, other = np.divmod(codes.astype(np.int64), size)
+            cut = np.flatnonzero(np.diff(word)) + 1
+            for w, o, c in zip(
+                word[np.concatenate([[0], cut])], np.split(other.astype("<u2"), cut), np.split(n, cut), strict=True
+            ):
+                sides.setdefault(int(w), [b""] * 4)[2 * (key // buckets) : 2 * (key // buckets) + 2] = [
+                    o.tobytes(),
+                    c.tobytes(),
+                ]
+        rows = [(w, *parts) for w, parts in sides.items()]
+        for k in range(0, len(rows), 64):
+            columns = zip(*rows[k : k + 64], strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int32() if not j else pa.binary()) for j, c in enumerate(columns)],
+                [f.split(" ")[0] for f in whole.split(", ")],
+            )
+
+    found = texts.mapInArrow(count, kind).repartition("key").sortWithinPartitions("key").mapInArrow(add, kind)
     # a round computes much on few bytes, so its tasks are not to be merged by size
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = found.repartition(tasks, "word").sortWithinPartitions("word", "part").mapInArrow(join, whole)
+    found = found.repartition(tasks, F.col("key") % buckets).sortWithinPartitions("key").mapInArrow(join, whole)
     return stored(found, folder, "neighbours")
 
 
-def _rows(rows: list[tuple], kind: str) -> pa.RecordBatch:
-    types = {"int": pa.int32(), "binary": pa.binary()}
-    fields = [f.split(" ") for f in kind.split(", ")]
-    columns = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)], [n for n, _ in fields]
-    )
-
-
 def _sides(batch: pa.RecordBatch) -> Iterator[tuple]:
     for word, *sides in zip(*(c.to_pylist() for c in batch.columns), strict=True):
         yield word, *(np.frombuffer(x, "<i8" if k % 2 else "<u2") for k, x in enumerate(sides))
@@ -228,12 +235,13 @@ def _bigrams(neighbours: DataFrame, classes: np.ndarray, n_classes: int) -> np.n
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((n_classes, n_classes), np.int64)
         for batch in batches:
-            for word, _, _, after, n in _sides(batch):
-                np.add.at(sums[held.value[word]], held.value[after], n)
+            for word, after, n in _sides(batch):
+                sums[held.value[word]] += np.bincount(held.value[after], n, n_classes).astype(np.int64)
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(sums.ravel()[at])], ["at", "n"])
 
-    rows = neighbours.mapInArrow(count, "at int, n bigint").groupBy("at").agg(F.sum("n")).collect()
+    followers = neighbours.select("word", "after", "after_n")
+    rows = followers.mapInArrow(count, "at int, n bigint").groupBy("at").agg(F.sum("n")).collect()
     out = np.zeros(n_classes * n_classes, np.int64)
     for at, n in rows:
         out[at] = n
@@ -244,19 +252,24 @@ def _entropy(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def gains(bigrams: np.ndarray, own: int, before: np.ndarray, after: np.ndarray, itself: int) -> np.ndarray:
+def gains(
+    bigrams: np.ndarray, own: int, before: np.ndarray, after: np.ndarray, itself: int, whole: np.ndarray | None = None
+) -> np.ndarray:
     """What the log likelihood gains when a word moves from nowhere to each class it may join.
 
-    `before` and `after` count the classes next to it, without itself; `itself` follows itself.
+    `before` and `after` count the classes next to it, without itself; `itself` follows itself. `whole` is
+    what _entropy makes of `bigrams`, which many words share.
     """
     now = bigrams.astype(float)
+    whole = _entropy(now) if whole is None else whole.copy()
     now[own] -= after
     now[:, own] -= before
     now[own, own] -= itself
+    whole[own], whole[:, own] = _entropy(now[own]), _entropy(now[:, own])
     left, right = np.flatnonzero(before), np.flatnonzero(after)
     rows, columns = now[FIRST:, right], now[left, FIRST:]
-    out = (_entropy(rows + after[right]) - _entropy(rows)).sum(1)
-    out += (_entropy(columns + before[left, None]) - _entropy(columns)).sum(0)
+    out = (_entropy(rows + after[right]) - whole[FIRST:, right]).sum(1)
+    out += (_entropy(columns + before[left, None]) - whole[left, FIRST:]).sum(0)
     corner, b, a = np.diagonal(now)[FIRST:], before[FIRST:], after[FIRST:]
     out += _entropy(corner + a + b + itself) - _entropy(corner + a) - _entropy(corner + b) + _entropy(corner)
     for side, more in ((1, after.sum() + itself), (0, before.sum() + itself)):
@@ -273,18 +286,19 @@ def _exchanged(neighbours: DataFrame, classes: np.ndarray, bigrams: np.ndarray,
 
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, bigrams = held.value
+        whole = _entropy(bigrams.astype(float))
         for batch in batches:
             to = []
             for word, before, before_n, after, after_n in _sides(batch):
                 own = classes[word]
-                if own < FIRST or _turn(word) != turn % 2:
+                if own < FIRST:
                     continue
                 itself = int(after_n[after == word].sum())
                 left = np.bincount(classes[before], before_n, n_classes)
                 right = np.bincount(classes[after], after_n, n_classes)
                 left[own] -= itself
                 right[own] -= itself
-                gain = gains(bigrams, own, left, right, itself)
+                gain = gains(bigrams, own, left, right, itself, whole)
                 best = int(gain.argmax())
                 if gain[best] > gain[own - FIRST] + 1e-6:
                     to.append((word, best + FIRST))
@@ -293,15 +307,12 @@ def _exchanged(neighbours: DataFrame, classes: np.ndarray, bigrams: np.ndarray,
                 yield pa.RecordBatch.from_arrays([word, new], ["word", "class"])
 
     out = classes.copy()
-    for word, new in neighbours.mapInArrow(move, "word int, class int").collect():
+    asked = neighbours.where(F.col("word") % 2 == turn % 2)
+    for word, new in asked.mapInArrow(move, "word int, class int").collect():
         out[word] = new
     return out
 
 
-def _turn(word: int) -> int:
-    return int(mixed_hash(np.array([word], np.uint64))[0]) & 1
-
-
 def _rest(texts: DataFrame, core: pa.Array, classes: np.ndarray, bigrams: np.ndarray, folder: str) -> DataFrame:
     """(word, c, class, seen): words outside the core, with counts of the classes before them."""
     spark, n_classes = texts.sparkSession, len(bigrams)
@@ -323,7 +334,7 @@ def _rest(texts: DataFrame, core: pa.Array, classes: np.ndarray, bigrams: np.nda
                 names = words.values.take(pa.array(pairs // n_classes))
                 yield pa.table({"word": names, "h": pa.array(pairs % n_classes, pa.int32()), "n": n})
 
-        yield from summed(tables(), ["word", "h"], HELD // 2)
+        yield from summed(tables(), ["word", "h"], HELD)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
