@@ -5,10 +5,12 @@ whole sequence of a page's blocks as article or not: weights of what stands abov
 of a label following another. It is trained on labelled pages by maximum likelihood and decoded by
 Viterbi's algorithm, page by page, so pages never shuffle.
 
-Labelled pages come from a bounded sample of the table's own. Where a page marks its article, its
-blocks are labelled by that; each is then rendered anew in several layouts, with and without such
-marks, with menus, sidebars, notices, adverts, forms and comments around and between its paragraphs,
-so that the field learns from class words and the shape of texts and not from one template.
+Labelled pages come from a bounded sample of the table's own. Where a page marks its article, by the
+element, by `main` or by a class word for content, its blocks are labelled by that; each is then
+rendered anew in several layouts, with and without such marks, with menus, sidebars, notices, adverts,
+forms and comments around and between its paragraphs, so that the field learns from class words and
+the shape of texts and not from one template. Where no page of the table marks its article, only such
+renderings are learned from, with the pages' own prose as paragraphs.
 """
 
 from __future__ import annotations
@@ -31,16 +33,16 @@ from agoralake.llm.common import plain
 MAX_PAGES, LAYOUTS, MAX_BLOCKS, STEPS = 150, 4, 120, 250
 RIDGE, RATE = 0.02, 0.3
 
-# Elements that break blocks, that hold no text of the page, and that have no end.
+# Elements that break blocks, that hold code, that hold text which a page does not show
+# or which belongs to a form, that may hold either, and that have no end.
 BLOCK_TAGS = frozenset(
     """address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu
     nav ol p pre search section summary table tbody td tfoot th thead tr ul""".split()
 )
-SILENT_TAGS = frozenset(
-    """script style title textarea noscript template iframe svg math select button object audio video
-    canvas head""".split()
-)
+CODE_TAGS = frozenset("script style".split())
+SILENT_TAGS = frozenset("title textarea template iframe select button audio video canvas".split())
+OPEN_TAGS = frozenset("noscript object".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements that a start of the same element ends.
 SELF_CLOSING = frozenset("p li dt dd tr td th".split())
@@ -54,7 +56,18 @@ _TAG = re.compile(
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-_END = {t: re.compile(rf"</{t}\s*>?", re.I) for t in SILENT_TAGS}
+#: The next start or end of the same element.
+_SAME = {
+    t: re.compile(rf"<(/?){t}(?=[\s/>]|\Z)[^>]*>?", re.I) for t in CODE_TAGS | SILENT_TAGS | OPEN_TAGS
+}
+
+
+def _end(page: str, tag: str, at: int) -> re.Match | None:
+    """Where the element ends; none if another one begins first or the page ends."""
+    found = _SAME[tag].search(page, at)
+    while found and tag in CODE_TAGS and not found[1]:
+        found = _SAME[tag].search(page, found.end())
+    return found if found and found[1] else None
 
 
 @dataclass
@@ -75,7 +88,13 @@ def _marks(tag: str, attributes: str) -> tuple[str, ...]:
 
 
 def blocks(page: str) -> list[Block]:
-    """The page's blocks with text, in order, with the marks of all elements around them."""
+    """The page's blocks with text, in order, with the marks of all elements around them.
+
+    Code is skipped to its end tag or else to the end of the page. What a page does not show and the
+    text of form controls is skipped to its end tag; an element without one loses nothing but its tag.
+    `noscript` and `object` are blocks of their own if they hold text. `head` is no block: its
+    elements are of these kinds, whether it ends or not.
+    """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
@@ -107,11 +126,22 @@ def blocks(page: str) -> list[Block]:
         if found[2] is None:
             continue
         tag, ending = found[2].lower(), bool(found[1])
-        if tag in SILENT_TAGS:
+        if tag in CODE_TAGS or tag in SILENT_TAGS:
             if not ending and not found[3].endswith("/"):
-                last = _END[tag].search(page, at)
-                at = last.end() if last else len(page)
+                last = _end(page, tag, at)
+                at = last.end() if last else len(page) if tag in CODE_TAGS else at
                 parts.append(" ")
+        elif tag in OPEN_TAGS:
+            last = None if ending else _end(page, tag, at)
+            if last and not _TAG.sub("", page[at : last.start()]).strip():
+                at = last.end()
+            elif ending or last:
+                close()
+                if not ending:
+                    stack.append((tag, _marks(tag, found[3])))
+                elif any(t == tag for t, _ in stack):
+                    while stack.pop()[0] != tag:
+                        pass
         elif tag == "a":
             in_link = not ending
         elif tag == "br":
@@ -282,21 +312,39 @@ def rendered(article: list[str], around: list[str], rng: random.Random) -> list[
 _NOT_WITHIN = frozenset("nav aside footer form .comments .comment .ad .advert .notice .sidebar".split())
 
 
+#: What marks an article, the surest first, and the text that shows it.
+_MARKS = ({"article"}, {"main"}, {".main"}, {".entry", ".content"}, {".post", ".content"}, {".post", ".body"}, {".article"})
+_MARKED = r"""(?i)<main[\s>]|(class|id|role)\s*=\s*["']?[^"'>]*(main|entry.?content|post.?content|post.?body|article)"""
+
+
 def labelled(page: str) -> list[tuple[Block, int]] | None:
-    """A page's blocks with labels, if it marks its article by the element."""
+    """A page's blocks with labels, if it marks its article; the first of _MARKS that it has counts."""
+    found = blocks(page)[:MAX_BLOCKS]
+    above = [set(b.above) for b in found]
+    for marks in _MARKS:
+        labels = [int(marks <= a and not _NOT_WITHIN & a) for a in above]
+        if any(labels):
+            return list(zip(found, labels, strict=True))
+    return None
+
+
+def assumed(page: str) -> list[tuple[Block, int]] | None:
+    """Blocks of an unmarked page: those that read like prose serve as paragraphs to render."""
     found = blocks(page)[:MAX_BLOCKS]
-    labels = [int("article" in b.above and not _NOT_WITHIN & set(b.above)) for b in found]
+    labels = [int(not b.linked and b.text.count(" ") >= 10) for b in found]
     return list(zip(found, labels, strict=True)) if any(labels) else None
 
 
-def _sequences(pages: Iterator[str], seed: int) -> list[list[tuple[list[str], int]]]:
-    """Feature lists and labels of the pages as they are and in LAYOUTS other ways."""
+def _sequences(
+    pages: Iterator[str], seed: int, marked: bool = True
+) -> list[list[tuple[list[str], int]]]:
+    """Feature lists and labels of the pages as they are, if they mark articles, and in LAYOUTS other ways."""
     rng, out = random.Random(seed), []
     for page in pages:
-        rows = labelled(page or "")
+        rows = (labelled if marked else assumed)(page or "")
         if not rows:
             continue
-        versions = [rows]
+        versions = [rows] if marked else []
         article = [b.text for b, y in rows if y]
         around = [b.text for b, y in rows if not y] or ["-"]
         versions += [rendered(article[: MAX_BLOCKS // 2], around, rng) for _ in range(LAYOUTS)]
@@ -360,10 +408,17 @@ def fit(sequences: list[list[tuple[list[str], int]]]) -> Field:
 
 
 def train_field(pages: DataFrame, *, ident: str = "page_id", page: str = "html", seed: int = 7) -> Field:
-    """A field from at most MAX_PAGES pages that mark their article, the first by a digest of the id."""
+    """A field from at most MAX_PAGES pages, the first by a digest of the id.
+
+    Pages that mark their article by the element come before those that mark it otherwise; pages
+    without any mark are used only if no page has one.
+    """
     order = F.md5(F.coalesce(F.col(ident).cast("string"), F.lit("")))
-    marked = pages.where(F.col(page).contains("<article")).select(ident)
-    chosen = marked.orderBy(order).limit(MAX_PAGES).withColumnRenamed(ident, "__id").distinct()
+    kind = F.when(F.col(page).rlike("(?i)<article"), 0).when(F.col(page).rlike(_MARKED), 1)
+    choice = pages.where(kind.isNotNull())
+    has_marks = not choice.isEmpty()
+    choice = (choice if has_marks else pages).orderBy(kind, order).select(ident)
+    chosen = choice.limit(MAX_PAGES).withColumnRenamed(ident, "__id").distinct()
     rows = pages.join(F.broadcast(chosen), F.col(ident) == F.col("__id")).select(
         F.col(ident).cast("string").alias("id"), F.col(page).alias("page")
     )
@@ -371,7 +426,7 @@ def train_field(pages: DataFrame, *, ident: str = "page_id", page: str = "html",
     def see(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for s in _sequences(iter([text]), seed + hash_of(key)):
+                for s in _sequences(iter([text]), seed + hash_of(key), has_marks):
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([key], pa.string()),

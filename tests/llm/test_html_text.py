@@ -20,6 +20,27 @@ def test_blocks_of_broken_markup():
     assert _texts("<script>never ends") == [] and _texts('<p title="it>s') == ["s"]
 
 
+@pytest.mark.parametrize("head", ["<head><title>no</title>", "<head><title>no</title></head>", "<HEAD>"])
+def test_nothing_is_lost_behind_unclosed_elements(head):
+    body = "<header>Site menu</header><p>First paragraph.</p><p>Second one.</p>"
+    assert _texts(f"<html>{head}<body>{body}") == ["Site menu", "First paragraph.", "Second one."]
+    for tag in ("button", "select", "textarea", "title", "video", "object", "noscript", "iframe"):
+        assert _texts(f"<p>One.</p><{tag}><p>Two.</p><p>Three.</p>") == ["One.", "Two.", "Three."]
+        assert _texts(f"<{tag}><p>Two.</p><{tag}></{tag}><p>Three.</p>") == ["Two.", "Three."]
+
+
+def test_text_of_inline_and_open_elements():
+    assert _texts("<p>Let <math><mi>x</mi></math> be <svg><title>no</title><path/></svg>one.") == ["Let x be one."]
+    assert _texts("<p>a <noscript><img src=x></noscript>b<p>c <button>Copy</button>d") == ["a b", "c d"]
+    found = blocks("<p>a</p><noscript><p>Shown without code.</p></noscript><object>else</object>b")
+    assert [b.text for b in found] == ["a", "Shown without code.", "else", "b"]
+    assert [("noscript" in b.above, "object" in b.above) for b in found] == [
+        (False, False), (True, False), (False, True), (False, False)
+    ]
+    code = "<script>document.write('<script>x</scripts>')</script>"
+    assert _texts(f"<p>a</p>{code}<p>b</p><style>p") == ["a", "b"]
+
+
 def test_marks_and_links():
     (block,) = blocks('<div class="PostBody x2" id=main><nav><a href="/">Home</a> now</nav></div>')
     assert {"div", ".post", ".body", ".x", ".main", "nav"} == set(block.above)
@@ -68,6 +89,34 @@ def test_another_layout(model):
     assert model.text(page) == "\n\n".join(["A title", prose, prose + " Again.", prose + " At last."])
 
 
+STORY = [
+    "The harbour was quiet when the first boats came back, and nobody on the quay spoke.",
+    "A storm had passed in the night, taking two roofs and the old mast of the school.",
+    "By noon the road was open again, so that the doctor could drive out to the farms.",
+    "It rained once more in the evening, but by then the children were all at home.",
+]
+
+
+@pytest.mark.parametrize("rule", ["<MAIN>|</MAIN>", "<div role=main>|</div>", '<div class="entry-content">|</div>', "<div>|</div>"])
+def test_learns_without_article_elements(spark, rule):
+    begin, end = rule.split("|")
+
+    def page(k):
+        story = [f"{x[:-1]}, as number {k} says." for x in STORY]
+        inside = "".join(f"<p>{x}</p>" for x in story)
+        return story, f"""<body><nav><ul><li><a href=/>Home</a><li><a href=/b>News</a></ul></nav>{begin}
+          <h1>Report {k}</h1>{inside}{end}<div class=comments><p>I was there as well and saw
+          it, number {k} is quite right about the roofs.</p></div><footer>All rights kept</footer>"""
+
+    made = [page(k) for k in range(40)]
+    pages = spark.createDataFrame([(k, x) for k, (_, x) in enumerate(made)], "page_id long, html string")
+    model = train_field(pages)
+    right = sum(model.text(x) == "\n\n".join([f"Report {k}", *s]) for k, (s, x) in enumerate(made))
+    prose = sum("\n\n".join(s) in model.text(x) and "quite right" not in model.text(x) for s, x in made)
+    assert prose >= 38
+    assert "<div>|" in rule or right >= 38
+
+
 def test_odd_pages(spark, model):
     rows = [(1, None, "u", "x"), (2, "", "u", "x"), (2, "", "u", "x"), (None, "<nav><a>m</a></nav>", None, None)]
     pages = spark.createDataFrame(rows, "page_id bigint, html string, url string, text string")
