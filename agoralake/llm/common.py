@@ -151,6 +151,24 @@ def plain(name: str, taken: Sequence[str]) -> str:
     return name
 
 
+class Apart:
+    """The input's columns under names of their own, c0 and on, that clash with none of an operator's."""
+
+    def __init__(self, docs: DataFrame):
+        self.names = docs.columns
+        self.rows = docs.toDF(*[f"c{k}" for k in range(len(self.names))])
+
+    def __getitem__(self, name: str) -> str:
+        """Where a column of the input is; letters of any case name it, as in Spark."""
+        if name in self.names:
+            return f"c{self.names.index(name)}"
+        return f"c{[x.lower() for x in self.names].index(name.lower())}"
+
+    def back(self, out: DataFrame, *added: str) -> DataFrame:
+        """The input's columns by their names, and the added ones behind them, underscored if taken."""
+        return out.toDF(*self.names, *[plain(n, self.names) for n in added])
+
+
 class Members:
     """A Bloom filter of fixed size over keys of any number, which keeps rows before a join.
 

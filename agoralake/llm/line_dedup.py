@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agoralake.llm.common import plain, with_fields
+from agoralake.llm.common import Apart, with_fields
 
 #: Bits of each filter, a power of two; the twice-seen one is sent to all tasks.
 FILTER_BITS = 1 << 27
@@ -134,10 +134,11 @@ def line_dedup(
     and stays as it is. Rows with the same id are one document: none of them loses the kept lines.
     Rows without an id count as no document and lose nothing. An empty table gives an empty table.
     """
+    apart = Apart(docs)
+    docs, ident, text = apart.rows, apart[ident], apart[text]
     spark = docs.sparkSession
     filled = spark.sparkContext.broadcast(_twice_filter(docs, text, filter_bits, min_chars))
-    total, dropped = (plain(n, docs.columns) for n in ("n_lines", "n_dropped"))
-    hits, gone = "__suspects", "__gone"
+    total, dropped, hits, gone = "n_lines", "n_dropped", "__suspects", "__gone"
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.frombuffer(filled.value, "u1")
@@ -192,4 +193,5 @@ def line_dedup(
     out = T.StructType(
         [*docs.schema.fields, T.StructField(total, T.LongType()), T.StructField(dropped, T.LongType())]
     )
-    return clear.union(doubtful.select(*docs.columns, gone).mapInArrow(rewrite, out))
+    done = clear.union(doubtful.select(*docs.columns, gone).mapInArrow(rewrite, out))
+    return apart.back(done, total, dropped)

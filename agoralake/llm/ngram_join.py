@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agoralake.llm.common import (
+    Apart,
     Members,
     components,
     plain,
@@ -306,7 +307,10 @@ def one_of_each(docs: DataFrame, *, ident: str = "doc_id", **options) -> DataFra
 
     Rows without an id stay, and so do rows that repeat a document's id with a text of its group.
     """
-    found = ngram_components(docs, ident=ident, **options)
-    size, group = found.columns[1:]
-    gone = found.where(F.col(group) != F.col(ident)).select(F.col(ident).alias("__gone")).distinct()
-    return docs.join(gone, F.col(ident) == F.col("__gone"), "left_anti")
+    apart = Apart(docs)
+    text = apart[options.pop("text", "text")]
+    texts = apart.rows.select(F.col(apart[ident]).alias("id"), F.col(text).alias("text"))
+    found = ngram_components(texts, ident="id", **options)
+    gone = found.where("component_id <> id").select(F.col("id").alias("__gone")).distinct()
+    kept = apart.rows.join(gone, F.col(apart[ident]) == F.col("__gone"), "left_anti")
+    return apart.back(kept)

@@ -14,7 +14,7 @@ from agoralake.llm.divergence import source_divergence
 from agoralake.llm.grammar import THRESHOLD, score_toxicity, train_grammar
 from agoralake.llm.html_text import extract_text, train_field
 from agoralake.llm.line_dedup import line_dedup
-from agoralake.llm.mixing import BLOCK, GRAIN, PARTS, mix_sources
+from agoralake.llm.mixing import BLOCK, mix_sources
 from agoralake.llm.ngram_join import ngram_components
 from agoralake.llm.packing import BUCKETS, BUDGET, MAX_LEN, pack
 from agoralake.llm.quality_bands import quality_bands
@@ -183,11 +183,8 @@ docs AS (
 placed AS (
   SELECT doc_id, source, s, (row_number() OVER (PARTITION BY s ORDER BY d) - 1) // {BLOCK} AS block
   FROM docs),
-raw AS (
-  SELECT s, CAST(round(sqrt(count(*)) * {GRAIN}) AS BIGINT) AS r FROM docs GROUP BY s),
 shares AS (
-  SELECT s, greatest((r * {PARTS} + total // 2) // total, 1) AS p
-  FROM raw, (SELECT CAST(sum(r) AS BIGINT) AS total FROM raw)),
+  SELECT s, CAST(round(sqrt(count(*))) AS BIGINT) AS p FROM docs GROUP BY s),
 one AS (
   SELECT list(s ORDER BY s) AS names, list(p ORDER BY s) AS ps, CAST(sum(p) AS BIGINT) AS q
   FROM shares),

@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agoralake.llm.common import (
+    Apart,
     Members,
     mixed_hash,
-    plain,
     stored,
     window_hashes,
     word_hashes,
@@ -148,6 +148,8 @@ def substring_dedup(
     or one with fewer words than a window, loses nothing; a null text becomes empty. Texts are told
     apart by 64-bit hashes, windows by 96 bits. An empty table gives an empty table.
     """
+    apart = Apart(docs)
+    docs, text = apart.rows, apart[text]
     spark = docs.sparkSession
     folder = work_folder(spark)
     ref = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
@@ -236,7 +238,7 @@ def substring_dedup(
     )
     gone = stored(gone, folder, "gone")
     changed = Members.of(gone.select("__ref"))
-    total, removed = (plain(n, docs.columns) for n in ("n_words", "n_removed"))
+    total, removed = "n_words", "n_removed"
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,8 +262,7 @@ def substring_dedup(
             columns += [pa.array(many, pa.int64()), pa.array(less, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*names, total, removed])
 
-    hidden = {c: f"c{k}" for k, c in enumerate(docs.columns) if c != text}
-    rows = docs.select(*[F.col(c).alias(hidden.get(c, c)) for c in docs.columns], ref.alias("__ref"))
+    rows = docs.select(*docs.columns, ref.alias("__ref"))
     # Of texts with nothing to remove only the spaces change.
     words = F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
     clear = changed.keep(rows, "__ref", member=False).withColumn("__words", words).select(
@@ -272,10 +273,10 @@ def substring_dedup(
     doubtful = changed.keep(rows, "__ref").join(gone, "__ref", "left").drop("__ref")
     out = T.StructType(
         [
-            *[T.StructField(hidden.get(f.name, f.name), f.dataType) for f in docs.schema.fields],
+            *[T.StructField(f.name, f.dataType) for f in docs.schema.fields],
             T.StructField(total, T.LongType()),
             T.StructField(removed, T.LongType()),
         ]
     )
     done = clear.union(doubtful.mapInArrow(rewrite, out))
-    return done.select(*[F.col(hidden.get(c, c)).alias(c) for c in docs.columns], total, removed)
+    return apart.back(done, total, removed)

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from agoralake.llm.mixing import cycle, mix_sources, mixed, target_weights
+from agoralake.llm.mixing import cycle, mix_sources, mixed, target_weights, whole_weights
 
 
 def _docs(sizes):
@@ -23,7 +23,7 @@ def test_cycle_keeps_every_source_within_one_block(spark, documents):
     total = plan[0]["__cycle"]
     share = {r["__source"]: r["__p"] for r in plan}
     assert sum(share.values()) == total == len(plan)
-    assert share == {"=a": 50, "=b": 30, "=c": 12, "=d": 8, "": 1} | {"": share[""]}
+    assert share == {"=a": 25, "=b": 15, "=c": 6, "=d": 4}
     done = Counter()
     for t, row in enumerate(plan):
         done[row["__source"]] += 1
@@ -31,9 +31,46 @@ def test_cycle_keeps_every_source_within_one_block(spark, documents):
             assert abs(done[s] * total - (t + 1) * p) < total
 
 
+def test_weights_are_exact():
+    small = {f"s{k}": 0.0001 for k in range(5000)}
+    whole = whole_weights({"big": 0.5, **small})
+    assert whole["big"] == 5000 and {whole[k] for k in small} == {1}
+    assert whole_weights({"a": 0.9999, "b": 0.0001}) == {"a": 9999, "b": 1}
+    assert whole_weights({"a": 1 / 3, "b": 2 / 3, "c": 0}) == {"a": 1, "b": 2, "c": 0}
+    assert whole_weights({}) == {} and whole_weights({"a": 0.0}) == {"a": 0}
+    tiny = whole_weights({"a": 1e-9, "b": 1.0})
+    assert 0 < tiny["a"] < tiny["b"] < 2**41
+    with pytest.raises(ValueError):
+        whole_weights({"a": -1.0})
+
+
+def test_many_small_sources_keep_a_large_one_at_its_weight(spark, documents):
+    docs = documents(_docs({"big": 1, **{f"s{k}": 1 for k in range(500)}}))
+    weights = {"big": 0.5, **{f"s{k}": 0.001 for k in range(500)}}
+    plan = cycle(target_weights(docs, "source", weights)).orderBy("__slot").collect()
+    assert len(plan) == 1000
+    done = 0
+    for t, row in enumerate(plan):
+        done += row["__source"] == "=big"
+        assert abs(2 * done - (t + 1)) < 2
+
+
+def test_weight_zero_runs_behind_all_others(documents):
+    docs = documents(_docs({"a": 100, "b": 25, "z": 30, None: 25}))
+    rows = mix_sources(docs, weights={"a": 3, "b": 1, "z": 0}, block=10).collect()
+    assert len(rows) == 180
+    slots = {(r.source, r.block): r.slot for r in rows}
+    assert len(set(slots.values())) == len(slots) == 10 + 3 + 3 + 3
+    last = max(t for (s, _), t in slots.items() if s in ("a", "b"))
+    behind = sorted((t, s or "") for (s, _), t in slots.items() if s not in ("a", "b"))
+    assert behind[0][0] > last and [s for _, s in behind] == ["", "z"] * 3
+    none = mix_sources(docs, weights={}, block=10).collect()
+    assert sorted({r.slot for r in none})[0] == 0 and len(none) == 180
+
+
 def test_blocks_and_slots(documents):
     docs = documents(_docs({"a": 1000, "b": 300, "c": 10}))
-    rows = mix_sources(docs, weights={"a": 2, "b": 1, "c": 1}, block=10, parts=4).collect()
+    rows = mix_sources(docs, weights={"a": 2, "b": 1, "c": 1}, block=10).collect()
     assert len(rows) == 1310
     per = Counter((r.source, r.block) for r in rows)
     assert per[("a", 0)] == 10 and max(b for s, b in per if s == "a") == 99 and len(per) == 131
