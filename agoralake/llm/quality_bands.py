@@ -35,9 +35,10 @@ BANDS = (
     (131072, 0.30, 0.74),
     (1 << 20, 0.25, 0.74),
 )
-#: Bytes of a chunk, the band of a full chunk, and the share of chunks outside it that rejects.
-CHUNK = 4096
-CHUNK_BAND = (0.30, 0.76)
+#: (bytes of a text from which it holds, bytes of its chunks, least ratio, greatest ratio of a chunk).
+#: Shorter texts are one chunk, which is the whole text and has its band above.
+CHUNKS = ((1024, 512, 0.40, 0.80), (2048, 1024, 0.35, 0.74), (4096, 4096, 0.30, 0.74))
+#: The share of chunks outside their band that rejects.
 CHUNK_SHARE = 0.25
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -92,6 +93,21 @@ def band(size: int, bands: tuple = BANDS) -> tuple[float, float] | None:
     return held
 
 
+def chunks(body: bytes) -> tuple[list[bytes], float, float]:
+    """A text's chunks, which cover all of it, and their band: the last one ends where the text ends."""
+    held = None
+    for least, *rest in CHUNKS:
+        if len(body) >= least:
+            held = rest
+    if not held:
+        return [], 0.0, 0.0
+    size, low, high = held
+    starts = list(range(0, len(body) - size + 1, size))
+    if starts[-1] + size < len(body):
+        starts.append(len(body) - size)
+    return [body[k : k + size] for k in starts], low, high
+
+
 def measure(body: bytes | None, press: zstandard.ZstdCompressor) -> tuple:
     """The values of ADDED for one text; a null text is an empty one."""
     body = body or b""
@@ -102,13 +118,12 @@ def measure(body: bytes | None, press: zstandard.ZstdCompressor) -> tuple:
     ratio = len(press.compress(body)) / len(body) if body else None
     limits = band(len(body))
     inside = not limits or limits[0] <= ratio <= limits[1]
-    chunks = [body[k : k + CHUNK] for k in range(0, len(body) - CHUNK + 1, CHUNK)]
-    ratios = [len(press.compress(x)) / CHUNK for x in chunks]
-    bad = sum(not CHUNK_BAND[0] <= r <= CHUNK_BAND[1] for r in ratios)
+    parts, low, high = chunks(body)
+    bad = sum(not low <= len(press.compress(x)) / len(x) <= high for x in parts)
     failed = len(words) < MIN_WORDS or 100 * repeated > MAX_REPEAT_PERCENT * len(words)
-    kept = not failed and inside and bad <= CHUNK_SHARE * len(chunks)
+    kept = not failed and inside and bad <= CHUNK_SHARE * len(parts)
     lines = duplicate_lines(body)
-    return len(words), chars, symbols, lines, repeated, ratio, len(chunks), bad, failed, kept
+    return len(words), chars, symbols, lines, repeated, ratio, len(parts), bad, failed, kept
 
 
 def quality_bands(docs: DataFrame, *, text: str = "text") -> DataFrame:
@@ -116,7 +131,7 @@ def quality_bands(docs: DataFrame, *, text: str = "text") -> DataFrame:
 
     `kept` is false where the base rules fail (under 10 words, or over 20 % of the words in repeated
     windows), where the whole text's ratio leaves the band of its length, or where more than a quarter
-    of its full chunks leave theirs. A null or empty text has no words, a null ratio and is not kept.
+    of its chunks leave theirs. Chunks cover the whole text; the last one overlaps the one before. A null or empty text has no words, a null ratio and is not kept.
     Repeated rows get equal values; an empty table gives an empty table. A long text is one value of
     one task, which holds it a few times over.
     """
