@@ -4,18 +4,21 @@ from agoralake.sinks.layers import (
     add_run_partitions,
     remove_partitions,
     remove_path,
-    remove_run,
     write_documents,
     write_gold,
     write_partitions,
     write_silver,
 )
+from agoralake.sinks.publish import clear_staged, publish_pending, publish_staged, staged_at
 
 __all__ = [
     "add_run_partitions",
+    "clear_staged",
+    "publish_pending",
+    "publish_staged",
     "remove_partitions",
     "remove_path",
-    "remove_run",
+    "staged_at",
     "write_documents",
     "write_gold",
     "write_partitions",

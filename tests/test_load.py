@@ -7,6 +7,8 @@ import pytest
 
 from agoralake.config import GOLD_DATASETS
 from agoralake.plans import load as load_module
+from agoralake.sinks import publish as publish_module
+from agoralake.sinks import publish_pending
 from agoralake.plans.load import run, run_daily, run_foreign, run_summary, transform
 from agoralake.sources import (
     query_to_dataframe,
@@ -93,6 +95,59 @@ def test_a_repeated_run_of_some_communities_keeps_the_others(spark, lake):
     assert set(summary(run_summary(spark, lake, RUN))) == {"x", "y"}
 
 
+def _state(spark, lake):
+    tables = [read_silver(spark, lake.silver).select("id", "score", "run_ts")]
+    tables += [read_gold(spark, lake.gold(d), d) for d in GOLD_DATASETS]
+    documents = read_documents(spark, lake.bronze).select("community", "record_count")
+    return [sorted(map(str, t.collect())) for t in (documents, *tables)]
+
+
+@pytest.mark.parametrize("step", ["extract", "transform", "load"])
+@pytest.mark.parametrize("communities", [None, ["x"]])
+def test_a_run_that_fails_leaves_the_one_before(spark, lake, monkeypatch, step, communities):
+    run(spark, raw(spark, x=5, y=2), lake, RUN)
+    before = _state(spark, lake)
+    real = getattr(load_module, step)
+
+    def failing(*args, **options):
+        real(*args, **options)
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(load_module, step, failing)
+        with pytest.raises(RuntimeError, match="stopped"):
+            run(spark, raw(spark, x=3, y=1), lake, RUN, communities=communities)
+    assert _state(spark, lake) == before
+    assert publish_pending(spark, lake.base) == []
+    again = run(spark, raw(spark, x=3, y=1), lake, RUN, communities=communities)
+    assert summary(again)["x"] == (3, 3, 1, 3, 3, True)
+    y = summary(run_summary(spark, lake, RUN))["y"]
+    assert y == ((2, 2, 1, 2, 2, True) if communities else (1, 1, 1, 1, 1, True))
+
+
+@pytest.mark.parametrize("after", [0, 1, 3, 6])
+def test_publishing_that_is_cut_short_is_finished(spark, lake, monkeypatch, after):
+    run(spark, raw(spark, x=5, y=2), lake, RUN)
+    real, calls = publish_module._move, []
+
+    def failing(session, source, target):
+        if not source.endswith(".part"):
+            calls.append(target)
+            if len(calls) > after:
+                raise OSError("stopped")
+        real(session, source, target)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(publish_module, "_move", failing)
+        with pytest.raises(OSError, match="stopped"):
+            run(spark, raw(spark, x=3), lake, RUN)
+    assert publish_pending(spark, lake.base) == ["20240131_020000"]
+    assert summary(run_summary(spark, lake, RUN)) == {"x": (3, 3, 1, 3, 3, True)}
+    finished = _state(spark, lake)
+    run(spark, raw(spark, x=3), lake, RUN)
+    assert _state(spark, lake) == finished and publish_pending(spark, lake.base) == []
+
+
 def test_a_lost_document_is_not_ok(spark, lake, tmp_path):
     run(spark, raw(spark, x=3, y=1), lake, RUN)
     (folder,) = (tmp_path / "lake/bronze/reddit").glob("*/*/*/community=x")
