@@ -43,6 +43,20 @@ def test_an_empty_layer_warns(spark, lake):
     assert {r.status for r in rows.values()} == {"warning"}
 
 
+def test_file_counts_equal_the_storage(spark, lake, tmp_path):
+    posts = [post(f"{c}{k}", subreddit=c) for c in ("x", "y", "z") for k in range(9)]
+    run(spark, listing(spark, *posts).repartition(5), lake, RUN, max_posts=4)
+    root = tmp_path / "lake"
+    stored = {
+        layer: sum(1 for f in (root / layer).rglob("part-*") if f.is_file())
+        for layer in ("bronze", "silver", "gold")
+    }
+    rows = report(spark, lake)
+    assert {layer: r.file_count for layer, r in rows.items()} == stored
+    assert rows["bronze"].record_count == rows["silver"].record_count == 27
+    assert not (root / "_staging").exists() or not list((root / "_staging").iterdir())
+
+
 def test_one_missing_gold_dataset_is_a_failure(spark, lake):
     posts = clean_posts(unnested(spark, post()))
     write_documents(envelopes(spark, envelope("x", [post()])), lake.bronze)
