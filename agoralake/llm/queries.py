@@ -23,8 +23,9 @@ from agoralake.llm.url_lists import filter_urls
 from agoralake.llm.vector_links import near_vectors
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    small_batches(spark)
+def _table(spark: SparkSession, folder: str, name: str, rows: int = 1000) -> DataFrame:
+    """A whole table, whose texts go to Python `rows` at a time."""
+    small_batches(spark, rows)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -126,7 +127,7 @@ def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
-    return source_divergence(_table(spark, folder, "documents"))
+    return source_divergence(_table(spark, folder, "documents", rows=200))
 
 
 def op13_brown_score(spark: SparkSession, folder: str) -> DataFrame:
