@@ -70,6 +70,8 @@ COMMUNITY = "click"
 GONE = "view"
 # A listing bound above a document's posts.
 LARGE_LIMIT, DOCUMENT_POSTS = 2500, 1000
+# A listing bound above what one task sorts, and how often a post stands in that listing.
+HUGE_LIMIT, TIMES = 20_000, 6
 CHECK_DATABASE = "agora_check"
 START, END = "2024-01-10", "2024-01-20"
 SPLIT_DAY = "2024-01-16"
@@ -127,6 +129,22 @@ def bronze_envelope(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def bronze_large_bound(spark: SparkSession, folder: str) -> DataFrame:
+    """What a bound that no task sorts keeps of a listing in which one community has most posts.
+
+    Posts stand at several places, which others share; some have no place.
+    """
+    rank = F.col("listing_rank")
+    listing = listing_from_tables(spark, folder).select(
+        "id",
+        F.when(rank % 7 != 0, F.lit("everything")).otherwise(F.col("subreddit")).alias("subreddit"),
+        rank,
+        F.explode(F.sequence(F.lit(0), F.lit(TIMES - 1))).alias("again"),
+    )
+    place = F.when(rank % 97 != 3, rank + F.col("again") * 1000).alias("listing_rank")
+    return take_listing(listing.select("id", "subreddit", place), HUGE_LIMIT)
+
+
 def bronze_small_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Every post's place in a listing bound above the documents' own, told by its document."""
     posts = stamp_posts(take_listing(listing_from_tables(spark, folder), LARGE_LIMIT), RUN)
@@ -539,6 +557,7 @@ def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bronze_bounded_ingest": bronze_bounded_ingest,
         "bronze_envelope": bronze_envelope,
         "bronze_json_roundtrip": bronze_json_roundtrip,
+        "bronze_large_bound": bronze_large_bound,
         "bronze_small_documents": bronze_small_documents,
         "foreign_documents": foreign_documents,
         "path_community": path_community_counts,
@@ -846,6 +865,12 @@ SELECT id, subreddit,
        CASE WHEN CAST(id AS BIGINT) % 5 <> 0 THEN score END AS score, title, date,
        CAST(id AS BIGINT) % 5 = 0 AS set_aside
 FROM silver""",
+        "bronze_large_bound": f"""
+SELECT CAST(event_id AS VARCHAR) AS id,
+       CASE WHEN event_id % 7 <> 0 THEN 'everything' ELSE event_type END AS subreddit,
+       CASE WHEN event_id % 97 <> 3 THEN event_id + again * 1000 END AS listing_rank
+FROM events, range({TIMES}) AS r(again)
+QUALIFY row_number() OVER (PARTITION BY subreddit ORDER BY listing_rank NULLS LAST, id) <= {HUGE_LIMIT}""",
         "bronze_small_documents": f"""{_P},
 listed AS (
   SELECT subreddit, id,

@@ -26,6 +26,11 @@ MAX_TEXT_PER_DOCUMENT = 8 * 1024 * 1024
 SHORTLIST_ABOVE = 1000
 # Fan-out of one hot group in the first step of a top-k.
 TOP_K_SALTS = 256
+# A listing bound above this is cut by ranges of places, not by sorting a community's first records.
+SORTED_LIMIT = 10_000
+# Ranges that a community's places are cut into, and how often the range of the bound is cut again.
+PLACE_RANGES = 4096
+PLACE_ROUNDS = 2
 
 GOLD_DATASETS = ("daily_stats", "top_posts", "top_commented")
 

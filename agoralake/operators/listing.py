@@ -8,17 +8,30 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agoralake.config import MAX_POSTS_PER_DOCUMENT, MAX_TEXT_PER_DOCUMENT, POST_LIMIT, SOURCE
-from agoralake.operators.topk import top_k_per_group
+from agoralake.config import (
+    MAX_POSTS_PER_DOCUMENT,
+    MAX_TEXT_PER_DOCUMENT,
+    POST_LIMIT,
+    SORTED_LIMIT,
+    SOURCE,
+)
+from agoralake.operators.topk import first_by_place, top_k_per_group
 from agoralake.schemas import ENVELOPE, POST
 
 LISTING_ORDER = ("listing_rank", "id")
 
 
 def take_listing(raw: DataFrame, post_limit: int | None = POST_LIMIT) -> DataFrame:
-    """The first `post_limit` records of every community in listing order; None keeps all."""
+    """The first `post_limit` records of every community in listing order; None keeps all.
+
+    Bounds above `SORTED_LIMIT` are found by counting ranges of places, and then a community's records
+    stay spread over tasks.
+    """
     if post_limit is None:
         return raw
+    if post_limit > SORTED_LIMIT:
+        place, *ties = LISTING_ORDER
+        return first_by_place(raw, ["subreddit"], place, ties, post_limit)
     order = [F.asc_nulls_last(c) for c in LISTING_ORDER]
     return top_k_per_group(raw, ["subreddit"], order, post_limit)
 

@@ -7,7 +7,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agoralake.config import TOP_K_SALTS
+from agoralake.config import PLACE_RANGES, PLACE_ROUNDS, TOP_K_SALTS
 
 
 def top_k_per_group(
@@ -37,6 +37,85 @@ def top_k_per_group(
     return ranked
 
 
+def _same_group(group: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(f"r.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group])
+
+
+def _between() -> Column:
+    """Whether a row's place is in the range of its group's bound; rows without a place are a range."""
+    nowhere = F.col("_lo").isNull() & F.col("_place").isNull()
+    return nowhere | F.coalesce(F.col("_place").between(F.col("_lo"), F.col("_hi")), F.lit(False))
+
+
+def place_bounds(
+    df: DataFrame,
+    group: Sequence[str],
+    place: str,
+    k: int,
+    ranges: int = PLACE_RANGES,
+    rounds: int = PLACE_ROUNDS,
+) -> DataFrame:
+    """Per group of more than `k` rows the range of places (_lo to _hi) that its `k`-th row is in, and how
+    many rows stand _before that range.
+
+    Each round counts rows per range of a whole number, a hash aggregation over the group and the
+    place that combines before the shuffle, and adds the counts up: at most `ranges` + 2 rows a group.
+    The next round cuts the range it finds, so that after two of them places in a row of any length
+    below `ranges` ** 2 are told apart. Rows without a place stand last, as a range of their own.
+    """
+    rows = df.select(*group, F.col(place).cast("bigint").alias("_place"))
+    n = F.count(F.lit(1)).alias("_n")
+    sizes = rows.groupBy(*group).agg(n, F.min("_place").alias("_lo"), F.max("_place").alias("_hi"))
+    zero = F.lit(0).cast("bigint").alias("_before")
+    bounds = sizes.where(F.col("_n") > k).select(*group, "_lo", "_hi", zero)
+    step = F.expr(f"_place DIV (_hi DIV {ranges} - _lo DIV {ranges} + 1)")
+    for turn in range(rounds):
+        joined = rows.alias("r").join(bounds.alias("b"), _same_group(group))
+        inside = joined if turn == 0 else joined.where(_between())
+        counts = inside.groupBy(
+            *[F.col(f"r.{g}").alias(g) for g in group], "_before", step.alias("_range")
+        ).agg(n, F.min("_place").alias("_lo"), F.max("_place").alias("_hi"))
+        order = Window.partitionBy(*group).orderBy(F.asc_nulls_last("_range"))
+        upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+        counts = counts.withColumn("_upto", F.col("_before") + upto)
+        last = (F.col("_upto") >= k) & (F.col("_upto") - F.col("_n") < k)
+        bounds = counts.where(last).select(
+            *group, "_lo", "_hi", (F.col("_upto") - F.col("_n")).alias("_before")
+        )
+    return bounds
+
+
+def first_by_place(
+    df: DataFrame,
+    group: Sequence[str],
+    place: str,
+    ties: Sequence[str],
+    k: int,
+    ranges: int = PLACE_RANGES,
+    rounds: int = PLACE_ROUNDS,
+) -> DataFrame:
+    """The first `k` rows of every group by a whole number, then by `ties`, nulls last; for large `k`.
+
+    No task sorts or holds `k` rows: whatever stands before the bound's range (`place_bounds`) is kept
+    where it is, without a shuffle of its own, and only that range is ranked. Where very many rows share
+    one place, that range is cut in each task first, as `top_k_per_group` does.
+    """
+    if k <= 0:
+        return df.limit(0)
+    bounds = place_bounds(df, group, place, k, ranges, rounds)
+    number = F.col(f"r.{place}").cast("bigint")
+    rows = df.alias("r").join(bounds.alias("b"), _same_group(group), "left")
+    rows = rows.select("r.*", number.alias("_place"), "_lo", "_hi", "_before")
+    early = F.col("_lo").isNull() | (F.col("_place") < F.col("_lo"))
+    whole = F.col("_before").isNull() | (F.col("_place").isNotNull() & early)
+    order = [F.asc_nulls_last(c) for c in (place, *ties)]
+    edge = rows.where(F.col("_before").isNotNull() & _between())
+    edge = top_k_per_group(edge, group, order, k)
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    edge = edge.withColumn("_rank", rank).where(F.col("_rank") + F.col("_before") <= k)
+    return rows.where(whole).select(*df.columns).unionByName(edge.select(*df.columns))
+
+
 def top_k_bounds(
     df: DataFrame, group: Sequence[str], metrics: Sequence[str], k: int, spread: str = "id"
 ) -> DataFrame:
@@ -64,10 +143,9 @@ def above_bounds(
 
     Keeps ties with a bound and all rows of groups without one.
     """
-    same_group = reduce(and_, [F.col(f"r.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group])
     reached = [
         F.col(f"b.{m}_bound").isNull() | (F.col(f"r.{m}") >= F.col(f"b.{m}_bound"))
         for m in metrics
     ]
-    joined = df.alias("r").join(bounds.alias("b"), same_group, "left")
+    joined = df.alias("r").join(bounds.alias("b"), _same_group(group), "left")
     return joined.where(reduce(or_, reached)).select("r.*")
