@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agoralake.llm.common import stored, work_folder
-from agoralake.llm.words import Words, summed
+from agoralake.llm.words import Words
 
 # Fixed value: what stands between terms, which is all of ASCII but its letters.
 BETWEEN = bytes(c for c in range(128) if not chr(c).isalpha())
@@ -38,8 +38,6 @@ BETWEEN = bytes(c for c in range(128) if not chr(c).isalpha())
 PARTS, RAISE, MIN_DOCS, TOP = 1_000_000_000, 5, 30, 50
 #: Terms of one fitted vocabulary, terms and sources of a block of pairs.
 SLICE, TERMS, SOURCES = 1 << 20, 1024, 256
-#: Distinct (source, term) sums that a task holds before it hands them on.
-HELD = 1 << 19
 
 
 def _rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
@@ -93,21 +91,9 @@ def _slices(docs: DataFrame, min_docs: int, size: int) -> int:
 
 def _group_sums(vectors: DataFrame) -> DataFrame:
     """(source, at, n): vectors of a source added up, at their indices."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def tables() -> Iterator[pa.Table]:
-            for batch in batches:
-                vector = batch.column("vector")
-                at, n = vector.field("indices"), vector.field("values")
-                row = np.repeat(np.arange(len(batch)), np.asarray(at.value_lengths()))
-                whole = np.asarray(n.flatten()).astype(np.int64)
-                source = batch.column("source").take(pa.array(row))
-                yield pa.table({"source": source, "at": at.flatten(), "n": whole})
-
-        yield from summed(tables(), ["source", "at"], HELD)
-
-    parts = vectors.select("source", "vector").mapInArrow(add, "source string, at int, n bigint")
-    return parts.groupBy("source", "at").agg(F.sum("n").alias("n"))
+    sparse = vectors.select("source", F.unwrap_udt("vector").alias("v"))
+    entries = sparse.selectExpr("source", "inline(arrays_zip(v.indices, v.values))").toDF("source", "at", "n")
+    return entries.groupBy("source", "at").agg(F.sum(F.col("n").cast("bigint")).alias("n"))
 
 
 def term_counts(docs: DataFrame, min_docs: int, folder: str, slice_terms: int = SLICE) -> DataFrame:
