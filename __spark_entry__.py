@@ -55,13 +55,12 @@ from agoralake.sources import (
 from agoralake.sources.event_posts import RUN_TS, listing_from_tables
 from agoralake.streaming import stream_gold, stream_layers, stream_silver
 
-# The training-data operators are an optional part: without their folder, the rest works alone.
+# The training-data operators are an optional part: without their folder, or a module that only they
+# need, the rest works alone.
 try:
     import corpus_pipeline
     from agoralake.llm import queries as llm
-except ModuleNotFoundError as error:
-    if error.name not in ("corpus_pipeline", "agoralake.llm", "agoralake.llm.queries"):
-        raise
+except ModuleNotFoundError:
     llm = None
 
 RUN = datetime.fromisoformat(RUN_TS)
