@@ -178,3 +178,19 @@ def test_partition_lists_too_long_to_broadcast(spark, lake, monkeypatch, limit):
     assert only_x.columns == silver.columns
     assert {r.subreddit for r in only_x.collect()} == {"x"}
     assert load_module.in_partitions_of(silver.limit(0))(silver).count() == 0
+
+
+def test_the_state_of_gold_is_cut_by_its_keys(spark, lake):
+    """Each partition of the state costs every batch a task and a commit."""
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        arrive(spark, lake, RUN, posts("x", 3) + posts("y", 2))
+        stream_silver(spark, lake).awaitTermination()
+        stream_gold(spark, lake).awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "24"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", own)
+    states = spark._jvm.java.io.File(f"{lake.checkpoint('gold_state')}/state/0").list()
+    assert len([s for s in states if s.isdigit()]) == 8
+    assert read_gold(spark, lake.gold("top_posts"), "top_posts").count() == 5
