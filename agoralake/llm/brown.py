@@ -38,6 +38,8 @@ CLASSES, ROUNDS = 64, 12
 CORE, LOCAL, WIDEST = 1 << 15, 1 << 18, 32
 #: Distinct keys that a task holds before it hands their counts on.
 HELD = 1 << 19
+# Ranges of pairs' hashes in which pairs are added up, and of words in which their sides meet.
+PAIR_RANGES, WORD_RANGES = 256, 64
 #: Rounds end when fewer than one in STILL of the asked words move.
 STILL = 200
 #: What smoothing adds to a history's count.
@@ -163,19 +165,19 @@ def _neighbours(texts: DataFrame, core: pa.Array, folder: str) -> DataFrame:
     """A row per core word (and one for all others): numbers and counts of the words before and after it.
 
     Pairs are added up by a hash of the pair, so a frequent word is spread over all tasks; then each
-    word's meet, CORE at most a side.
+    word's meet, CORE at most a side. Ranges of hashes and of words are as many whatever the number of
+    tasks: the packed rows between the two steps are at most their product.
     """
     spark, size = texts.sparkSession, len(core) + 1
     held, kind = spark.sparkContext.broadcast(core), "key int, codes binary, n binary"
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 2 * tasks
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n_held = [], 0
 
         def flushed() -> pa.RecordBatch:
             codes, n = np.unique(np.concatenate(pairs), return_counts=True)
-            return _packed(mixed_hash(codes.astype(np.uint64)) % np.uint64(buckets), codes, n)
+            return _packed(mixed_hash(codes.astype(np.uint64)) % np.uint64(PAIR_RANGES), codes, n)
 
         for batch in batches:
             now, before = _sequence(Words.of(batch.column(0)), held.value, len(batch))
@@ -191,9 +193,9 @@ def _neighbours(texts: DataFrame, core: pa.Array, folder: str) -> DataFrame:
         for _, codes, n in _added(batches):
             before, now = np.divmod(codes.astype(np.int64), size)
             both = np.concatenate([codes, (now * size + before).astype(np.uint32)])
-            side = np.repeat([1, 0], len(codes)) * buckets
+            side = np.repeat([1, 0], len(codes)) * WORD_RANGES
             # keys of the first half hold words before, those of the second words after
-            yield _packed(np.concatenate([before, now]) % buckets + side, both, np.concatenate([n, n]))
+            yield _packed(np.concatenate([before, now]) % WORD_RANGES + side, both, np.concatenate([n, n]))
 
     whole = "word int, before binary, before_n binary, after binary, after_n binary"
 
@@ -205,7 +207,7 @@ def _neighbours(texts: DataFrame, core: pa.Array, folder: str) -> DataFrame:
             for w, o, c in zip(
                 word[np.concatenate([[0], cut])], np.split(other.astype("<u2"), cut), np.split(n, cut), strict=True
             ):
-                sides.setdefault(int(w), [b""] * 4)[2 * (key // buckets) : 2 * (key // buckets) + 2] = [
+                sides.setdefault(int(w), [b""] * 4)[2 * (key // WORD_RANGES) : 2 * (key // WORD_RANGES) + 2] = [
                     o.tobytes(),
                     c.tobytes(),
                 ]
@@ -219,7 +221,7 @@ def _neighbours(texts: DataFrame, core: pa.Array, folder: str) -> DataFrame:
 
     found = texts.mapInArrow(count, kind).repartition("key").sortWithinPartitions("key").mapInArrow(add, kind)
     # a round computes much on few bytes, so its tasks are not to be merged by size
-    found = found.repartition(tasks, F.col("key") % buckets).sortWithinPartitions("key").mapInArrow(join, whole)
+    found = found.repartition(tasks, F.col("key") % WORD_RANGES).sortWithinPartitions("key").mapInArrow(join, whole)
     return stored(found, folder, "neighbours")
 
 
