@@ -38,7 +38,7 @@ MIN_COUNT, PERCENT, TOP = 30, 80, 2000
 # What separates words, and what ends a piece.
 SPACES, ENDS = b"\x20\x09", b".,;:!?\x0a\x0b\x0c\x0d"
 #: Hashes, or distinct phrases, that a task holds before it hands them on.
-HELD_HASHES, HELD_PHRASES = 1 << 21, 1 << 19
+HELD_HASHES, HELD_PHRASES = 1 << 20, 1 << 18
 #: Edges of a row of a compacted path.
 STRETCH = 1024
 
