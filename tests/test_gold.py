@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from agoralake.operators import gold as G
 from agoralake.operators.silver import clean_posts
-from agoralake.operators.topk import above_bounds, top_k_bounds, top_k_per_group
+from agoralake.operators.topk import above_bounds, tie_bounds, top_k_bounds, top_k_per_group
 from rows import NOON, post, unnested
 
 DAY = 86400.0
@@ -142,6 +142,26 @@ def test_shortlist_loses_no_top_row(spark, k):
     assert by_score.where("g = 'hot'").count() < 4 * k + 20
 
 
+@pytest.mark.parametrize("k", [1, 5, 20])
+def test_shortlist_holds_few_of_many_equal_rows(spark, k):
+    chance = random.Random(k)
+    rows = []
+    for i in range(6000):
+        group = chance.choice([None, "same", "few", "mixed"])
+        score = {"same": 7, "few": chance.randrange(3), None: chance.randrange(2)}.get(group, chance.randrange(10**6))
+        rows.append((group, score, None if i % 9 == 0 else i % 4, f"{i % 5500:04d}"))
+    rows += [("small", 1, 1, None), ("small", 1, 1, "x"), ("small", None, 2, "y")]
+    df, metrics = spark.createDataFrame(rows, "g string, score bigint, few bigint, id string"), ["score", "few"]
+    bounds = tie_bounds(df, top_k_bounds(df, ["g"], metrics, k), ["g"], metrics, k)
+    kept = above_bounds(df, bounds, ["g"], metrics)
+    assert kept.columns == df.columns
+    assert kept.where("g is null or g in ('same', 'few')").count() <= 3 * 2 * (2 * k + 20)
+    for metric in metrics:
+        order = [F.desc_nulls_last(metric), F.asc_nulls_last("id"), F.asc("score"), F.asc("few")]
+        want, got = (sorted(map(str, top_k_per_group(d, ["g"], order, k).collect())) for d in (df, kept))
+        assert got == want
+
+
 def test_no_left_out_post_outranks_a_kept_one(spark):
     chance = random.Random(3)
     posts = silver(spark, *[post(str(i), score=chance.randrange(9)) for i in range(200)])
