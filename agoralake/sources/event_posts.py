@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUN_TS = "2024-01-31T02:00:00"
+# Posts, with their texts, that one task of the join makes.
+POSTS_PER_TASK = 20_000
 
 
 def listing_from_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Every event with the text of document `event_id mod (number of documents)`.
 
     All documents and all events take part. Both sides grow with the data, and file sizes say little
-    about text in memory, so the join shuffles and merges instead of guessing at a broadcast. Titles
+    about text in memory, so the join shuffles and merges instead of guessing at a broadcast. A document
+    is the text of many posts, which its shuffled bytes do not tell, so the tasks of a large join are as
+    many as the posts ask for, and what sorts or holds posts next has about `POSTS_PER_TASK` of them. Titles
     are cut out before the join and padded, bodies are partly missing, blank or padded with Unicode
     whitespace, authors partly missing, and the two ISO forms of the extraction time mix. Some posts
     have no title, score, comments or time, and one community's scores are all the same. Ratios are
@@ -25,7 +29,11 @@ def listing_from_tables(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("  "), F.substring_index("text", "\n", 1), F.lit("\t")).alias("title"),
     )
     doc_count = documents.agg(F.count(F.lit(1))).scalar()
+    tasks = 1 + events.count() // POSTS_PER_TASK
     event = F.col("event_id")
+    events = events.withColumn("_document", event % doc_count)
+    if tasks > spark.sparkContext.defaultParallelism:
+        events, documents = events.repartition(tasks, "_document"), documents.repartition(tasks, "doc_id")
     seconds = (F.col("ts") - F.lit("1970-01-01").cast("timestamp_ntz")).cast("interval second")
     body = (
         F.when(event % 7 == 0, F.lit(None))
@@ -33,7 +41,7 @@ def listing_from_tables(spark: SparkSession, folder: str) -> DataFrame:
         .when(event % 7 == 2, F.concat(F.lit("\u3000"), "text", F.lit("\u00a0\n")))
         .otherwise(F.col("text"))
     )
-    same = event % doc_count == F.col("doc_id")
+    same = F.col("_document") == F.col("doc_id")
     return events.join(documents.hint("merge"), same, "left").select(
         event.cast("string").alias("id"),
         F.when(event % 41 != 3, F.col("title")).alias("title"),

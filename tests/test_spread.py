@@ -7,10 +7,12 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from agoralake.config import SILVER_ROWS_PER_TASK
 from agoralake.operators.listing import build_documents, stamp_posts
 from agoralake.operators.spread import large_groups
 from agoralake.schemas import POST
 from agoralake.sinks import write_documents
+from agoralake.sources import event_posts
 
 from rows import listing, post
 
@@ -60,6 +62,20 @@ def test_only_groups_with_enough_rows_for_each_task_are_large(spark):
     assert {r.subreddit for r in posts.where(large).collect()} == {"x"}
 
 
+def test_silver_of_some_hundred_posts_a_task_stays_where_it_is(spark):
+    posts = spark.range(0, 2400, 1, 3).select(F.lit("x").alias("subreddit"), "id")
+    large = large_groups(posts, ["subreddit"], SILVER_ROWS_PER_TASK)
+    assert large is not None and posts.where(large).count() == 2400
+
+
+def test_the_tasks_of_a_listing_are_as_many_as_its_posts_ask_for(spark, monkeypatch):
+    monkeypatch.setattr(event_posts, "POSTS_PER_TASK", 40)
+    posts = event_posts.listing_from_tables(spark, "/root/testdata/sf0.001")
+    sizes = posts.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 1000 and len(sizes) >= 20
+    assert max(r["count"] for r in sizes) <= 4 * 40
+
+
 def test_documents_are_stored_compressed(spark, lake):
     write_documents(build_documents(posts_of(spark, ("x", 20)), RUN), lake.bronze)
     assert all(f.endswith(".json.gz") for f in spark.read.text(lake.bronze).inputFiles())
