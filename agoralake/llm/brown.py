@@ -36,8 +36,8 @@ from agoralake.llm.words import Words, summed
 CLASSES, ROUNDS = 64, 12
 #: Words that are exchanged, and words that all tasks know; bytes of the longest of these.
 CORE, LOCAL, WIDEST = 1 << 15, 1 << 18, 32
-#: Distinct keys that a task holds before it hands their counts on.
-HELD = 1 << 19
+#: Distinct pairs, by number, and words that a task holds before it hands their counts on.
+HELD, WORDS_HELD = 1 << 19, 1 << 17
 # Ranges of pairs' hashes in which pairs are added up, and of words in which their sides meet.
 PAIR_RANGES, WORD_RANGES = 256, 64
 #: Rounds end when fewer than one in STILL of the asked words move.
@@ -99,7 +99,7 @@ def _vocabulary(texts: DataFrame) -> DataFrame:
                 names = pa.concat_arrays([words.values, pa.array([b""], pa.binary())])
                 yield pa.table({"word": names, "n": np.append(found, len(batch))})
 
-        yield from summed(tables(), ["word"], HELD)
+        yield from summed(tables(), ["word"], WORDS_HELD)
 
     return texts.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("c"))
 
@@ -336,7 +336,7 @@ def _rest(texts: DataFrame, core: pa.Array, classes: np.ndarray, bigrams: np.nda
                 names = words.values.take(pa.array(pairs // n_classes))
                 yield pa.table({"word": names, "h": pa.array(pairs % n_classes, pa.int32()), "n": n})
 
-        yield from summed(tables(), ["word", "h"], HELD)
+        yield from summed(tables(), ["word", "h"], WORDS_HELD)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

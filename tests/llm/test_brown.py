@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from agoralake.llm import brown
 from agoralake.llm.brown import END, FIRST, RARE, gains, score_texts, train_classes
 
 SMALL = {"n_classes": 6, "core": 60, "local": 120, "rounds": 4}
@@ -118,3 +119,13 @@ def test_nothing_to_learn_from(spark, documents):
     (row,) = score_texts(documents([(1, "a b")]), model).collect()
     assert tuple(row)[:4] == (1, 3, 0, 0) and row.base_score == 0 and math.isfinite(row.score) and row.score < 0
     assert score_texts(documents([]).limit(0), model).collect() == []
+
+
+def test_words_that_tasks_hold_do_not_change_the_model(spark, corpus, monkeypatch):
+    want = train_classes(corpus, **SMALL)
+    monkeypatch.setattr(brown, "WORDS_HELD", 7)
+    got = train_classes(corpus, **SMALL)
+    assert got.words.to_pylist() == want.words.to_pylist() and got.counts.tolist() == want.counts.tolist()
+    assert (got.bigrams == want.bigrams).all() and (got.tokens, got.once) == (want.tokens, want.once)
+    rest = [sorted((bytes(r.word), r.c, r["class"]) for r in m.rest.collect()) for m in (got, want)]
+    assert rest[0] == rest[1]
