@@ -1,8 +1,9 @@
 """Source divergence: which terms a source overuses, and how far the sources of a language lie apart.
 
-`CountVectorizer` builds the exact sparse count vector of every document. Terms carry their language
-behind a space, which no term holds, so that one fit keeps per language the terms of at least
-`min_docs` of its documents, with the greatest `vocabSize` there is. Its model lies on the driver and in
+Terms carry their language behind a space, which no term holds, so that one `CountVectorizer` holds the
+terms that every language keeps: those of at least `min_docs` of its documents, counted inside tasks and
+then by Spark. It is fitted to them with the greatest `vocabSize` there is and builds exact sparse count
+vectors of what tasks add up per source, a vector for each power of two. Its model lies on the driver and in
 every task; it is therefore fitted for slices of the terms, by hash, of about `SLICE` terms each: one
 slice on tables of some hundred GB of text, and always all terms. Vectors are summed per group inside
 tasks as index and count, as a Summarizer does with dense ones, and then over tasks.
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agoralake.llm.common import stored, work_folder
-from agoralake.llm.words import Words
+from agoralake.llm.words import Words, summed
 
 # Fixed value: what stands between terms, which is all of ASCII but its letters.
 BETWEEN = bytes(c for c in range(128) if not chr(c).isalpha())
@@ -38,6 +39,8 @@ BETWEEN = bytes(c for c in range(128) if not chr(c).isalpha())
 PARTS, RAISE, MIN_DOCS, TOP = 1_000_000_000, 5, 30, 50
 #: Terms of one fitted vocabulary, terms and sources of a block of pairs.
 SLICE, TERMS, SOURCES = 1 << 20, 1024, 256
+#: Distinct keys that a task holds before it hands their counts on.
+HELD = 1 << 17
 
 
 def _rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
@@ -49,34 +52,70 @@ def _rows(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     )
 
 
-def _terms(docs: DataFrame, once: bool, part: tuple[int, int] = (0, 1)) -> DataFrame:
-    """(lang, source, terms): each term followed by a space and its language; `once` a document or
-    as often as it occurs. With part (k, n), the k-th of n parts of all terms, by hash."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words, size = Words.of(batch.column("text"), BETWEEN), len(batch)
-            langs = batch.column("lang").dictionary_encode()
-            spoken = np.asarray(langs.indices, np.int64)[words.row]
-            pair, at = np.unique(spoken * len(words.values) + words.code, return_inverse=True)
-            row = words.row
-            if part[1] > 1:
-                mine = words.hashes() % np.uint64(part[1]) == part[0]
-                kept = mine[words.code]
-                at, row = at[kept], row[kept]
-            if once:
-                row, at = np.divmod(np.unique(row * len(pair) + at), max(len(pair), 1))
-            lang, code = np.divmod(pair, max(len(words.values), 1))
-            names = pc.binary_join_element_wise(
-                words.values.take(pa.array(code)), langs.dictionary.cast(pa.binary()).take(pa.array(lang)), b" "
-            ).cast(pa.string())
-            ends = np.searchsorted(row, np.arange(size + 1), "left")
-            terms = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), names.take(pa.array(at)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("lang"), batch.column("source"), terms], ["lang", "source", "terms"]
-            )
-
-    return docs.mapInArrow(cut, "lang string, source string, terms array<string>")
+def _named(batch: pa.RecordBatch, words: Words, part: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Rows and numbers of a batch's terms, and their names: the term, a space and its language.
+
+    With part (k, n), the k-th of n parts of all terms, by hash.
+    """
+    langs = batch.column("lang").dictionary_encode()
+    row, code = words.row, words.code
+    if part[1] > 1:
+        mine = words.hashes() % np.uint64(part[1]) == part[0]
+        kept = mine[code]
+        row, code = row[kept], code[kept]
+    spoken = np.asarray(langs.indices, np.int64)[row]
+    pair, at = np.unique(spoken * len(words.values) + code, return_inverse=True)
+    lang, code = np.divmod(pair, max(len(words.values), 1))
+    names = pc.binary_join_element_wise(
+        words.values.take(pa.array(code)), langs.dictionary.cast(pa.binary()).take(pa.array(lang)), b" "
+    )
+    return row, at, names.cast(pa.string())
+
+
+def _documents_of(docs: DataFrame, part: tuple[int, int] = (0, 1)) -> DataFrame:
+    """(term, n): documents with a term, added up within tasks; a term may come in several rows."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def tables() -> Iterator[pa.Table]:
+            for batch in batches:
+                row, at, names = _named(batch, Words.of(batch.column("text"), BETWEEN), part)
+                once = np.unique(row * max(len(names), 1) + at) % max(len(names), 1)
+                yield pa.table({"term": names, "n": np.bincount(once, minlength=len(names))})
+
+        yield from summed(tables(), ["term"], HELD, [])
+
+    return docs.mapInArrow(count, "term string, n bigint")
+
+
+def _occurrences(docs: DataFrame, part: tuple[int, int] = (0, 1)) -> DataFrame:
+    """(source, weight, terms): occurrences of terms, added up within tasks and written in binary.
+
+    A row holds the terms whose sum has that power of two, each once: a term that occurs a thousand times
+    is read and looked up six times, and not a thousand.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def tables() -> Iterator[pa.Table]:
+            for batch in batches:
+                row, at, names = _named(batch, Words.of(batch.column("text"), BETWEEN), part)
+                sources = batch.column("source").dictionary_encode()
+                told = np.asarray(sources.indices, np.int64)[row]
+                pair, n = np.unique(told * max(len(names), 1) + at, return_counts=True)
+                source, term = np.divmod(pair, max(len(names), 1))
+                source = sources.dictionary.take(pa.array(source))
+                yield pa.table({"source": source, "term": names.take(pa.array(term)), "n": n})
+
+        for batch in summed(tables(), ["source", "term"], HELD, ["source"]):
+            sources, n = batch.column("source").dictionary_encode(), np.asarray(batch.column("n"))
+            for power in range(int(n.max()).bit_length()):
+                at = np.flatnonzero(n >> power & 1)
+                # rows are sorted by source, so the numbers of sources never fall
+                ends = np.searchsorted(np.asarray(sources.indices)[at], np.arange(len(sources.dictionary) + 1))
+                terms = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), batch.column("term").take(pa.array(at)))
+                weight = pa.array([1 << power] * len(terms), pa.int64())
+                yield pa.RecordBatch.from_arrays([sources.dictionary, weight, terms], ["source", "weight", "terms"])
+
+    return docs.mapInArrow(count, "source string, weight bigint, terms array<string>")
 
 
 def _slices(docs: DataFrame, min_docs: int, size: int) -> int:
@@ -85,15 +124,14 @@ def _slices(docs: DataFrame, min_docs: int, size: int) -> int:
     A term of `min_docs` documents is in a `min_docs`-th of them, drawn at random, with a chance of 0.63 or
     more, so the terms of such a draw outnumber 0.63 of those kept. Only the number is told from it.
     """
-    drawn = _terms(docs.sample(1 / min_docs, 7), True).select(F.explode("terms").alias("t"))
-    return 1 + int(drawn.agg(F.approx_count_distinct("t")).first()[0] / 0.6 // size)
+    drawn = _documents_of(docs.sample(1 / min_docs, 7))
+    return 1 + int(drawn.agg(F.approx_count_distinct("term")).first()[0] / 0.6 // size)
 
 
 def _group_sums(vectors: DataFrame) -> DataFrame:
-    """(source, at, n): vectors of a source added up, at their indices."""
-    sparse = vectors.select("source", F.unwrap_udt("vector").alias("v"))
-    entries = sparse.selectExpr("source", "inline(arrays_zip(v.indices, v.values))").toDF("source", "at", "n")
-    return entries.groupBy("source", "at").agg(F.sum(F.col("n").cast("bigint")).alias("n"))
+    """(source, at, n): weights of a source added up at the indices of its vectors, which hold a term once."""
+    entries = vectors.select("source", "weight", F.explode(F.unwrap_udt("vector")["indices"]).alias("at"))
+    return entries.groupBy("source", "at").agg(F.sum("weight").alias("n"))
 
 
 def term_counts(docs: DataFrame, min_docs: int, folder: str, slice_terms: int = SLICE) -> DataFrame:
@@ -101,20 +139,20 @@ def term_counts(docs: DataFrame, min_docs: int, folder: str, slice_terms: int =
     spark = docs.sparkSession
     slices, out = _slices(docs, min_docs, slice_terms), None
     # a term that is none, so that an empty vocabulary is no error
-    none = spark.range(min_docs).select(F.array(F.lit(" ")).alias("terms"))
+    none = spark.range(1).select(F.array(F.lit(" ")).alias("terms"))
     for k in range(slices):
-        once, every = (_terms(docs, x, (k, slices)) for x in (True, False))
-        vectorizer = CountVectorizer(
-            inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=(1 << 31) - 1
-        )
-        model = vectorizer.fit(once.select("terms").unionByName(none))
+        kept = _documents_of(docs, (k, slices)).groupBy("term").agg(F.sum("n").alias("n"))
+        kept = stored(kept.where(F.col("n") >= min_docs).select(F.array("term").alias("terms")), folder, f"kept-{k}")
+        vectorizer = CountVectorizer(inputCol="terms", outputCol="vector", minDF=1.0, vocabSize=(1 << 31) - 1)
+        model = vectorizer.fit(kept.unionByName(none))
         names = pa.table({"at": pa.array(range(len(model.vocabulary)), pa.int32()), "name": model.vocabulary})
         named = spark.createDataFrame(names).where("name <> ' '").select(
             "at",
             F.expr("substring(name, locate(' ', name) + 1)").alias("lang"),
             F.substring_index("name", " ", 1).alias("term"),
         )
-        sums = _group_sums(model.transform(every)).join(named, "at").select("lang", "source", "term", "n")
+        vectors = model.transform(_occurrences(docs, (k, slices)))
+        sums = _group_sums(vectors).join(named, "at").select("lang", "source", "term", "n")
         sums = stored(sums, folder, f"terms-{k}")
         out = sums if out is None else out.unionByName(sums)
     return out

@@ -94,9 +94,16 @@ def chained(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return mixed_hash(left * np.uint64(0xD6E8FEB86659FD93) + right)
 
 
-def summed(tables: Iterator[pa.Table], keys: list[str], held: int) -> Iterator[pa.RecordBatch]:
-    """Adds up column `n` by `keys`, within a task; hands on what it has beyond `held` distinct keys."""
+def summed(
+    tables: Iterator[pa.Table], keys: list[str], held: int, order: list[str] | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Adds up column `n` by `keys`, within a task; hands on what it has beyond `held` distinct keys,
+    in the order of the keys or of the columns of `order`."""
     parts, size = [], 0
+    by = [(k, "ascending") for k in (keys if order is None else order)]
+
+    def batches(table: pa.Table) -> list[pa.RecordBatch]:
+        return (table.sort_by(by) if by else table.combine_chunks()).to_batches(1 << 16)
 
     def met() -> pa.Table:
         sums = pa.concat_tables(parts).group_by(keys, use_threads=False).aggregate([("n", "sum")])
@@ -109,7 +116,7 @@ def summed(tables: Iterator[pa.Table], keys: list[str], held: int) -> Iterator[p
             parts = [met()]
             size = len(parts[0])
             if size > held:
-                yield from parts[0].sort_by([(k, "ascending") for k in keys]).to_batches(1 << 16)
+                yield from batches(parts[0])
                 parts, size = [], 0
     if size:
-        yield from met().sort_by([(k, "ascending") for k in keys]).to_batches(1 << 16)
+        yield from batches(met())

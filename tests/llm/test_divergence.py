@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from agoralake.llm import divergence
 from agoralake.llm.divergence import source_divergence
 
 SCHEMA = "doc_id bigint, text string, lang string, source string"
@@ -57,6 +58,25 @@ def test_against_plain_counts(spark, rows, sizes):
     assert sorted(map(tuple, got.collect())) == brute(rows, 5, 7)
 
 
+@pytest.mark.parametrize("held", [1 << 17, 3])
+def test_frequent_terms_are_looked_up_a_few_times(spark, monkeypatch, held):
+    monkeypatch.setattr(divergence, "HELD", held)
+    rows = [(k, "often " * 500 + "Twice twice" + " rare" * (k < 3), "en", "ab"[k % 2]) for k in range(8)]
+    docs = divergence._rows(spark.createDataFrame(rows, SCHEMA).coalesce(1), "text", "lang", "source")
+    found, looked_up = Counter(), 0
+    for source, weight, terms in divergence._occurrences(docs).collect():
+        assert len(set(terms)) == len(terms)
+        found.update({(source, t): weight for t in terms})
+        looked_up += len(terms)
+    want = {"often en": (2000, 2000), "twice en": (8, 8), "rare en": (2, 1)}
+    assert found == {(s, t): n[i] for t, n in want.items() for i, s in enumerate("ab")}
+    assert looked_up <= 20
+    documents = Counter()
+    for term, n in divergence._documents_of(docs).collect():
+        documents[term] += n
+    assert documents == {"often en": 8, "twice en": 8, "rare en": 3}
+
+
 def test_empty(spark):
     assert source_divergence(spark.createDataFrame([], SCHEMA)).collect() == []
     only = spark.createDataFrame([(1, "a b", "en", "x"), (1, "a b", "en", "y")], SCHEMA)
