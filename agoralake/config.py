@@ -23,7 +23,7 @@ PREVIEW_LIMIT = 5
 MAX_POSTS_PER_DOCUMENT = 1000
 MAX_TEXT_PER_DOCUMENT = 8 * 1024 * 1024
 # A community with this many full documents for each task is folded where its posts lie.
-FULL_PER_TASK = 1
+FULL_PER_TASK = 2
 # Most bytes of text that a task holds of documents it has not filled yet.
 MAX_TEXT_PER_TASK = 256 * 1024 * 1024
 # Groups of rows that are stored without a shuffle, at most; others are shuffled.
