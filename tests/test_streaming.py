@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from agoralake.config import GOLD_DATASETS, Lake
+from agoralake.operators import gold as G
 from agoralake.operators.listing import build_documents, stamp_posts
 from agoralake.plans.load import load
 from agoralake.plans import load as load_module
@@ -194,3 +195,27 @@ def test_the_state_of_gold_is_cut_by_its_keys(spark, lake):
     states = spark._jvm.java.io.File(f"{lake.checkpoint('gold_state')}/state/0").list()
     assert len([s for s in states if s.isdigit()]) == 8
     assert read_gold(spark, lake.gold("top_posts"), "top_posts").count() == 5
+
+
+def test_tasks_of_the_silver_stream_read_many_files(spark, lake):
+    """A task leaves a file a community, whatever a session reads at a time; its own settings stay."""
+    arrive(spark, lake, RUN, [p for c in "xy" for p in posts(c, 64)], slices=32)
+    read, own = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(read, "1k")
+    try:
+        stream_silver(spark, lake).awaitTermination()
+        assert spark.conf.get(read) == "1k"
+    finally:
+        spark.conf.set(read, own)
+    silver = read_silver(spark, lake.silver)
+    assert silver.count() == 128
+    bronze = {f for f in spark.read.text(lake.bronze).inputFiles()}
+    assert len(silver.inputFiles()) < len(bronze) / 2
+
+
+def test_statistics_that_are_merged_are_finished_alike(spark, lake):
+    arrive(spark, lake, RUN, posts("x", 9) + [post("n", subreddit="x", score=None, num_comments=None)])
+    stream_silver(spark, lake).awaitTermination()
+    partials = G.daily_partials(read_silver(spark, lake.silver))
+    finished = G.finish_partials(partials)
+    assert finished.collect() == G.merge_partials(partials).collect() and finished.count() == 1
