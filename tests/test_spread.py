@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from agoralake.config import SILVER_ROWS_PER_TASK
 from agoralake.operators.listing import build_documents, stamp_posts
 from agoralake.operators.spread import large_groups
 from agoralake.schemas import POST
-from agoralake.sinks import write_documents
+from agoralake.session import release_shuffles
+from agoralake.sinks import write_documents, write_partitions
 from agoralake.sources import event_posts
 
 from rows import listing, post
@@ -79,3 +81,28 @@ def test_the_tasks_of_a_listing_are_as_many_as_its_posts_ask_for(spark, monkeypa
 def test_documents_are_stored_compressed(spark, lake):
     write_documents(build_documents(posts_of(spark, ("x", 20)), RUN), lake.bronze)
     assert all(f.endswith(".json.gz") for f in spark.read.text(lake.bronze).inputFiles())
+
+
+def test_texts_are_compressed_by_large_pages(spark, lake):
+    """Each of 150 texts comes again after some 300 KB of others, in a column without few values."""
+    words = F.transform(F.sequence(F.lit(0), F.lit(30)), lambda i: F.sha2((F.col("id") % 150 * 100 + i).cast("string"), 256))
+    rows = spark.range(0, 3000, 1, 1).select("id", F.concat_ws(" ", "id", words).alias("text"), F.lit("x").alias("p"))
+    write_partitions(rows, f"{lake.base}/packed", ["p"])
+    rows.write.option("compression", "zstd").parquet(f"{lake.base}/plain")
+    size = {n: sum(f.stat().st_size for f in Path(f"{lake.base}/{n}").rglob("*.parquet")) for n in ("packed", "plain")}
+    assert size["packed"] < 0.7 * size["plain"], size
+    assert spark.read.parquet(f"{lake.base}/packed").exceptAll(rows).count() == 0
+
+
+def test_a_finished_write_leaves_no_shuffle_files(spark, lake):
+    """They would lie beside the layers of a run until the driver collects its garbage."""
+    release_shuffles(spark)
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        names = (Path(f).name for f in blocks.getAllFiles().mkString("\n").split("\n"))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = shuffles()
+    spark.range(1000).repartition(7, "id").write.parquet(f"{lake.base}/rows")
+    assert not shuffles() - before
