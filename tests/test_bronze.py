@@ -10,6 +10,7 @@ from agoralake.operators.silver import unnest_posts
 from agoralake.plans.load import extract
 from agoralake.schemas import ENVELOPE, POST
 from agoralake.sinks import write_documents
+from agoralake.sources import large_documents
 from agoralake.sources import (
     good_documents,
     path_community,
@@ -214,6 +215,54 @@ def test_large_documents_equal_whole_ones(spark, tmp_path):
     assert lost == lost_whole and {r[0] for r in lost} == {"cut", "garbled", "numbers"}
 
 
+def put_large(path, count, **fields):
+    rows = [post(f"p{i}", title='}, {"posts": [', selftext="\\" * (i % 3), **fields) for i in range(count)]
+    path.mkdir(parents=True)
+    (path / "d.json").write_text(json.dumps(envelope("x", rows), indent=2), encoding="utf-8")
+
+
+def shuffled(plan):
+    return "Exchange" in plan.replace("BroadcastExchange", "")
+
+
+@pytest.mark.parametrize("split", ["20000", "128m"])
+def test_large_documents_are_read_alike_with_stored_steps(spark, tmp_path, split):
+    for name, count in (("a", 1300), ("b", 1), ("c", 0)):
+        put_large(tmp_path / "in" / "reddit" / "x" / name, count)
+    (tmp_path / "in" / "reddit" / "x" / "d").mkdir()
+    text = (tmp_path / "in" / "reddit" / "x" / "a" / "d.json").read_text()
+    (tmp_path / "in" / "reddit" / "x" / "d" / "d.json").write_text(text.replace('"id": "p7"', '"id" "p7"'))
+    whole = read_foreign_documents(spark, str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        folder = tmp_path / "scratch"
+        stored = read_foreign_documents(spark, str(tmp_path / "in"), split_above=0, folder=str(folder))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [p.name for p in folder.iterdir()] == ["documents"]
+    got, want = (
+        sorted((r.file_path, str(r.p)) for r in good_documents(d).select("file_path", F.explode_outer("posts").alias("p")).collect())
+        for d in (stored, whole)
+    )
+    assert got == want and len(got) == 1302
+    sizes = sorted(r.n for r in good_documents(stored).select(F.size("posts").alias("n")).collect())
+    assert sizes == [0, 1, 300, 1000]
+    (lost,) = quarantined_documents(stored).collect()
+    assert lost.reason == "broken document" and "/x/d/" in lost.file_path
+
+
+def test_posts_inside_a_split_are_not_shuffled(spark, tmp_path):
+    """Only what a split's ends may cut is gathered from several tasks."""
+    put_large(tmp_path / "in" / "a", 2500)
+    lines = large_documents._lines(spark, str(tmp_path / "in"), "*.json", 0)
+    rows = lines.crossJoin(F.broadcast(spark.range(1).select(*[F.lit(0).alias(c) for c in ("base", "sections", "records")])))
+    parts = large_documents._parts(large_documents._tokens(rows).drop("line", "pos"))
+    assert not shuffled(parts._jdf.queryExecution().executedPlan().toString())
+    kept = [(r.whole, r.n) for r in parts.where("piece IS NOT NULL").select("whole", F.size("texts").alias("n")).collect()]
+    assert sorted(kept) == [(True, 500), (True, 1000), (True, 1000)]
+
+
 @pytest.mark.parametrize(
     "path, community",
     [
